@@ -80,7 +80,7 @@ frame_sql("claims", f"""
 SELECT l_orderkey || '-' || l_linenumber AS claim_id, lpad(CAST(l_suppkey AS VARCHAR), 10, '0') AS provider_npi,
   CAST(o_custkey AS VARCHAR) AS beneficiary_id, CAST(l_shipdate AS DATE) AS service_date, CAST(l_shipdate AS DATE) + 5 AS claim_date,
   {literal(CODES)}[l_partkey % {len(CODES)} + 1] AS hcpcs_code,
-  round(l_extendedprice / 100, 2) AS billed_amount, round(l_extendedprice / 125, 2) AS paid_amount,
+  floor(l_extendedprice) / 100 AS billed_amount, floor(l_extendedprice) / 200 AS paid_amount,
   CAST(l_quantity AS INTEGER) AS units, lpad(CAST(o_custkey % 40 AS VARCHAR), 10, '9') AS ordering_physician_npi
 FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
         ORDER BY l_extendedprice DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_shipdate DESC) AS pick FROM lineitem)

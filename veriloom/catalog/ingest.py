@@ -182,12 +182,13 @@ def _(spark, d):
 
 
 @query("cdc_vs_watermark_check", "ResultId only_in", """
-WITH a AS (SELECT DISTINCT ResultId FROM change_log WHERE op IN (1, 2)), b AS (SELECT DISTINCT ResultId FROM change_log WHERE op IN (2, 4))
+WITH a AS (SELECT DISTINCT ResultId FROM change_log WHERE op IN (2, 4) AND ModifiedDate > TIMESTAMP '1999-01-01'), b AS (SELECT DISTINCT ResultId FROM change_log WHERE ModifiedDate > TIMESTAMP '1999-07-01')
 SELECT coalesce(a.ResultId, b.ResultId) AS ResultId, CASE WHEN a.ResultId IS NULL THEN 'watermark' ELSE 'cdc' END AS only_in
 FROM a FULL JOIN b ON a.ResultId = b.ResultId WHERE a.ResultId IS NULL OR b.ResultId IS NULL""")
 def _(spark, d):
     log = src.change_log(spark, d)
-    return merge.extraction_differences(log.where("op IN (1, 2)"), log.where("op IN (2, 4)"), ["ResultId"])
+    return merge.extraction_differences(
+        log.where("op IN (2, 4) AND ModifiedDate > timestamp'1999-01-01'"), log.where("ModifiedDate > timestamp'1999-07-01'"), ["ResultId"])
 
 
 @query("scd2_apply", "PatientId Race EffectiveDate:t EndDate:t IsCurrent", "SELECT * FROM patient_versions")

@@ -139,19 +139,24 @@ def forest_fit(feats: DataFrame, trees: int = 100, sample: int = 256, seed: int
                columns=FEATURES, n_rows: int | None = None) -> DataFrame:
     """Isolation trees as rows, one task per tree on its own sample.
 
-    A row joins tree t when hash(row, t) falls under sample/n. Rows are cut map-side by a hash range twice the
-    wanted share, then the ``sample`` smallest hashes per tree are kept exactly, so every tree sees at most
-    ``sample`` rows and reruns repeat the choice.
+    A hash draws about twice the wanted rows and deals them to the trees; the ``sample`` smallest draws per
+    tree are kept. One hash per row decides at scale, so the scan stays cheap, no tree sees more than
+    ``sample`` rows, and reruns repeat the choice. Small inputs are dealt several times over.
     """
     n = n_rows if n_rows is not None else feats.count()
-    share = min(1.0, 2.0 * sample / max(n, 1))
+    wanted = 2 * sample * trees
+    copies = trees if n <= sample else max(1, math.ceil(wanted / n))
     top = 1 << 30
-    tree_ids = F.sequence(F.lit(0), F.lit(trees - 1))
-    draws = F.transform(tree_ids, lambda t: F.struct(
-        t.cast("int").alias("tree"), F.pmod(F.xxhash64(F.col("ResultId"), t, F.lit(seed)), F.lit(top)).alias("draw")))
-    chosen = F.filter(draws, lambda d: d["draw"] < F.lit(int(top * share) + 1))
-    picked = feats.select("ResultId", *columns, F.inline(chosen))
-    sampled = latest_per_key(picked, ["tree"], [F.col("draw"), F.col("ResultId")], sample)
+    bound = int(top * min(1.0, wanted / max(n, 1)))
+
+    def deal(c: Column) -> Column:
+        tree = c if n <= sample else F.pmod(F.xxhash64(F.col("ResultId"), c, F.lit(seed + 1)), F.lit(trees))
+        draw = F.pmod(F.xxhash64(F.col("ResultId"), c, F.lit(seed)), F.lit(top))
+        return F.struct(tree.cast("int").alias("tree"), draw.alias("draw"))
+
+    dealt = F.filter(F.transform(F.sequence(F.lit(0), F.lit(copies - 1)), deal), lambda x: x["draw"] < F.lit(bound))
+    drawn = feats.select("ResultId", *columns, F.inline(dealt)).dropDuplicates(["tree", "ResultId"])
+    sampled = latest_per_key(drawn, ["tree"], [F.col("draw"), F.col("ResultId")], sample)
     limit = math.ceil(math.log2(max(sample, 2)))
     names = list(columns)
 

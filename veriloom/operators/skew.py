@@ -104,17 +104,18 @@ def exact_positions(df: DataFrame, by: Sequence[str], value: str, wanted: dict[s
                  wanted[n][1].cast("double").alias("pos"))
         for i, n in enumerate(names)])
     rows = counts.select(*group, "_v", "_n", F.explode(brackets).alias("_b")).select(*group, "_v", "_n", "_b.*")
-    # everything below a bracket folds into one row, everything above it into its least value
-    zone = F.when(F.col("_v") < F.col("lo"), F.lit(None)).when(F.col("_v") > F.col("hi"), F.lit(None)).otherwise(F.col("_v"))
+    # everything below a bracket folds into one row holding its largest value, everything above into its least:
+    # a fractional position may need the neighbour just outside
     side = F.when(F.col("_v") < F.col("lo"), -1).when(F.col("_v") > F.col("hi"), 1).otherwise(0)
-    folded = (rows.groupBy(*group, "name", side.alias("_side"), zone.alias("_z"))
-              .agg(F.sum("_n").alias("_n"), F.min("_v").alias("_v"), F.first("pos").alias("pos")))
-    w = W.partitionBy(*group, "name").orderBy("_side", "_z")
-    ranked = folded.withColumn("_end", F.sum("_n").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    folded = (rows.withColumn("_side", side)
+              .groupBy(*group, "name", "_side", F.when(F.col("_side") == 0, F.col("_v")).alias("_z"))
+              .agg(F.sum("_n").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.first("pos").alias("pos")))
+    w = W.partitionBy(*group, "name").orderBy("_side", "_z").rowsBetween(W.unboundedPreceding, 0)
+    ranked = folded.withColumn("_end", F.sum("_n").over(w)).withColumn(
+        "_v", F.when(F.col("_side") < 0, F.col("_max")).otherwise(F.col("_min")))
     lower = F.min(F.when(F.col("_end") > F.floor("pos"), F.col("_v")))
     upper = F.min(F.when(F.col("_end") > F.ceil("pos"), F.col("_v")))
-    picked = (ranked.where("_side >= 0").groupBy(*group, "name")
-              .agg(lower.alias("_lo"), upper.alias("_hi"), F.first("pos").alias("pos")))
+    picked = ranked.groupBy(*group, "name").agg(lower.alias("_lo"), upper.alias("_hi"), F.first("pos").alias("pos"))
     part = F.col("pos") - F.floor("pos")
     valued = picked.withColumn("_x", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * part)
     wide = valued.groupBy(*group).agg(*[F.max(F.when(F.col("name") == n, F.col("_x"))).alias(n) for n in names])

@@ -116,8 +116,8 @@ def claims(spark: SparkSession, folder: str) -> DataFrame:
         F.lpad(F.col("l_suppkey").cast("string"), 10, "0").alias("provider_npi"),
         F.col("o_custkey").cast("string").alias("beneficiary_id"),
         day.alias("service_date"), F.date_add(day, 5).alias("claim_date"), code.alias("hcpcs_code"),
-        F.round(F.col("l_extendedprice") / 100, 2).alias("billed_amount"),
-        F.round(F.col("l_extendedprice") / 125, 2).alias("paid_amount"),
+        (F.floor("l_extendedprice") / 100).alias("billed_amount"),
+        (F.floor("l_extendedprice") / 200).alias("paid_amount"),
         F.col("l_quantity").cast("int").alias("units"),
         F.lpad((F.col("o_custkey") % 40).cast("string"), 10, "9").alias("ordering_physician_npi"))
 
