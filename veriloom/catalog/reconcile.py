@@ -1 +1,126 @@
-"""Filled in below."""
+"""Reconciliation of copies."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from veriloom.catalog import common  # noqa: F401
+from veriloom.catalog.registry import frame_sql, query
+from veriloom.operators import reconcile as rc
+from veriloom.plans import migration
+from veriloom.session import work_dir
+from veriloom.sources import files
+from veriloom.sources import frames as src
+
+KEYS = ["l_extendedprice", "l_quantity", "l_partkey", "l_tax"]
+COMMON = ["l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag"]
+DOUBLES = {"l_extendedprice", "l_quantity"}
+
+
+def _sides(spark, d):
+    return src.recon_source(spark, d), src.recon_target(spark, d)
+
+
+def checksum_sql(c: str) -> str:
+    text = f"printf('%.4f', {c})" if c in DOUBLES else f"CAST({c} AS VARCHAR)"
+    return f"sum(CAST(CAST('0x' || substr(md5(coalesce({text}, chr(0))), 1, 8) AS BIGINT) AS HUGEINT))"
+
+
+frame_sql("sigs", " UNION ALL ".join(
+    f"SELECT '{c}' AS col, (SELECT CAST({checksum_sql(c)} AS VARCHAR) FROM recon_source) AS s, (SELECT CAST({checksum_sql(c)} AS VARCHAR) FROM recon_target) AS t" for c in COMMON))
+
+
+@query("recon_row_count", "source_rows:i target_rows:i match", """
+SELECT *, source_rows = target_rows AS match FROM (SELECT (SELECT count(*) FROM recon_source) AS source_rows, (SELECT count(*) FROM recon_target) AS target_rows)""")
+def _(spark, d):
+    return rc.row_count(*_sides(spark, d))
+
+
+@query("recon_checksums", "column source_checksum target_checksum match", "SELECT col AS \"column\", s AS source_checksum, t AS target_checksum, s = t AS match FROM sigs")
+def _(spark, d):
+    return rc.checksums(*_sides(spark, d))
+
+
+@query("recon_checksums_fast", "column match", "SELECT col AS \"column\", s = t AS match FROM sigs")
+def _(spark, d):
+    return rc.checksums(*_sides(spark, d), fast=True)
+
+
+@query("recon_key_sums", "column source_sum:r2 target_sum:r2 difference:r2 relative_difference:r8 status match", """
+SELECT *, CASE WHEN relative_difference <= 0.0001 THEN 'MATCH' ELSE 'MISMATCH' END AS status, relative_difference <= 0.0001 AS match FROM (
+ SELECT *, abs(source_sum - target_sum) AS difference, abs(source_sum - target_sum) / greatest(abs(source_sum), 1) AS relative_difference FROM (
+  SELECT 'l_extendedprice' AS "column", (SELECT sum(l_extendedprice) FROM recon_source) AS source_sum, (SELECT sum(l_extendedprice) FROM recon_target) AS target_sum
+  UNION ALL SELECT 'l_quantity', (SELECT sum(l_quantity) FROM recon_source), (SELECT sum(l_quantity) FROM recon_target)
+  UNION ALL SELECT 'l_partkey', (SELECT sum(l_partkey) FROM recon_source), (SELECT sum(l_partkey) FROM recon_target)))
+UNION ALL SELECT 'l_tax', 0, 0, 0, 0, 'COLUMN_NOT_FOUND', FALSE""")
+def _(spark, d):
+    return rc.key_sums(*_sides(spark, d), KEYS)
+
+
+@query("recon_null_counts", "column source_nulls:i target_nulls:i match", """
+SELECT c AS "column", s AS source_nulls, t AS target_nulls, s = t AS match FROM (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS c, (SELECT count(*) - count({c}) FROM recon_source) AS s, (SELECT count(*) - count({c}) FROM recon_target) AS t" for c in COMMON) + ")")
+def _(spark, d):
+    return rc.null_counts(*_sides(spark, d))
+
+
+@query("recon_status", "status row_count_match source_row_count:i target_row_count:i checksum_match key_sums_match discrepancies:j", """
+SELECT 'FAILED' AS status, FALSE AS row_count_match, s AS source_row_count, t AS target_row_count, FALSE AS checksum_match, FALSE AS key_sums_match,
+ ['Row count mismatch: source=' || s || ', target=' || t, 'Column checksum mismatch: ' || (SELECT string_agg(col, ', ' ORDER BY list_position(['l_orderkey', 'l_partkey', 'l_suppkey', 'l_extendedprice', 'l_quantity', 'l_returnflag'], col)) FROM sigs WHERE s <> t),
+  'Key sum mismatch: l_extendedprice, l_quantity, l_partkey, l_tax', 'Null count mismatch: l_returnflag'] AS discrepancies
+FROM (SELECT (SELECT count(*) FROM recon_source) AS s, (SELECT count(*) FROM recon_target) AS t)""")
+def _(spark, d):
+    return rc.reconcile(*_sides(spark, d), KEYS)
+
+
+@query("recon_status_equal", "status row_count_match checksum_match key_sums_match discrepancies:j", """
+SELECT 'SUCCESS' AS status, TRUE AS row_count_match, TRUE AS checksum_match, TRUE AS key_sums_match, CAST([] AS VARCHAR[]) AS discrepancies""")
+def _(spark, d):
+    source = src.recon_source(spark, d)
+    shuffled = source.repartition(7, "l_partkey").sortWithinPartitions(F.col("l_quantity").desc())
+    return rc.reconcile(source, shuffled, ["l_extendedprice"])
+
+
+@query("recon_report_append", "reconciliation_id status discrepancies_json")
+def _(spark, d):
+    row = rc.report(rc.reconcile(*_sides(spark, d), KEYS), "recon_1", src.QUEUE_AS_OF)
+    return spark.read.parquet(files.append_rows(row, work_dir(spark, "recon")))
+
+
+@query("recon_status_dist", "status n:i", "SELECT status, count(*) AS n FROM recon_results GROUP BY 1")
+def _(spark, d):
+    return rc.status_distribution(src.recon_results(spark, d))
+
+
+@query("recon_failures", "task_id status source_row_count:i target_row_count:i", "SELECT * FROM recon_results WHERE status <> 'SUCCESS'")
+def _(spark, d):
+    return rc.failed_results(src.recon_results(spark, d))
+
+
+@query("recent_recon", "task_id status validated_at:t", "SELECT * FROM recon_results ORDER BY validated_at DESC, task_id LIMIT 20")
+def _(spark, d):
+    return rc.recent_results(src.recon_results(spark, d))
+
+
+@query("column_set_diff", "column side")
+def _(spark, d):
+    return rc.column_diff(*_sides(spark, d))
+
+
+@query("migrate_and_reconcile", "status source_row_count:i target_row_count:i checksum_match key_sums_match", """
+SELECT 'SUCCESS' AS status, count(*) AS source_row_count, count(*) AS target_row_count, TRUE AS checksum_match, TRUE AS key_sums_match FROM orders""")
+def _(spark, d):
+    from veriloom.catalog.ingest import ORDERS, _orders_csv
+    root = work_dir(spark, "lake")
+    return migration.migrate_and_reconcile(spark, _orders_csv(spark, d), root, f"{root}/_snapshots", "orders", ORDERS, ["o_totalprice"])
+
+
+@query("reconcile_completed", "task_id status source_row_count:i target_row_count:i", """
+SELECT 'good' AS task_id, 'SUCCESS' AS status, count(*) AS source_row_count, count(*) AS target_row_count FROM orders
+UNION ALL SELECT 'bad', 'FAILED', (SELECT count(*) FROM lineitem), (SELECT count(*) FROM recon_target)""")
+def _(spark, d):
+    bad = work_dir(spark, "copy")
+    src.recon_target(spark, d).write.parquet(bad)
+    pairs = spark.createDataFrame([("good", f"{d}/orders.parquet", f"{d}/orders.parquet", "o_totalprice"), ("bad", f"{d}/lineitem.parquet", bad, "l_quantity")],
+                                  "task_id string, source_path string, target_path string, key_column string")
+    return migration.reconcile_completed(spark, pairs, work_dir(spark, "recon"), src.QUEUE_AS_OF)
