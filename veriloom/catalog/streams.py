@@ -1 +1,116 @@
-"""Filled in below."""
+"""Streaming jobs drained over the whole tables; each agrees with its batch twin's SQL where one exists."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from veriloom.catalog import common  # noqa: F401
+from veriloom.catalog.fraud import PARAMS
+from veriloom.catalog.ingest import _claims_csv
+from veriloom.catalog.queue import HEALTH
+from veriloom.catalog.registry import query
+from veriloom.operators import queue
+from veriloom.session import work_dir
+from veriloom.sources import files
+from veriloom.sources import frames as src
+from veriloom.streaming import jobs
+
+
+def _staged(spark, df, order, name, parts=3):
+    """Arriving files: the whole frame in ``parts`` range-partitioned files, written in order."""
+    path = work_dir(spark, name)
+    df.repartitionByRange(parts, order).sortWithinPartitions(order).write.parquet(path)
+    return jobs.table_source(spark, path, df.schema)
+
+
+@query("stream_claims_source", "claim_id provider_npi billed_amount:r2 units:i", """
+SELECT claim_id, provider_npi, CASE WHEN (length(claim_id) + units) % 23 = 0 THEN 0 WHEN (length(claim_id) + units) % 29 = 0 THEN NULL ELSE billed_amount END AS billed_amount,
+ CASE WHEN (length(claim_id) + units) % 31 = 0 THEN 1 ELSE units END AS units FROM claims""")
+def _(spark, d):
+    sink = work_dir(spark, "claims")
+    jobs.drain(jobs.claims_source(spark, _stream_claims_csv(spark, d), 4), jobs.to_batches(sink), work_dir(spark, "ck"))
+    return spark.read.parquet(sink)
+
+
+def _stream_claims_csv(spark, d):
+    """The claims file laid out with every header, as the stream's fixed schema expects."""
+    from veriloom.sources.claims import CLAIM_HEADERS
+    raw = spark.read.option("header", True).csv(_claims_csv(spark, d))
+    path = work_dir(spark, "claims-in")
+    raw.select([(F.col(h) if h in raw.columns else F.lit(None).cast("string")).alias(h) for h in CLAIM_HEADERS]).write.option("header", True).csv(path)
+    return path
+
+
+@query("stream_fraud", "detector_name fraud_type risk_level provider_npi period batch")
+def _(spark, d):
+    sink = work_dir(spark, "alerts")
+    stream = _staged(spark, src.claims(spark, d), "provider_npi", "claims", 2)
+    jobs.fraud_alerts(stream, sink, work_dir(spark, "ck"), PARAMS["as_of"], PARAMS)
+    return spark.read.parquet(sink)
+
+
+@query("stream_provider_profile", "provider_npi total_claims:i total_amount:r2", "SELECT provider_npi, count(*) AS total_claims, sum(billed_amount) AS total_amount FROM claims GROUP BY 1")
+def _(spark, d):
+    sink = work_dir(spark, "profiles")
+    jobs.provider_profile(_staged(spark, src.claims(spark, d), "service_date", "claims"), sink, work_dir(spark, "ck"))
+    return jobs.latest_rows(spark, sink, ["provider_npi"])
+
+
+@query("stream_silver_upsert", "ResultId AbnormalFlag ResultStatus ResultValueNumeric:r ModifiedDate:t", """
+SELECT * REPLACE (upper(trim(AbnormalFlag)) AS AbnormalFlag, upper(trim(ResultStatus)) AS ResultStatus)
+FROM (SELECT *, row_number() OVER (PARTITION BY ResultId ORDER BY ModifiedDate DESC) AS r FROM bronze_lab) WHERE r = 1""")
+def _(spark, d):
+    root = work_dir(spark, "silver")
+    stream = _staged(spark, src.bronze_lab(spark, d), "ModifiedDate", "bronze")
+    jobs.silver_upsert(stream, root, f"{root}/_snapshots", "LabResults", "2024-01-31", work_dir(spark, "ck"), F.lit(src.AS_OF).cast("timestamp"))
+    return files.current_snapshot(spark, f"{root}/_snapshots", "LabResults")
+
+
+@query("stream_critical_alerts", "ResultId PatientId TestCode Severity", """
+SELECT *, CASE WHEN ResultValueNumeric < ReferenceRangeMin * 0.5 OR ResultValueNumeric > ReferenceRangeMax * 2 THEN 'Critical' ELSE 'High' END AS Severity FROM ranged0 WHERE IsCriticalValue""")
+def _(spark, d):
+    sink = work_dir(spark, "critical")
+    jobs.critical_alerts(_staged(spark, src.lab(spark, d), "ResultDate", "lab"), src.patients(spark, d), sink, work_dir(spark, "ck"))
+    return spark.read.parquet(sink)
+
+
+@query("stream_phi_access", "UserId window_start:t access_count:i", """
+SELECT UserId, window_start, count(*) AS access_count FROM (SELECT UserId, time_bucket(INTERVAL 5 MINUTE, AccessTimestamp) - to_minutes(CAST(5 * k AS INTEGER)) AS window_start
+ FROM access_log, range(0, 12) AS t(k) WHERE PHIAccessed) GROUP BY 1, 2 HAVING count(*) > 1""")
+def _(spark, d):
+    sink = work_dir(spark, "phi")
+    jobs.phi_access(_staged(spark, src.access_log(spark, d), "AccessTimestamp", "access"), sink, work_dir(spark, "ck"), 1)
+    return jobs.latest_rows(spark, sink, ["UserId", "window_start"])
+
+
+@query("stream_daily_quality", "MetricDate:d PerformingLabId:i TestCode TotalTests:i MissingResults:i AvgTurnaroundTimeMinutes:r", """
+SELECT CAST(ResultDate AS DATE) AS MetricDate, PerformingLabId, TestCode, count(*) AS TotalTests, count(*) FILTER (ResultValueNumeric IS NULL) AS MissingResults,
+ avg(TurnaroundTimeMinutes) AS AvgTurnaroundTimeMinutes FROM lab GROUP BY 1, 2, 3""")
+def _(spark, d):
+    sink = work_dir(spark, "daily")
+    jobs.daily_quality(_staged(spark, src.lab(spark, d), "ResultDate", "lab"), sink, work_dir(spark, "ck"))
+    return jobs.latest_rows(spark, sink, ["MetricDate", "PerformingLabId", "TestCode"])
+
+
+@query("stream_cdc_apply", "ResultId PatientId ResultValueNumeric:r ModifiedDate:t", """
+WITH net AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ResultId ORDER BY seq DESC) AS r FROM change_log WHERE op <> 3) WHERE r = 1)
+SELECT ResultId, PatientId, ResultValueNumeric, ModifiedDate FROM net WHERE op <> 1
+UNION ALL SELECT t.* FROM change_target t WHERE ResultId NOT IN (SELECT ResultId FROM net)""")
+def _(spark, d):
+    root = work_dir(spark, "cdc")
+    files.write_snapshot(src.change_target(spark, d), root, f"{root}/_snapshots", "results")
+    jobs.cdc_apply(_staged(spark, src.change_log(spark, d), "seq", "changes"), root, f"{root}/_snapshots", "results", ["ResultId"], work_dir(spark, "ck"))
+    return files.current_snapshot(spark, f"{root}/_snapshots", "results")
+
+
+@query("stream_delta_check", "ResultId PreviousResult:r PercentChange:r4 DeltaCheckPass IsLate", "SELECT *, FALSE AS IsLate FROM delta_checked")
+def _(spark, d):
+    sink = work_dir(spark, "delta")
+    jobs.delta_check(_staged(spark, src.lab(spark, d), "ResultDate", "lab"), sink, work_dir(spark, "ck"))
+    return spark.read.parquet(sink)
+
+
+@query("health_snapshot", HEALTH, "SELECT * FROM health")
+def _(spark, d):
+    tasks = queue.with_retry_fields(src.tasks(spark, d))
+    return jobs.health_snapshot(tasks, src.QUEUE_AS_OF, work_dir(spark, "monitor"))[0]

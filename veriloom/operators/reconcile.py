@@ -25,7 +25,9 @@ def _common(source: DataFrame, target: DataFrame, columns: Sequence[str] | None)
 
 def cell_checksum(c: Column, kind: T.DataType) -> Column:
     """32 bits of md5 over the value's text; floating values as fixed decimals, NULL as a text no value has."""
-    text = F.format_string("%.4f", F.round(c, 4)) if isinstance(kind, (T.DoubleType, T.FloatType)) else c.cast("string")
+    text = c.cast("string")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        text = F.coalesce(F.round(c, 4).try_cast("decimal(38,4)").cast("string"), text)  # NaN and infinities keep their names
     text = F.when(c.isNull(), F.lit("\x00")).otherwise(text)
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
@@ -36,8 +38,9 @@ def _side(df: DataFrame, common: list[str], sums: list[str], tag: str, checks: S
     for i, c in enumerate(common):
         kind = df.schema[c].dataType
         if "column_checksums" in checks:
-            sig = F.bit_xor(F.xxhash64(c)) if fast else F.sum(cell_checksum(F.col(c), kind).cast("decimal(38,0)"))
-            aggs.append(sig.cast("string").alias(f"k{i}"))
+            cell = F.xxhash64(c) if fast else cell_checksum(F.col(c), kind)
+            # a 64-bit sum could overflow from about 2^31 rows on
+            aggs.append(F.sum(cell.cast("decimal(20,0)")).cast("string").alias(f"k{i}"))
         if "null_counts" in checks:
             aggs.append(F.count_if(F.col(c).isNull()).alias(f"z{i}"))
     for i, c in enumerate(sums):
@@ -68,8 +71,8 @@ def _per_column(row: DataFrame, names: list[str], key: str, value: str) -> DataF
 
 
 def checksums(source: DataFrame, target: DataFrame, columns: Sequence[str] | None = None, fast: bool = False) -> DataFrame:
-    """Checksum per common column over all rows, independent of their order. ``fast`` uses an xor of 64-bit
-    hashes, which pairs of equal values cancel out of; the sum does not."""
+    """Checksum per common column over all rows, independent of their order. ``fast`` sums Spark's own 64-bit
+    hash, cheaper than md5 but not reproducible outside Spark. Sums, not xors: equal values cancel in an xor."""
     row, common, _ = profile(source, target, (), columns, ("column_checksums",), fast)
     return _per_column(row, common, "k", "checksum").withColumn("match", F.col("source_checksum").eqNullSafe(F.col("target_checksum")))
 
