@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -148,44 +149,52 @@ DELTA_OUT = ("ResultId bigint, PatientId bigint, TestCode string, ResultDate tim
 DELTA_STATE = "value double, micros bigint, result_id bigint"
 
 
-def _remember(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState, ttl_ms: int) -> Iterator[pd.DataFrame]:
+def _remember(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState, ttl_ms: int | None) -> Iterator[pd.DataFrame]:
     """Per patient and test: pair each result with the one before it; the state is the newest result seen."""
     if state.hasTimedOut:
         state.remove()
         return
-    pdf = pd.concat(list(frames)).sort_values(["ResultDate", "ResultId"])
+    pdf = pd.concat(list(frames), ignore_index=True)
     stamp = pdf["ResultDate"].to_numpy().astype("datetime64[us]").astype("int64")
-    known = state.get if state.exists else None
-    late = [known is not None and (t, i) < (known[1], known[2]) for t, i in zip(stamp, pdf["ResultId"])]
-    fresh = pdf[[not x for x in late]]
-    before_value, before_date = fresh["ResultValueNumeric"].shift(1), fresh["ResultDate"].shift(1)
-    if known is not None and len(fresh):
-        before_value.iloc[0] = known[0]
-        before_date.iloc[0] = pd.Timestamp(known[1], unit="us")
-    if len(fresh):
-        end = fresh.iloc[-1]
-        value = None if pd.isna(end["ResultValueNumeric"]) else float(end["ResultValueNumeric"])
-        state.update((value, int(stamp[len(stamp) - 1]), int(end["ResultId"])))
-    state.setTimeoutDuration(ttl_ms)
-    out = pdf[["ResultId", "PatientId", "TestCode", "ResultDate", "ResultValueNumeric"]].copy()
-    out["PreviousResult"] = before_value.reindex(out.index)
-    out["PreviousResultDate"] = before_date.reindex(out.index)
-    out["IsLate"] = late
-    yield out
-
-
-def with_previous_state(stream: DataFrame, ttl_ms: int = 365 * 86_400_000) -> DataFrame:
+    ids, values = pdf["ResultId"].to_numpy(), pdf["ResultValueNumeric"].to_numpy(dtype=float)
+    last = state.get if state.exists else None
+    n = len(pdf)
+    late, before, when = np.zeros(n, bool), np.full(n, np.nan), np.full(n, np.datetime64("NaT"), "datetime64[us]")
+    for k in np.lexsort((ids, stamp)):
+        if last is not None and (stamp[k], ids[k]) < (last[1], last[2]):
+            late[k] = True
+            continue
+        if last is not None:
+            before[k] = np.nan if last[0] is None else last[0]
+            when[k] = np.datetime64(last[1], "us")
+        last = (None if np.isnan(values[k]) else float(values[k]), int(stamp[k]), int(ids[k]))
+    state.update(last)
+    if ttl_ms is not None:
+        state.setTimeoutTimestamp(last[1] // 1000 + ttl_ms)
+    yield pd.DataFrame({"ResultId": ids, "PatientId": key[0], "TestCode": key[1], "ResultDate": pdf["ResultDate"], "ResultValueNumeric": values,
+                        "PreviousResult": before, "PreviousResultDate": when, "IsLate": late})
+
+
+def with_previous_state(stream: DataFrame, ttl: str | None = None, delay: str = "1 day") -> DataFrame:
     """Results beside the patient's previous one of the same test. A result older than the state is marked late
-    and changes nothing."""
+    and changes nothing.
+
+    Without ``ttl`` state is kept for good and no row is dropped. With it (such as "365 days") a state expires
+    that long after its last result in event time; Spark then drops rows later than ``delay``.
+    """
     rows = stream.select("ResultId", "PatientId", "TestCode", F.col("ResultDate").cast("timestamp").alias("ResultDate"), "ResultValueNumeric")
+    ttl_ms = None if ttl is None else int(pd.Timedelta(ttl).total_seconds() * 1000)
+    timeout = GroupStateTimeout.NoTimeout if ttl is None else GroupStateTimeout.EventTimeTimeout
+    if ttl is not None:
+        rows = rows.withWatermark("ResultDate", delay)
     return rows.groupBy("PatientId", "TestCode").applyInPandasWithState(
-        lambda key, frames, state: _remember(key, frames, state, ttl_ms), DELTA_OUT, DELTA_STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+        lambda key, frames, state: _remember(key, frames, state, ttl_ms), DELTA_OUT, DELTA_STATE, "append", timeout)
 
 
-def delta_check(stream: DataFrame, sink: str, checkpoint: str, rules=None, ttl_ms: int = 365 * 86_400_000) -> None:
+def delta_check(stream: DataFrame, sink: str, checkpoint: str, rules=None, ttl: str | None = None) -> None:
     """The delta check on a live stream: state gives the previous result, the rules are applied as in batch."""
     prev = F.col("PreviousResult")
-    df = with_previous_state(stream, ttl_ms).withColumns({
+    df = with_previous_state(stream, ttl).withColumns({
         "DaysSincePrevious": F.datediff("ResultDate", "PreviousResultDate"),
         "PercentChange": F.when(prev != 0, F.abs((F.col("ResultValueNumeric") - prev) / prev * 100))})
     checked = quality._apply(df, quality._delta, rules=rules)
