@@ -21,13 +21,13 @@ def enriched(spark: SparkSession, folder: str) -> DataFrame:
 def ranged(spark: SparkSession, folder: str) -> DataFrame:
     """Results with range validity and z-score anomalies: what the daily marts read."""
     df = quality.reference_range(enriched(spark, folder))
-    return anomaly.zscore_anomaly(anomaly.zscores(df)).withColumn("CriticalFlag", F.col("IsCriticalValue"))
+    return anomaly.zscore_anomaly(anomaly.zscores(df, anomaly.population_stats(src.lab(spark, folder)))).withColumn("CriticalFlag", F.col("IsCriticalValue"))
 
 
 def validated(spark: SparkSession, folder: str) -> DataFrame:
     """Results with all clinical flags and z-score anomalies."""
-    df = quality.clinical_flags(enriched(spark, folder))
-    return anomaly.zscore_anomaly(anomaly.zscores(df)).withColumn("CriticalFlag", F.col("IsCriticalValue"))
+    df = quality.clinical_flags(enriched(spark, folder), anomaly.patient_stats())
+    return anomaly.zscore_anomaly(anomaly.zscores(df, anomaly.population_stats(src.lab(spark, folder)))).withColumn("CriticalFlag", F.col("IsCriticalValue"))
 
 
 def patient_versions(spark: SparkSession, folder: str) -> DataFrame:

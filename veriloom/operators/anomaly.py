@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from veriloom.functions.parse import join_issues
 from veriloom.operators.skew import (
-    exact_percentiles, latest_per_key, previous_row, trailing_count, with_group_stats,
+    exact_percentiles, latest_per_key, previous_row, small_side, trailing_count, with_group_stats,
 )
 from veriloom.session import materialise
 
@@ -41,11 +41,26 @@ def frequency(lab: DataFrame, days: int = 30) -> DataFrame:
     return trailing_count(lab, ["PatientId", "TestCode"], "ResultDate", days, 86400, "test_frequency_30d")
 
 
-def zscores(lab: DataFrame) -> DataFrame:
-    """Deviation from the patient's own mean and from the test's population mean (sample deviation)."""
+def patient_stats() -> dict[str, Column]:
+    """Aggregates per patient and test, as ``stats`` of a previous-row pass."""
+    return {"_pm": F.avg("ResultValueNumeric"), "_ps": F.stddev_samp("ResultValueNumeric")}
+
+
+def population_stats(lab: DataFrame) -> DataFrame:
+    """Mean and sample deviation per test, a small side. Pass a narrow frame: it is read in full here."""
+    v = F.col("ResultValueNumeric")
+    return small_side(lab.select("TestCode", "ResultValueNumeric").groupBy("TestCode").agg(
+        F.avg(v).alias("_tm"), F.stddev_samp(v).alias("_ts")), "population")
+
+
+def zscores(lab: DataFrame, population: DataFrame | None = None) -> DataFrame:
+    """Deviation from the patient's own mean and from the test's population mean (sample deviation).
+
+    Uses patient aggregates already on the rows, and computes them otherwise.
+    """
     v = F.col("ResultValueNumeric")
-    df = with_group_stats(lab, ["PatientId", "TestCode"], _pm=F.avg(v), _ps=F.stddev_samp(v))
-    df = with_group_stats(df, ["TestCode"], _tm=F.avg(v), _ts=F.stddev_samp(v))
+    df = lab if "_pm" in lab.columns else with_group_stats(lab, ["PatientId", "TestCode"], **patient_stats())
+    df = df.join(population if population is not None else population_stats(lab), "TestCode", "left")
     return df.withColumns({
         "z_score_within_patient": F.coalesce(zscore(v, F.col("_pm"), F.col("_ps")), F.lit(0.0)),
         "z_score_population": F.coalesce(zscore(v, F.col("_tm"), F.col("_ts")), F.lit(0.0))}).drop("_pm", "_ps", "_tm", "_ts")
@@ -56,8 +71,9 @@ def features(lab: DataFrame) -> DataFrame:
     base = lab.select("ResultId", "PatientId", "TestCode", "ResultDate", "ResultValueNumeric", "ReferenceRangeMin",
                       "ReferenceRangeMax")
     v = F.col("ResultValueNumeric")
-    df = previous_row(base, ["PatientId", "TestCode"], ["ResultDate", "ResultId"], ["ResultValueNumeric", "ResultDate"])
-    df = zscores(frequency(df))
+    df = previous_row(base, ["PatientId", "TestCode"], ["ResultDate", "ResultId"], ["ResultValueNumeric", "ResultDate"],
+                      stats=patient_stats())
+    df = zscores(frequency(df), population_stats(base))
 
     def against(bound: str) -> Column:
         b = F.col(bound)

@@ -103,9 +103,13 @@ def upcoding(claims: DataFrame, z: float = 2.0, min_claims: int = 10, tiers=None
 
 
 def phantom(claims: DataFrame, cap: int = 50) -> DataFrame:
-    """Provider-days with more claims than can be delivered."""
-    day = (claims.where(F.col("service_date").isNotNull()).groupBy("provider_npi", "service_date")
-           .agg(F.count("*").alias("n"), F.countDistinct("beneficiary_id").alias("people")).where(F.col("n") > cap))
+    """Provider-days with more claims than can be delivered. Beneficiaries are counted only for the days flagged."""
+    keys = ["provider_npi", "service_date"]
+    dated = claims.where(F.col("service_date").isNotNull())
+    over = dated.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > cap)
+    people = dated.select(*keys, "beneficiary_id").join(over.select(*keys), keys, "left_semi").groupBy(*keys).agg(
+        F.countDistinct("beneficiary_id").alias("people"))
+    day = over.join(people, keys)
     return _alerts(
         day, "PhantomBillingDetector", F.lit("phantom_billing"), F.when(F.col("n") > 100, "critical").otherwise("high"),
         F.least(F.lit(0.95), F.lit(0.6) + F.col("n") / 200), period=F.col("service_date"), count=F.col("n"),

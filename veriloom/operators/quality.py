@@ -47,10 +47,10 @@ def reference_range(enriched: DataFrame, rules=None) -> DataFrame:
                     message.alias("RangeMessage")).drop("_sexed")
 
 
-def with_previous(lab: DataFrame, bucket_seconds: int = 7 * 86400) -> DataFrame:
+def with_previous(lab: DataFrame, bucket_seconds: int = 7 * 86400, stats: dict[str, Column] | None = None) -> DataFrame:
     """The patient's preceding result of the same test and the change in percent (NULL if it was zero)."""
     df = previous_row(lab, ["PatientId", "TestCode"], ["ResultDate", "ResultId"],
-                      ["ResultValueNumeric", "ResultDate"], bucket_seconds)
+                      ["ResultValueNumeric", "ResultDate"], bucket_seconds, stats=stats)
     prev = F.col("_prev.ResultValueNumeric")
     change = F.when(prev != 0, F.abs((F.col("ResultValueNumeric") - prev) / prev * 100))
     return df.withColumns({
@@ -191,9 +191,9 @@ def quality_flags(lab: DataFrame, tests: DataFrame, rules=None) -> DataFrame:
         "HemolysisImpact", hemolysis_impact())
 
 
-def clinical_flags(enriched: DataFrame) -> DataFrame:
-    """Range, temporal and specimen validity with one joined message."""
-    df = specimen_tests(temporal_consistency(with_previous(reference_range(enriched))))
+def clinical_flags(enriched: DataFrame, stats: dict[str, Column] | None = None) -> DataFrame:
+    """Range, temporal and specimen validity with one joined message; ``stats`` as in ``previous_row``."""
+    df = specimen_tests(temporal_consistency(with_previous(reference_range(enriched), stats=stats)))
     return df.withColumn("ValidationMessage", join_issues(F.col("RangeMessage"), F.col("TemporalMessage"))).drop(
         "RangeMessage", "TemporalMessage")
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from veriloom.session import materialise
 
 MICROS = 1_000_000
+MAX_BROADCAST_ROWS = 100_000
 
 
 def micros(ts: Column) -> Column:
@@ -36,10 +37,11 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 
 
 def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str],
-                 bucket_seconds: int = 7 * 86400, name: str = "_prev") -> DataFrame:
+                 bucket_seconds: int = 7 * 86400, name: str = "_prev", stats: dict[str, Column] | None = None) -> DataFrame:
     """Add struct ``name`` with ``values`` of the preceding row of the key; NULL struct on the first row.
 
-    ``order[0]`` is a timestamp; the remaining columns break ties and must make the order total.
+    ``order[0]`` is a timestamp; the remaining columns break ties and must make the order total. ``stats`` adds
+    aggregates over the whole key: they travel with the carried rows, so the data itself is not shuffled again.
     """
     cut = df.withColumn("_bucket", time_bucket(F.col(order[0]), bucket_seconds))
     kept = F.struct(*values)
@@ -48,6 +50,8 @@ def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
     last = cut.groupBy(*keys, "_bucket").agg(F.max_by(kept, F.struct(*order)).alias("_last"))
     between = W.partitionBy(*keys).orderBy("_bucket")
     carry = last.select(*keys, "_bucket", F.lag("_last").over(between).alias("_carry"))
+    if stats:
+        carry = carry.join(df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()]), list(keys))
     joined = lagged.join(carry, [*keys, "_bucket"], "left")
     return joined.withColumn(name, F.coalesce("_in", "_carry")).drop("_in", "_carry", "_bucket")
 
@@ -151,3 +155,10 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], **stats: Column) -> Dat
     it turns out small and splits hot keys otherwise, which a window over the key could not."""
     totals = df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
     return df.join(totals, list(keys), "left")
+
+
+def small_side(df: DataFrame, name: str = "small") -> DataFrame:
+    """A reduced frame for joining to a large one: stored once, counted, and broadcast only if it is small. Left to
+    itself the planner would shuffle the large side before learning the size of the other."""
+    stored = materialise(df, name)
+    return F.broadcast(stored) if stored.count() <= MAX_BROADCAST_ROWS else stored

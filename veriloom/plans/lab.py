@@ -27,8 +27,9 @@ class LabTables:
 def validate(silver: DataFrame, patients: DataFrame) -> DataFrame:
     """Clinical flags and z-score anomalies in place: each step only adds columns, so no stored results have to be
     joined back by result id."""
-    df = quality.clinical_flags(quality.enrich(silver, patients, R.test_catalogue(silver.sparkSession)))
-    return anomaly.zscore_anomaly(anomaly.zscores(df)).withColumn("CriticalFlag", F.col("IsCriticalValue"))
+    enriched = quality.enrich(silver, patients, R.test_catalogue(silver.sparkSession))
+    df = quality.clinical_flags(enriched, anomaly.patient_stats())
+    return anomaly.zscore_anomaly(anomaly.zscores(df, anomaly.population_stats(silver))).withColumn("CriticalFlag", F.col("IsCriticalValue"))
 
 
 def store(df: DataFrame, path: str, cluster_by: list[str] | None = None) -> DataFrame:
