@@ -11,7 +11,7 @@ from veriloom.functions import normal
 from veriloom.functions.hashing import forecast_id
 from veriloom.operators import consensus, forecast
 from veriloom.operators import series as series_ops
-from veriloom.session import work_dir
+from veriloom.session import materialise, work_dir
 from veriloom.sources import files
 from veriloom.sources import frames as src
 
@@ -207,8 +207,8 @@ UNION ALL SELECT indicator, printf('%.0f%%', round(level * 100)) || ' intervals
 @query("evaluation_recommendations", "indicator recommendation", """
 SELECT * FROM advice UNION ALL SELECT indicator, 'Forecast performance is within acceptable ranges.' FROM acc WHERE indicator NOT IN (SELECT indicator FROM advice)""")
 def _(spark, d):
-    errs = _errors(spark, d)
-    return forecast.recommendations(forecast.accuracy(errs), forecast.coverage(errs))
+    errs = materialise(_errors(spark, d), "errors")
+    return forecast.recommendations(materialise(forecast.accuracy(errs), "accuracy"), materialise(forecast.coverage(errs), "coverage"))
 
 
 @query("evaluation_report", "indicator first_target:d last_target:d mae:r rmse:r crps:r sharpness:r recommendations:j")
@@ -377,7 +377,7 @@ def _(spark, d):
 SELECT indicator, indicator || '_20010831_20020228' AS forecast_id, point_estimate - {normal.Z[0.95]!r} * std AS ci_90_lower, point_estimate + {normal.Z[0.95]!r} * std AS ci_90_upper,
  point_estimate - {normal.Z[0.975]!r} * std AS ci_95_lower, point_estimate + {normal.Z[0.975]!r} * std AS ci_95_upper, 'Bayesian inference with conjugate prior' AS methodology FROM bayes""")
 def _(spark, d):
-    return spark.read.parquet(files.append_rows(forecast.forecast_records(_bayes(spark, d)), work_dir(spark, "forecasts")))
+    return files.read_rows(spark, files.append_rows(forecast.forecast_records(_bayes(spark, d)), work_dir(spark, "forecasts")))
 
 
 @query("consensus_records_sink", "indicator target_date:d point_estimate:r ci_90_lower:r n_experts:i consensus_strength agreement_score:r", f"""
@@ -385,15 +385,15 @@ SELECT *, consensus AS point_estimate, consensus - {normal.Z[0.95]!r} * consensu
 def _(spark, d):
     e = _weighed(spark, d)
     rows = consensus.consensus_records(consensus.build(e), consensus.strength(e))
-    return spark.read.parquet(files.append_rows(rows, work_dir(spark, "consensus")))
+    return files.read_rows(spark, files.append_rows(rows, work_dir(spark, "consensus")))
 
 
 @query("rationale_records_sink", "forecast_id executive_summary n_assumptions:i n_evidence_sources:i", """
 SELECT forecast_id, executive_summary, CASE WHEN has_assumption THEN 1 ELSE 0 END AS n_assumptions, n_ev AS n_evidence_sources FROM rationales""")
 def _(spark, d):
-    return spark.read.parquet(files.append_rows(forecast.rationale_records(_rationales(spark, d)), work_dir(spark, "rationales")))
+    return files.read_rows(spark, files.append_rows(forecast.rationale_records(_rationales(spark, d)), work_dir(spark, "rationales")))
 
 
 @query("contribution_records_sink", "forecast_id expert_id point_estimate:r4 weight:r", "SELECT * FROM weighed")
 def _(spark, d):
-    return spark.read.parquet(files.append_rows(consensus.contribution_records(_weighed(spark, d)), work_dir(spark, "contributions")))
+    return files.read_rows(spark, files.append_rows(consensus.contribution_records(_weighed(spark, d)), work_dir(spark, "contributions")))

@@ -84,7 +84,7 @@ def _(spark, d):
 @query("recon_report_append", "reconciliation_id status discrepancies_json")
 def _(spark, d):
     row = rc.report(rc.reconcile(*_sides(spark, d), KEYS), "recon_1", src.QUEUE_AS_OF)
-    return spark.read.parquet(files.append_rows(row, work_dir(spark, "recon")))
+    return files.read_rows(spark, files.append_rows(row, work_dir(spark, "recon")))
 
 
 @query("recon_status_dist", "status n:i", "SELECT status, count(*) AS n FROM recon_results GROUP BY 1")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from veriloom.functions.parse import safe_ratio
 from veriloom.operators import forecast as fc
 from veriloom.operators.skew import exact_percentiles, running_weight
+from veriloom.session import materialise
 
 # fixed values: base weight by level of expertise
 LEVEL_WEIGHTS = {"novice": 0.5, "intermediate": 1.0, "expert": 1.5, "master": 2.0}
@@ -22,7 +23,7 @@ GROUP = ("indicator", "target_date")
 
 def expert_performance(experts: DataFrame, actuals: DataFrame) -> DataFrame:
     """Mean, median and root mean squared error per expert over forecasts with an outcome."""
-    errs = fc.errors(experts, actuals)
+    errs = materialise(fc.errors(experts, actuals).select("expert_id", "absolute_error", "squared_error"), "errors")
     g = errs.groupBy("expert_id").agg(F.avg("absolute_error").alias("mae"), F.sqrt(F.avg("squared_error")).alias("rmse"), F.count("*").alias("n_forecasts"))
     return g.join(exact_percentiles(errs, ["expert_id"], "absolute_error", {"median_ae": 0.5}), "expert_id")
 

@@ -17,6 +17,7 @@ from veriloom.functions.hashing import forecast_id
 from veriloom.functions.parse import safe_ratio
 from veriloom.operators.series import by_series, latest_value
 from veriloom.operators.skew import exact_percentiles
+from veriloom.session import materialise
 
 # fixed values: widening of the uncertainty by horizon
 HORIZON_FACTORS = {"short_term": 1.0, "medium_term": 1.5, "long_term": 2.5, "very_long_term": 4.0}
@@ -145,7 +146,7 @@ def crps(errs: DataFrame, by: Sequence[str] = ("indicator",), min_n: int = 10) -
 
 def methodology_ranking(errs: DataFrame, min_n: int = 5) -> DataFrame:
     """Accuracy per indicator and methodology, the least mean absolute error marked best."""
-    acc = accuracy(errs, ("indicator", "methodology"), min_n)
+    acc = materialise(accuracy(errs, ("indicator", "methodology"), min_n), "accuracy")
     best = acc.groupBy("indicator").agg(F.min_by("methodology", F.struct("mae", "methodology")).alias("_b"))
     return acc.join(best, "indicator").withColumn("is_best", F.col("methodology") == F.col("_b")).drop("_b")
 
@@ -173,8 +174,8 @@ def recommendations(acc: DataFrame, cov: DataFrame) -> DataFrame:
 
 def evaluation_report(forecasts: DataFrame, actuals: DataFrame) -> DataFrame:
     """Per indicator: period, accuracy, score, coverage by level and the recommendations."""
-    errs = errors(forecasts, actuals)
-    acc, cov = accuracy(errs), coverage(errs)
+    errs = materialise(errors(forecasts, actuals), "errors")
+    acc, cov = materialise(accuracy(errs), "accuracy"), materialise(coverage(errs), "coverage")
     span = errs.groupBy("indicator").agg(F.min("target_date").alias("first_target"), F.max("target_date").alias("last_target"))
     levels = cov.groupBy("indicator").agg(F.first("sharpness").alias("sharpness"), F.sort_array(F.collect_list(F.struct("level", "actual_coverage"))).alias("coverage"))
     advice = recommendations(acc, cov).groupBy("indicator").agg(F.sort_array(F.collect_list("recommendation")).alias("recommendations"))

@@ -52,13 +52,14 @@ def zscore(value: Column, mean: Column, std: Column) -> Column:
 def percentile_rank(df: DataFrame, value: str, by: Iterable[str] = ()) -> DataFrame:
     """Share of the group's rows strictly below each row's value, in percent."""
     keys = list(by)
-    frame = df if keys else df.withColumn("_all", F.lit(1))
-    group = keys or ["_all"]
-    counts = frame.groupBy(*group, value).agg(F.count("*").alias("_n"))
-    totals = frame.groupBy(*group).agg(F.count("*").alias("_total"))
-    ranks = (running_weight(counts, group, value, "_n").join(totals, group)
-             .select(*group, value, (F.col("_before") / F.col("_total") * 100).alias("percentile_rank")))
-    return frame.join(ranks, [*group, value]).drop("_all")
+    counts = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    before = running_weight(counts, keys, value, "_n")
+    if keys:
+        before = before.join(df.groupBy(*keys).agg(F.count("*").alias("_total")), keys)
+    else:
+        before = before.withColumn("_total", df.agg(F.count("*")).scalar())
+    ranks = before.select(*keys, value, (F.col("_before") / F.col("_total") * 100).alias("percentile_rank"))
+    return df.join(ranks, [*keys, value])
 
 
 def _alerts(df: DataFrame, detector: str, fraud_type: Column, risk: Column, confidence: Column, *, period: Column, count: Column,
@@ -242,8 +243,8 @@ def keep_confident(alerts: DataFrame, threshold: float = 0.5, include_low: bool
 def cap_per_provider(alerts: DataFrame, n: int = 10) -> DataFrame:
     """At most n alerts per provider, by priority; alerts naming no provider all stay."""
     order = [F.col("priority_score").desc(), F.col("detector_name"), F.col("period")]
-    named = latest_per_key(alerts.where(F.col("provider_npi").isNotNull()), ["provider_npi"], order, n)
-    return named.unionByName(alerts.where(F.col("provider_npi").isNull()))
+    own = F.coalesce("provider_npi", "alert_id")  # an alert without provider is alone in its group
+    return latest_per_key(alerts.withColumn("_own", own), ["_own"], order, n).drop("_own")
 
 
 def alert_claims(claims: DataFrame, alerts: DataFrame) -> DataFrame:

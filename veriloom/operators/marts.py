@@ -205,21 +205,24 @@ def _latest(column: str, code: str) -> Column:
     return F.max_by(column, F.when(when, F.struct("ResultDate", "ResultId")))
 
 
+def _pivot_columns() -> list[Column]:
+    return [*[_latest("ResultValueNumeric", c).alias(f"Latest_{n}") for c, n in PIVOT_TESTS.items()],
+            *[F.to_date(_latest("ResultDate", c)).alias(f"Latest_{n}_Date") for c, n in PIVOT_TESTS.items()]]
+
+
 def pivot_latest(fact: DataFrame) -> DataFrame:
     """Latest final value and day per patient for the common tests, as one aggregate."""
-    return fact.groupBy("PatientKey").agg(
-        *[_latest("ResultValueNumeric", c).alias(f"Latest_{n}") for c, n in PIVOT_TESTS.items()],
-        *[F.to_date(_latest("ResultDate", c)).alias(f"Latest_{n}_Date") for c, n in PIVOT_TESTS.items()])
+    return fact.groupBy("PatientKey").agg(*_pivot_columns())
 
 
 def unified_patient_view(fact: DataFrame, patients: DataFrame) -> DataFrame:
-    """Current patients with their latest results and totals. Facts are aggregated to one row per patient
+    """Current patients with their latest results and totals. One aggregate brings the facts to one row per patient
     before the join, so the join cannot fan out."""
     per_patient = fact.groupBy("PatientKey").agg(
-        F.countDistinct("TestKey").alias("TotalUniqueTests"), F.count("*").alias("TotalLabResults"),
+        *_pivot_columns(), F.countDistinct("TestKey").alias("TotalUniqueTests"), F.count("*").alias("TotalLabResults"),
         F.count_if("CriticalFlag").alias("TotalCriticalValues"), F.count_if("IsAnomaly").alias("TotalAnomalies"),
         F.to_date(F.max("ResultDate")).alias("LastTestDate"))
-    return current_rows(patients).join(pivot_latest(fact), "PatientKey", "left").join(per_patient, "PatientKey", "left")
+    return current_rows(patients).join(per_patient, "PatientKey", "left")
 
 
 def hierarchy_rollup(fact: DataFrame, levels: Sequence[str]) -> DataFrame:

@@ -92,17 +92,19 @@ def exact_positions(df: DataFrame, by: Sequence[str], value: str, wanted: dict[s
     """
     group = list(by)
     present = df.where(F.col(value).isNotNull()).select(*group, F.col(value).alias("_v"))
-    if not group:
-        group, present = ["_all"], present.withColumn("_all", F.lit(1))
     margin = 3.0 / accuracy
     names = list(wanted)
     fractions = []
     for n in names:
         q = wanted[n][0]
         fractions += [max(0.0, q - margin), min(1.0, q + margin)]
-    sketch = present.groupBy(*group).agg(
-        F.percentile_approx("_v", fractions, accuracy).alias("_cuts"), F.count("*").alias("_total"))
-    counts = present.groupBy(*group, "_v").agg(F.count("*").alias("_n")).join(sketch, group)
+    cuts = F.struct(F.percentile_approx("_v", fractions, accuracy).alias("cuts"), F.count("*").alias("total")).alias("_s")
+    counts = present.groupBy(*group, "_v").agg(F.count("*").alias("_n"))
+    if group:
+        counts = counts.join(present.groupBy(*group).agg(cuts), group)
+    else:  # one row for all: a scalar, as a join without keys would be a cross join
+        counts = counts.withColumn("_s", present.agg(cuts).scalar())
+    counts = counts.select(*group, "_v", "_n", F.col("_s.cuts").alias("_cuts"), F.col("_s.total").alias("_total"))
     brackets = F.array(*[
         F.struct(F.lit(n).alias("name"), F.col("_cuts")[2 * i].alias("lo"), F.col("_cuts")[2 * i + 1].alias("hi"),
                  wanted[n][1].cast("double").alias("pos"))

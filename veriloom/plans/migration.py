@@ -35,4 +35,4 @@ def reconcile_completed(spark: SparkSession, pairs: DataFrame, sink: str, as_of:
 
     with ThreadPoolExecutor(parallel) as pool:
         list(pool.map(run, rows))
-    return spark.read.parquet(sink)
+    return files.read_rows(spark, sink)

@@ -48,12 +48,12 @@ def source_check(spark: SparkSession, path: str, schema: str | None = None) -> D
 
 
 def record_snapshot(spark: SparkSession, log: str, table: str, path: str, n_rows: int) -> None:
-    """Point ``table`` at ``path``. Appending one row commits atomically, so readers see the old snapshot or
-    the new one, never a mixture. One writer per table is assumed."""
+    """Point ``table`` at ``path``. The row appears whole or not at all, so readers see the old snapshot or the new
+    one, never a mixture. One writer per table is assumed; tables may be written side by side."""
     row = spark.range(1).select(
         F.lit(table).alias("table"), F.lit(path).alias("path"), F.lit(n_rows).cast("bigint").alias("n_rows"),
         F.current_timestamp().alias("created_at"))
-    row.write.mode("append").parquet(log)
+    append_rows(row, log)
 
 
 def current_snapshot(spark: SparkSession, log: str, table: str) -> DataFrame:
@@ -130,6 +130,12 @@ def append_partitioned(df: DataFrame, root: str, by: str) -> str:
 
 
 def append_rows(df: DataFrame, path: str) -> str:
-    """Plain append, for report and log rows."""
-    df.write.mode("append").parquet(path)
+    """Add report or log rows. Each append is a folder of its own: two jobs appending to one folder at the same time
+    would clear away each other's uncommitted files."""
+    df.write.parquet(f"{path.rstrip('/')}/append={uuid.uuid4().hex[:12]}")
     return path
+
+
+def read_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Everything appended so far."""
+    return spark.read.parquet(path).drop("append")

@@ -206,7 +206,7 @@ def health_snapshot(tasks: DataFrame, as_of: str, sink: str, limits: queue.Alert
     spark = tasks.sparkSession
     row = queue.health(tasks, as_of, limits)
     files.append_rows(row, f"{sink}/metrics")
-    saved = spark.read.parquet(f"{sink}/metrics").where(F.col("timestamp") == queue.ts(as_of))
+    saved = files.read_rows(spark, f"{sink}/metrics").where(F.col("timestamp") == queue.ts(as_of))
     alerts = queue.health_alerts(saved, limits).withColumn("raised_at", queue.ts(as_of))
     files.append_rows(alerts, f"{sink}/alerts")
-    return saved, spark.read.parquet(f"{sink}/alerts").where(F.col("raised_at") == queue.ts(as_of))
+    return saved, files.read_rows(spark, f"{sink}/alerts").where(F.col("raised_at") == queue.ts(as_of))
