@@ -10,17 +10,20 @@ from veriloom.catalog.ingest import _claims_csv
 from veriloom.catalog.queue import HEALTH
 from veriloom.catalog.registry import query
 from veriloom.operators import queue
-from veriloom.session import work_dir
+from veriloom.session import materialise, work_dir
 from veriloom.sources import files
 from veriloom.sources import frames as src
 from veriloom.streaming import jobs
 
 
-def _staged(spark, df, order, name, parts=3):
-    """Arriving files: the whole frame in ``parts`` range-partitioned files, written in order."""
-    path = work_dir(spark, name)
-    df.repartitionByRange(parts, order).sortWithinPartitions(order).write.parquet(path)
-    return jobs.table_source(spark, path, df.schema)
+def _in_parts(spark, df, order, name, job, parts=3):
+    """Let the frame arrive in ranges of ``order``: after each range has landed, the job runs over what is new and
+    stops, its checkpoint carrying progress and state to the next run."""
+    cut = materialise(df.repartitionByRange(parts, order).withColumn("_part", F.spark_partition_id()), name)
+    path, checkpoint = work_dir(spark, name), work_dir(spark, "ck")
+    for k in range(parts):
+        cut.where(F.col("_part") == k).drop("_part").write.mode("append").parquet(path)
+        job(jobs.table_source(spark, path, df.schema, 100_000), checkpoint)
 
 
 @query("stream_claims_source", "claim_id provider_npi billed_amount:r2 units:i", """
@@ -44,15 +47,14 @@ def _stream_claims_csv(spark, d):
 @query("stream_fraud", "detector_name fraud_type risk_level provider_npi period batch")
 def _(spark, d):
     sink = work_dir(spark, "alerts")
-    stream = _staged(spark, src.claims(spark, d), "provider_npi", "claims", 2)
-    jobs.fraud_alerts(stream, sink, work_dir(spark, "ck"), PARAMS["as_of"], PARAMS)
+    _in_parts(spark, src.claims(spark, d), "provider_npi", "claims", lambda s, ck: jobs.fraud_alerts(s, sink, ck, PARAMS["as_of"], PARAMS), 2)
     return spark.read.parquet(sink)
 
 
 @query("stream_provider_profile", "provider_npi total_claims:i total_amount:r2", "SELECT provider_npi, count(*) AS total_claims, sum(billed_amount) AS total_amount FROM claims GROUP BY 1")
 def _(spark, d):
     sink = work_dir(spark, "profiles")
-    jobs.provider_profile(_staged(spark, src.claims(spark, d), "service_date", "claims"), sink, work_dir(spark, "ck"))
+    _in_parts(spark, src.claims(spark, d), "service_date", "claims", lambda s, ck: jobs.provider_profile(s, sink, ck))
     return jobs.latest_rows(spark, sink, ["provider_npi"])
 
 
@@ -61,8 +63,9 @@ SELECT * REPLACE (upper(trim(AbnormalFlag)) AS AbnormalFlag, upper(trim(ResultSt
 FROM (SELECT *, row_number() OVER (PARTITION BY ResultId ORDER BY ModifiedDate DESC) AS r FROM bronze_lab) WHERE r = 1""")
 def _(spark, d):
     root = work_dir(spark, "silver")
-    stream = _staged(spark, src.bronze_lab(spark, d), "ModifiedDate", "bronze")
-    jobs.silver_upsert(stream, root, f"{root}/_snapshots", "LabResults", "2024-01-31", work_dir(spark, "ck"), F.lit(src.AS_OF).cast("timestamp"))
+    at = F.lit(src.AS_OF).cast("timestamp")
+    _in_parts(spark, src.bronze_lab(spark, d), "ModifiedDate", "bronze",
+              lambda s, ck: jobs.silver_upsert(s, root, f"{root}/_snapshots", "LabResults", "2024-01-31", ck, at))
     return files.current_snapshot(spark, f"{root}/_snapshots", "LabResults")
 
 
@@ -70,7 +73,7 @@ def _(spark, d):
 SELECT *, CASE WHEN ResultValueNumeric < ReferenceRangeMin * 0.5 OR ResultValueNumeric > ReferenceRangeMax * 2 THEN 'Critical' ELSE 'High' END AS Severity FROM ranged0 WHERE IsCriticalValue""")
 def _(spark, d):
     sink = work_dir(spark, "critical")
-    jobs.critical_alerts(_staged(spark, src.lab(spark, d), "ResultDate", "lab"), src.patients(spark, d), sink, work_dir(spark, "ck"))
+    _in_parts(spark, src.lab(spark, d), "ResultDate", "lab", lambda s, ck: jobs.critical_alerts(s, src.patients(spark, d), sink, ck))
     return spark.read.parquet(sink)
 
 
@@ -79,7 +82,7 @@ SELECT UserId, window_start, count(*) AS access_count FROM (SELECT UserId, time_
  FROM access_log, range(0, 12) AS t(k) WHERE PHIAccessed) GROUP BY 1, 2 HAVING count(*) > 1""")
 def _(spark, d):
     sink = work_dir(spark, "phi")
-    jobs.phi_access(_staged(spark, src.access_log(spark, d), "AccessTimestamp", "access"), sink, work_dir(spark, "ck"), 1)
+    _in_parts(spark, src.access_log(spark, d), "AccessTimestamp", "access", lambda s, ck: jobs.phi_access(s, sink, ck, 1))
     return jobs.latest_rows(spark, sink, ["UserId", "window_start"])
 
 
@@ -88,7 +91,7 @@ SELECT CAST(ResultDate AS DATE) AS MetricDate, PerformingLabId, TestCode, count(
  avg(TurnaroundTimeMinutes) AS AvgTurnaroundTimeMinutes FROM lab GROUP BY 1, 2, 3""")
 def _(spark, d):
     sink = work_dir(spark, "daily")
-    jobs.daily_quality(_staged(spark, src.lab(spark, d), "ResultDate", "lab"), sink, work_dir(spark, "ck"))
+    _in_parts(spark, src.lab(spark, d), "ResultDate", "lab", lambda s, ck: jobs.daily_quality(s, sink, ck))
     return jobs.latest_rows(spark, sink, ["MetricDate", "PerformingLabId", "TestCode"])
 
 
@@ -99,14 +102,14 @@ UNION ALL SELECT t.* FROM change_target t WHERE ResultId NOT IN (SELECT ResultId
 def _(spark, d):
     root = work_dir(spark, "cdc")
     files.write_snapshot(src.change_target(spark, d), root, f"{root}/_snapshots", "results")
-    jobs.cdc_apply(_staged(spark, src.change_log(spark, d), "seq", "changes"), root, f"{root}/_snapshots", "results", ["ResultId"], work_dir(spark, "ck"))
+    _in_parts(spark, src.change_log(spark, d), "seq", "changes", lambda s, ck: jobs.cdc_apply(s, root, f"{root}/_snapshots", "results", ["ResultId"], ck))
     return files.current_snapshot(spark, f"{root}/_snapshots", "results")
 
 
 @query("stream_delta_check", "ResultId PreviousResult:r PercentChange:r4 DeltaCheckPass IsLate", "SELECT *, FALSE AS IsLate FROM delta_checked")
 def _(spark, d):
     sink = work_dir(spark, "delta")
-    jobs.delta_check(_staged(spark, src.lab(spark, d), "ResultDate", "lab"), sink, work_dir(spark, "ck"))
+    _in_parts(spark, src.lab(spark, d), "ResultDate", "lab", lambda s, ck: jobs.delta_check(s, sink, ck))
     return spark.read.parquet(sink)
 
 
