@@ -123,9 +123,9 @@ def phantom(claims: DataFrame, cap: int = 50) -> DataFrame:
 
 def provider_months(claims: DataFrame, high_risk=R.HIGH_RISK_CODES) -> DataFrame:
     """Claims per provider and month with claims, and how many carry high-risk codes."""
-    month = F.date_format("service_date", "yyyy-MM")
-    return (claims.where(F.col("service_date").isNotNull()).groupBy("provider_npi", month.alias("month"))
-            .agg(F.count("*").alias("n"), F.count_if(F.col("hcpcs_code").isin(*high_risk)).alias("risky")))
+    counted = (claims.where(F.col("service_date").isNotNull()).groupBy("provider_npi", F.trunc("service_date", "month").alias("_m"))
+               .agg(F.count("*").alias("n"), F.count_if(F.col("hcpcs_code").isin(*high_risk)).alias("risky")))
+    return counted.select("provider_npi", F.date_format("_m", "yyyy-MM").alias("month"), "n", "risky")
 
 
 def running_baseline(months: DataFrame) -> DataFrame:

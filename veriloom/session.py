@@ -18,6 +18,7 @@ def local_session(cpus: int | str = "*", app: str = "veriloom") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
