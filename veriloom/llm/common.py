@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -43,19 +45,19 @@ def stored_rows(df: DataFrame, name: str, row: str = "_row") -> DataFrame:
     return materialise(df.withColumn(row, F.monotonically_increasing_id()), name)
 
 
-def rank_within(stored: DataFrame, keys: Sequence[str], row: str = "_row", name: str = "rank") -> DataFrame:
-    """Add the 0-based place of each row among those with equal ``keys``, in an arbitrary but fixed order.
+def rank_within(stored: DataFrame, keys: Sequence[str], row: Sequence[str] = ("_row",), name: str = "rank") -> DataFrame:
+    """Add the 0-based place of each row among those with equal ``keys``, in an order fixed by the columns ``row``.
 
-    Rows of a key are dealt into buckets by their number; a bucket's rows are numbered on their own and start
+    Rows of a key are dealt into buckets by a hash of ``row``; a bucket's rows are numbered on their own and start
     where the buckets before it end. So a key that holds most rows is spread over all tasks. Null keys are a key.
     """
     buckets = 4 * shuffle_partitions(stored.sparkSession)
     keys = list(keys)
     safe = [f"_k{i}" for i in range(len(keys))]
-    cut = stored.withColumn("_bucket", F.pmod(F.xxhash64(row), F.lit(buckets)))
+    cut = stored.withColumn("_bucket", F.pmod(F.xxhash64(*row), F.lit(buckets)))
     for k, s in zip(keys, safe):  # nulls take part in the join as a value
         cut = cut.withColumn(s, F.struct(F.col(k).isNull().alias("n"), F.coalesce(F.col(k), _zero(stored, k)).alias("v")))
-    inside = W.partitionBy(*safe, "_bucket").orderBy(row)
+    inside = W.partitionBy(*safe, "_bucket").orderBy(*row)
     numbered = cut.withColumn("_own", F.row_number().over(inside) - 1)
     sizes = cut.groupBy(*safe, "_bucket").agg(F.count("*").alias("_n"))
     before = W.partitionBy(*safe).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
@@ -94,3 +96,11 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         if state == before:
             return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = state
+
+
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", hint: str | None = None) -> DataFrame:
+    """Equi-join on columns of the same names; nulls match nulls."""
+    names = {k: f"_same{i}" for i, k in enumerate(keys)}
+    other = right.withColumnsRenamed(names)
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    return left.join(other.hint(hint) if hint else other, same, how).drop(*names.values())
