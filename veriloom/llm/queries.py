@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriloom.llm import mixing, packing, simhash, tokens
+from veriloom.llm import mixing, packing, quality_rules, simhash, tokens, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,3 +47,28 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_entropy_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@query
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.apply_rules(table(spark, folder, "documents"))
+
+
+#: Fixed values of the contract, in its order.
+URL_RULES = [urls.Rule("allow", "com", "/"), urls.Rule("block", "example.com", "/en/"), urls.Rule("allow", "www.example.com", "/en/"),
+             urls.Rule("block", "net", "/es/"), urls.Rule("block", "net", "/fr/")]
+#: Names by which the given pages mark unwanted sites; the list of URLs is taken from their pages.
+UNWANTED = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+
+
+@query
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    labels = F.split(urls.host_of(F.col("url")), r"\.")
+    listed = pages.where(F.arrays_overlap(labels, F.array(*map(F.lit, UNWANTED)))).select(urls.canonical(F.col("url")).alias("canonical"))
+    return urls.judge(pages, URL_RULES, listed)
+
+
+@query
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive(table(spark, folder, "pages"))
