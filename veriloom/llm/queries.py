@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriloom.llm import mixing, packing, quality_rules, simhash, tokens, urls, warc
+from veriloom.llm import ann, classifier, mixing, packing, quality_rules, simhash, tokens, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,3 +72,13 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive(table(spark, folder, "pages"))
+
+
+@query
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return classifier.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
