@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriloom.llm import ann, classifier, mixing, packing, quality_rules, simhash, tokens, urls, warc
+from veriloom.llm import ann, classifier, mixing, packing, pii, quality_rules, simhash, tokens, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,3 +82,11 @@ def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return ann.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op4_pii_disclosure(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(table(spark, folder, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    order = F.array_sort("more", lambda a, b: F.when(a["kind"] != b["kind"], F.when(a["kind"] < b["kind"], -1).otherwise(1)).otherwise(a["start"] - b["start"]))
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.concat("base", order)).alias("spans"))
