@@ -118,15 +118,11 @@ def mix(df: DataFrame, text: str = "text", doc: str = "doc_id", source: str = "s
             .select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken")))
 
 
-def take(df: DataFrame, mixed: DataFrame, text: str = "text", doc: str = "doc_id", source: str = "source") -> DataFrame:
-    """The rows of ``df`` as often as ``mixed`` says. Rows with equal id, source and size share what was planned for them."""
-    size = F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("bigint")
-    names = df.columns
-    sized = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_doc"), F.col(doc).alias("_id"), F.col(source).alias("_source"), size.alias("_size"))
-    per = mixed.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    cond = F.col("_id").eqNullSafe(F.col("doc_id")) & F.col("_source").eqNullSafe(F.col("source")) & (F.col("_size") == F.col("size"))
-    rows = sized.join(per.hint("shuffle_merge"), cond)
-    nth = F.row_number().over(W.partitionBy("_id", "_source", "_size").orderBy(F.xxhash64("_doc")))
+def take(df: DataFrame, mixed: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """The rows of ``df`` as often as ``mixed`` says. Rows of one id share what was planned for them, as evenly as can be."""
+    rows = df.select(F.col(doc).alias("_id"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_doc"))
+    per = mixed.groupBy(F.col("doc_id").alias("_id")).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
+    nth = F.row_number().over(W.partitionBy("_id").orderBy(F.xxhash64("_doc")))
     share = F.floor(F.col("_copies") / F.col("_rows")) + (nth <= F.col("_copies") % F.col("_rows")).cast("int")
-    repeated = rows.withColumn("_share", share).where("_share > 0")
+    repeated = rows.join(per.hint("shuffle_merge"), "_id").withColumn("_share", share).where("_share > 0")
     return repeated.select("_doc", F.explode(F.array_repeat(F.lit(1), F.col("_share").cast("int")))).select("_doc.*")

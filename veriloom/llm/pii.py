@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veriloom.llm.urls import BITS_PER_KEY, MAX_BLOCKS, bloom_blocks, might_hold
+from veriloom.llm.urls import maybe
 from veriloom.session import materialise
 
 # Fixed kinds and patterns of the contract, in its order. Java takes them with possessive repeats and a look behind, which find the same
@@ -28,6 +28,7 @@ AROUND = 60
 SUPPORT = 3
 GENERALISE, REMOVE = 0.8, 0.95
 STEP = 512
+SPANS = "array<struct<kind:string,value:string,start:int,end:int>>"
 
 
 def matches(text: Column, pattern: Column) -> Column:
@@ -86,7 +87,7 @@ def base_spans(text: Column) -> Column:
         pattern, worth, valid = rules[kind]
         found = F.filter(matches(text, F.lit(pattern)), lambda m: valid(m["value"]))
         full = F.transform(found, lambda m: F.struct(F.lit(kind).alias("kind"), m["value"].alias("value"), m["start"].alias("start"), (m["start"] + F.length(m["value"])).alias("end")))
-        return F.when(worth, full).otherwise(F.array().cast("array<struct<kind:string,value:string,start:int,end:int>>"))
+        return F.when(worth, full).otherwise(F.array().cast(SPANS))
 
     return F.concat(*[spans(k) for k in KINDS])
 
@@ -101,11 +102,8 @@ def _key(text: Column) -> Column:
 
 
 def _passing(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
-    """Rows of ``df`` that may have one of ``keys`` (stored): a filter of bounded size before an exact join."""
-    wanted, blocks = keys.count() * BITS_PER_KEY / 256, 1
-    while blocks < min(wanted, MAX_BLOCKS):
-        blocks *= 2
-    return might_hold(df, key, bloom_blocks(keys.withColumnRenamed(keys.columns[0], key), key, blocks), blocks).where("_maybe").drop("_maybe")
+    """Rows of ``df`` that may have one of the stored ``keys``: a filter of bounded size before an exact join."""
+    return maybe(df, key, keys).where("_maybe").drop("_maybe")
 
 
 def disclosure(texts: DataFrame, found: DataFrame, support: int = SUPPORT) -> DataFrame:
@@ -162,7 +160,7 @@ def find(df: DataFrame, text: str = "text", doc: str = "doc_id", support: int =
     kind = lambda m: F.coalesce(F.try_element_at("terms", F.lower(m["value"])), F.lit("general"))
     spans = F.transform(outside, lambda m: F.struct(kind(m).alias("kind"), m["value"].alias("value"), m["start"].alias("start"), (m["start"] + F.length(m["value"])).alias("end")))
     more = materialise(placed.select("key", spans.alias("more")), "more")
-    none = F.array().cast("array<struct<kind:string,value:string,start:int,end:int>>")
+    none = F.array().cast(SPANS)
     return (stored.select("doc_id", "key", "base").join(more.hint("shuffle_merge"), "key", "left")
             .withColumn("more", F.coalesce("more", none)))
 
@@ -191,19 +189,14 @@ def replaced(text: Column, spans: Column) -> Column:
 
 
 def sanitise(df: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
-    """``df`` with its texts sanitised: entities are found in place, disclosing terms joined to the few texts that hold any."""
+    """``df`` with its texts sanitised: entities are found in place, disclosing terms joined to the few texts that hold any. Null texts
+    stay null, other columns as they are."""
     more = materialise(find(df, text, doc).where(F.size("more") > 0).groupBy("key").agg(F.first("more").alias("_more")), "more")
-    names = df.columns
-    keyed = df.withColumn("key", _key(F.coalesce(F.col(text).cast("string"), F.lit("")))) if "key" not in names else None
-    if keyed is None:
-        raise ValueError("a column named key is in the way")
-    wanted, blocks = more.count() * BITS_PER_KEY / 256, 1
-    while blocks < min(wanted, MAX_BLOCKS):
-        blocks *= 2
-    tested = might_hold(keyed, "key", bloom_blocks(more, "key", blocks), blocks)
-    own = F.when(F.col(text).isNotNull(), base_spans(F.coalesce(F.col(text), F.lit(""))))
-    none = F.array().cast("array<struct<kind:string,value:string,start:int,end:int>>")
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
+    tested = maybe(rows.withColumn("key", _key(F.col("_text"))), "key", more)
+    own, none = base_spans(F.col("_text")), F.array().cast(SPANS)
     some = tested.where("_maybe").join(more.hint("shuffle_merge"), "key", "left").withColumn("_spans", F.concat(own, F.coalesce("_more", none)))
     others = tested.where("NOT _maybe").withColumn("_more", none).withColumn("_spans", own)
     both = some.unionByName(others)
-    return both.withColumn(text, replaced(F.col(text), F.col("_spans"))).select(*names)
+    clean = F.when(F.col(f"_doc.`{text}`").isNotNull(), replaced(F.col("_text"), F.col("_spans")))
+    return both.select(F.col("_doc").withField(f"`{text}`", clean).alias("_doc")).select("_doc.*")

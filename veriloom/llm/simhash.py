@@ -100,9 +100,12 @@ def near_duplicates(df: DataFrame, text: str = "text", doc: str = "doc_id", widt
 
 
 def deduplicate(docs: DataFrame, text: str = "text", doc: str = "doc_id", width: int = 3, radius: int = 2) -> DataFrame:
-    """``docs`` with one row of each component left, that with the smallest id (of repeated ids, one row)."""
+    """``docs`` with one row of each component left, that with the smallest id (of repeated ids, one row). Rows without an id have
+    nothing to be told apart by and stay."""
     found = near_duplicates(docs, text, doc, width, radius)
-    gone = found.where("NOT doc_id <=> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col(doc).eqNullSafe(F.col("_gone")), "left_anti")
-    one = W.partitionBy(doc).orderBy(F.xxhash64(text))
-    return kept.withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(doc)).distinct()
+    kept = docs.where(F.col(doc).isNotNull()).join(gone.hint("shuffle_merge"), doc, "left_anti")
+    rows = kept.select(doc, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    n = F.row_number().over(W.partitionBy(doc).orderBy(F.xxhash64("_doc")))
+    one = rows.withColumn("_n", n).where("_n = 1").select("_doc.*")
+    return one.unionByName(docs.where(F.col(doc).isNull()))

@@ -81,13 +81,18 @@ def might_hold(df: DataFrame, key: str, filter_blocks: DataFrame, blocks: int, n
     return joined.withColumn(name, F.coalesce(every, F.lit(False))).drop("_block", "_h", *[f"_w{i}" for i in range(WORDS)])
 
 
-def on_list(df: DataFrame, key: str, listed: DataFrame, name: str = "listed") -> DataFrame:
-    """Add whether ``key`` is among the keys of ``listed`` (one column of the same name), exactly. Null keys are not."""
-    keys = materialise(listed.select(key).where(F.col(key).isNotNull()).distinct(), "listed")
+def maybe(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """Add ``_maybe``: false only for rows whose ``key`` isn't among the stored ``keys``. The filter grows with the keys up to MAX_BLOCKS."""
     wanted, blocks = keys.count() * BITS_PER_KEY / 256, 1
     while blocks < min(wanted, MAX_BLOCKS):
         blocks *= 2
-    tested = might_hold(df, key, bloom_blocks(keys, key, blocks), blocks)
+    return might_hold(df, key, bloom_blocks(keys, key, blocks), blocks)
+
+
+def on_list(df: DataFrame, key: str, listed: DataFrame, name: str = "listed") -> DataFrame:
+    """Add whether ``key`` is among the keys of ``listed`` (one column of the same name), exactly. Null keys are not."""
+    keys = materialise(listed.select(key).where(F.col(key).isNotNull()).distinct(), "listed")
+    tested = maybe(df, key, keys)
     hits = tested.where("_maybe").join(keys.withColumn(name, F.lit(True)).hint("shuffle_merge"), key, "left")
     misses = tested.where("NOT _maybe").withColumn(name, F.lit(False))
     return hits.withColumn(name, F.coalesce(name, F.lit(False))).unionByName(misses).drop("_maybe")
