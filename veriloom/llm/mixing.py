@@ -8,7 +8,7 @@ come within about one short document of its target.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -69,22 +69,34 @@ def solve(cells: DataFrame, wanted: DataFrame, tolerance: float = 1e-12, rounds:
     return state.select("source", "a", "b")
 
 
+def round_copies(sizes: list[int], counts: list[int], rates: list[float], most: int) -> tuple[list[int], list[int]]:
+    """(copies of every document, documents with one more) per length, given in falling order.
+
+    What a length leaves open or takes too much is passed on to the next shorter; a second walk gives or takes copies where that brings
+    the sum still nearer. Copies stay within ``most`` and within one of the rate.
+    """
+    base = [min(int(r + 1e-9), most) for r in rates]
+    room = [n if b < most else 0 for n, b in zip(counts, base)]
+    more, open_words = [0] * len(sizes), 0.0
+    for i, size in enumerate(sizes):
+        open_words += counts[i] * (rates[i] - base[i]) * size
+        more[i] = min(room[i], max(0, int(open_words / size + 0.5))) if size else 0
+        open_words -= more[i] * size
+    for i, size in enumerate(sizes):
+        if size and rates[i] > base[i] + 1e-9:
+            step = min(room[i] - more[i], int(open_words / size + 0.5)) if open_words > 0 else -min(more[i], int(-open_words / size + 0.5))
+            more[i] += step
+            open_words -= step * size
+    return base, more
+
+
 def _round(most: int):
-    def per_source(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Lengths in falling order: what a length leaves open or takes too much is passed on to the next shorter."""
-        for frame in frames:
-            rows = frame.sort_values("size", ascending=False)
-            open_words, base, more = 0.0, [], []
-            for size, n, rate in zip(rows["size"].tolist(), rows["n"].tolist(), rows["rate"].tolist()):
-                whole = min(int(rate + 1e-9), most)
-                open_words += n * (rate - whole) * size
-                extra = min(n, max(0, int(open_words / size + 0.5))) if size and whole < most else 0
-                open_words -= extra * size
-                base.append(whole)
-                more.append(extra)
-            yield rows.assign(base=base, more=more)[["source", "size", "base", "more"]]
-
-    return lambda frame: next(per_source(iter([frame])))
+    def per_source(frame: pd.DataFrame) -> pd.DataFrame:
+        rows = frame.sort_values("size", ascending=False)
+        base, more = round_copies(rows["size"].tolist(), rows["n"].tolist(), rows["rate"].tolist(), most)
+        return rows.assign(base=base, more=more)[["source", "size", "base", "more"]]
+
+    return per_source
 
 
 def mix(df: DataFrame, text: str = "text", doc: str = "doc_id", source: str = "source", weights: Sequence[float] = (5, 2, 1),
