@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from veriloom.llm import ann, classifier, mixing, packing, pii, quality_rules, simhash, tokens, urls, warc
 
+#: The contracts' word, as a DuckDB pattern.
+SQL_WORD = r"[^\x20\x09-\x0D]+"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -54,6 +56,27 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, folder, "documents"))
 
 
+ORACLES["op3_quality_rules"] = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
+worded AS (SELECT *, regexp_extract_all(text, '{SQL_WORD}') AS words FROM docs),
+windows AS (SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM worded)),
+often AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS n FROM windows) WHERE n > 1),
+repeated AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM often, (SELECT unnest([0, 1, 2]) AS k) GROUP BY r),
+split AS (SELECT r, source, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM docs),
+lines AS (SELECT *, len(regexp_extract_all(line, '{SQL_WORD}')) AS n, row_number() OVER (PARTITION BY r, line ORDER BY pos) AS nth,
+          regexp_replace(translate(array_to_string(regexp_extract_all(line, '{SQL_WORD}'), ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[1-9]', '0', 'g') AS plain
+          FROM split WHERE regexp_matches(line, '{SQL_WORD}')),
+common AS (SELECT source, plain FROM lines GROUP BY source, plain HAVING count(DISTINCT text) > 10),
+per_doc AS (SELECT r, sum(CASE WHEN nth > 1 THEN 1 ELSE 0 END) AS twice, sum(CASE WHEN c.plain IS NULL THEN 0 ELSE n END) AS gone
+            FROM lines l LEFT JOIN common c ON l.source IS NOT DISTINCT FROM c.source AND l.plain = c.plain GROUP BY r),
+numbers AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(array_to_string(words, '')), 0) AS BIGINT) AS word_chars,
+            CAST(len(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(twice, 0) AS BIGINT) AS n_dup_lines,
+            CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(gone, 0) AS BIGINT) AS removed_words
+            FROM worded w LEFT JOIN repeated p ON w.r = p.r LEFT JOIN per_doc d ON w.r = d.r),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM numbers)
+SELECT *, NOT base_failed AND n_words - removed_words >= 0.5 * n_words AS kept FROM judged"""
+
+
 #: Fixed values of the contract, in its order.
 URL_RULES = [urls.Rule("allow", "com", "/"), urls.Rule("block", "example.com", "/en/"), urls.Rule("allow", "www.example.com", "/en/"),
              urls.Rule("block", "net", "/es/"), urls.Rule("block", "net", "/fr/")]
@@ -69,11 +92,34 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(pages, URL_RULES, listed)
 
 
+ORACLES["op6_url_filter"] = rf"""
+WITH parts AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+               list_sort(list_filter(string_split(coalesce(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1), ''), '&'),
+                                     lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) AS kept FROM pages),
+named AS (SELECT page_id, host, path, regexp_replace(host, '^www\.', '') || regexp_replace(path, '(/|\.html)$', '')
+          || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS canonical FROM parts),
+listed AS (SELECT DISTINCT canonical FROM named WHERE list_has_any(string_split(host, '.'), [{", ".join(f"'{x}'" for x in UNWANTED)}])),
+rules AS (SELECT * FROM (VALUES {", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)}) AS t(verdict, rule_host, rule_path)),
+best AS (SELECT page_id, arg_max(rule_host || rule_path, len(rule_host || rule_path)) AS rule, arg_max(verdict, len(rule_host || rule_path)) AS verdict
+         FROM named JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY page_id)
+SELECT n.page_id, host, path, b.rule, coalesce(b.verdict, CASE WHEN l.canonical IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM named n LEFT JOIN best b ON n.page_id = b.page_id LEFT JOIN listed l ON n.canonical = l.canonical"""
+
+
 @query
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive(table(spark, folder, "pages"))
 
 
+ORACLES["op10_warc"] = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+hashed AS (SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest FROM payloads),
+grouped AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first_id FROM hashed)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM grouped"""
+
+
 @query
 def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return classifier.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))

@@ -95,7 +95,7 @@ class _File:
         system, root = fs.FileSystem.from_uri(folder)
         system.create_dir(root, recursive=True)
         self.path, self.records, self.size = f"{folder}/{name}", 0, 0
-        self.out = system.open_output_stream(f"{root}/{name}")
+        self.out = system.open_output_stream(f"{root}/{name}", compression=None)  # else the name makes it compress again
         known = {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
         self.zstd = zstandard.ZstdCompressor(level=3, write_checksum=True, write_content_size=True, **known)
         if dictionary:
@@ -148,7 +148,7 @@ def read_file(uri: str) -> Iterator[tuple[dict[str, str], bytes]]:
     from pyarrow import fs
 
     system, path = fs.FileSystem.from_uri(uri)
-    with system.open_input_stream(path) as raw:
+    with system.open_input_stream(path, compression=None) as raw:
         start = raw.read(8)
         known, rest = {}, start
         if len(start) == 8 and struct.unpack("<II", start)[0] == SKIPPABLE:
@@ -156,13 +156,11 @@ def read_file(uri: str) -> Iterator[tuple[dict[str, str], bytes]]:
             if data[:4] != struct.pack("<I", DICT_MAGIC):
                 data = zstandard.ZstdDecompressor().decompress(data)
             known, rest = {"dict_data": zstandard.ZstdCompressionDict(data)}, b""
-        reader = zstandard.ZstdDecompressor(**known).stream_reader(_Joined(rest, raw), read_across_frames=True)
-        buffer = bytearray()
+        parts, buffer = _frames(raw, rest, zstandard.ZstdDecompressor(**known)), bytearray()
 
         def fill(n: int) -> bool:
             while len(buffer) < n:
-                more = reader.read(1 << 16)
-                if not more:
+                if (more := next(parts, None)) is None:
                     return False
                 buffer.extend(more)
             return True
@@ -183,17 +181,17 @@ def read_file(uri: str) -> Iterator[tuple[dict[str, str], bytes]]:
             yield fields, block
 
 
-class _Joined:
-    """Bytes already read, then the stream they came from."""
-
-    def __init__(self, first: bytes, rest):
-        self.first, self.rest = first, rest
-
-    def read(self, n: int = -1) -> bytes:
-        if self.first:
-            out, self.first = self.first, b""
-            return out
-        return self.rest.read(n if n > 0 else 1 << 16)
+def _frames(raw, data: bytes, zstd) -> Iterator[bytes]:
+    """What the frames of a stream hold, in parts; ``data`` was read from it before. A frame cut short is an error."""
+    frame, data = None, data or raw.read(1 << 16)
+    while data:
+        frame = frame or zstd.decompressobj()
+        if out := frame.decompress(data):
+            yield out
+        data, frame = (frame.unused_data, None) if frame.eof else (b"", frame)
+        data = data or raw.read(1 << 16)
+    if frame:
+        raise ValueError("the last frame isn't complete")
 
 
 def read(files: DataFrame, id_type: str = "bigint") -> DataFrame:
@@ -208,8 +206,9 @@ def read(files: DataFrame, id_type: str = "bigint") -> DataFrame:
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
         for batch in batches:
-            for uri in batch.column("path").to_pylist():
+            for uri, records in zip(batch.column("path").to_pylist(), batch.column("records").to_pylist()):
                 rows: list[tuple] = []
+                n = 0
                 for fields, block in read_file(uri):
                     kind = fields["warc-type"]
                     if kind not in ("response", "revisit"):
@@ -219,17 +218,20 @@ def read(files: DataFrame, id_type: str = "bigint") -> DataFrame:
                     digest = base64.b32decode(fields["warc-payload-digest"].removeprefix("sha1:")).hex()
                     if kind == "response" and (len(payload) != stated or hashlib.sha1(payload).hexdigest() != digest):
                         raise ValueError(f"damaged record {fields['warc-record-id']} in {uri}")
+                    n += 1
                     rows.append((name(fields["warc-record-id"]), stated, digest, kind, name(fields.get("warc-refers-to"))))
                     if len(rows) >= 10_000:
                         yield pa.RecordBatch.from_pydict(dict(zip(columns, map(list, zip(*rows)))), schema=arrow)
                         rows = []
+                if n != records:
+                    raise ValueError(f"{uri} has {n} records of {records}")
                 if rows:
                     yield pa.RecordBatch.from_pydict(dict(zip(columns, map(list, zip(*rows)))), schema=arrow)
 
     text = pa.string()
     arrow = pa.schema([("page_id", text), ("payload_bytes", pa.int64()), ("payload_digest", text), ("record_type", text), ("refers_to", text)])
     schema = "page_id string, payload_bytes bigint, payload_digest string, record_type string, refers_to string"
-    spread = files.select("path").repartition(max(1, min(files.count(), 10_000)), "path")
+    spread = files.select("path", "records").repartition(max(1, min(files.count(), 10_000)), "path")
     return spread.mapInArrow(parse, schema).withColumns({c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")})
 
 
