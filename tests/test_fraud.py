@@ -72,9 +72,12 @@ def test_unit_price_and_high_value(spark):
     assert [(r["unit_price"], r["is_high_value"]) for r in df.orderBy("claim_id").collect()] == [(200.0, True), (500.0, False), (0.0, True)]
 
 
-def test_pipeline_needs_claims(spark):
-    result = plan.run(claims(spark, [{}] * 10), "2024-07-01", min_claims=100)
-    assert result.alerts.count() == 0 and "Insufficient claims" in result.errors[0]
+def test_few_claims_are_noted_and_still_judged(spark):
+    rows = [{"id": str(i), "day": dt.date(2024, 1, 1)} for i in range(60)]
+    result = plan.run(claims(spark, rows), "2024-07-01", detectors=["phantom"], min_claims=100)
+    assert [tuple(r) for r in result.notes.collect()] == [("TOO_FEW_CLAIMS", "60 of 100")]
+    assert result.alerts.count() == 1 and result.links.count() == 60
+    assert plan.run(claims(spark, rows), "2024-07-01", detectors=["phantom"]).notes.count() == 0
 
 
 def test_pipeline_switches_filters_and_caps(spark):

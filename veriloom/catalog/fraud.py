@@ -49,7 +49,7 @@ SELECT *, (ratio - mean) / std AS z FROM (SELECT *, avg(ratio) OVER () AS mean,
  SELECT provider_npi, count(*) AS n, count(*) FILTER (tier >= 4) / count(*) AS ratio FROM claims JOIN x_tiers USING (hcpcs_code) GROUP BY 1 HAVING count(*) >= 10))""")
 frame_sql("al_upcoding", """
 SELECT 'UpcodingDetector' AS detector_name, 'upcoding' AS fraud_type, CASE WHEN z > 3 THEN 'high' ELSE 'medium' END AS risk_level, least(0.95, 0.5 + (z - 2) * 0.15) AS confidence_score,
- provider_npi, CAST(NULL AS VARCHAR) AS period, least(n, 20) AS claim_count,
+ provider_npi, CAST(NULL AS VARCHAR) AS period, n AS claim_count,
  'Provider shows ' || printf('%.1f', round(ratio * 100, 1)) || '% high-tier wheelchair claims vs peer average of ' || printf('%.1f', round(mean * 100, 1)) || '%' AS description,
  ratio * 100 AS observed_value, mean * 100 AS expected_value, z AS standard_deviations FROM tier_share WHERE z > 2""")
 frame_sql("al_phantom", """
@@ -65,7 +65,7 @@ WINDOW w AS (PARTITION BY provider_npi ORDER BY month)""")
 frame_sql("al_volume", """
 SELECT 'VolumeAnomalyDetector' AS detector_name, CASE WHEN z > 5 THEN 'hit_and_run' ELSE 'upcoding' END AS fraud_type,
  CASE WHEN risky / n > 0.5 THEN 'critical' WHEN z > 4 THEN 'high' ELSE 'medium' END AS risk_level, least(0.95, 0.5 + (z - 3) * 0.1) AS confidence_score, provider_npi, month AS period,
- least(n, 30) AS claim_count, 'Volume spike in ' || month || ': ' || n || ' claims vs baseline ' || printf('%.0f', round(baseline, 0)) AS description,
+ n AS claim_count, 'Volume spike in ' || month || ': ' || n || ' claims vs baseline ' || printf('%.0f', round(baseline, 0)) AS description,
  CAST(n AS DOUBLE) AS observed_value, baseline AS expected_value, z AS standard_deviations
 FROM (SELECT *, CASE WHEN baseline_std = 0 THEN 0 ELSE (n - baseline) / baseline_std END AS z FROM provider_month WHERE month_index >= 2) WHERE z > 3""")
 frame_sql("al_kickback", """
@@ -87,9 +87,9 @@ WHERE active <= 90 AND total >= cut""")
 frame_sql("all_alerts", """
 SELECT *, least(100, CAST(floor(CASE risk_level WHEN 'low' THEN 10 WHEN 'medium' THEN 40 WHEN 'high' THEN 70 ELSE 90 END + confidence_score * 10) AS INTEGER)) AS priority_score FROM (
  SELECT * FROM al_upcoding UNION ALL SELECT * FROM al_phantom UNION ALL SELECT * FROM al_volume UNION ALL SELECT * FROM al_kickback UNION ALL SELECT * FROM al_hitrun)""")
-frame_sql("kept_alerts", """
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY provider_npi ORDER BY priority_score DESC, detector_name, period NULLS FIRST) AS r
- FROM all_alerts WHERE confidence_score >= 0.5 AND risk_level <> 'low') WHERE r <= 10""")
+frame_sql("kept_alerts", "SELECT * FROM all_alerts WHERE confidence_score >= 0.5 AND risk_level <> 'low'")
+frame_sql("capped_alerts", """
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY provider_npi ORDER BY priority_score DESC, detector_name, period NULLS FIRST) AS r FROM kept_alerts) WHERE r <= 10""")
 
 ALERT = "detector_name fraud_type risk_level confidence_score:r provider_npi period claim_count:i description observed_value:r4 expected_value:r4 standard_deviations:r5"
 RANKED = ALERT + " priority_score:i"
@@ -131,7 +131,7 @@ def _(spark, d):
 
 
 def _alerts(spark, d):
-    return fraud.run_detectors(src.claims(spark, d), PARAMS)
+    return plan.detect_side_by_side(plan.stored_claims(src.claims(spark, d)), PARAMS, list(fraud.DETECTORS))
 
 
 @query("detector_union", "detector_name n:i", "SELECT detector_name, count(*) AS n FROM all_alerts GROUP BY 1")
@@ -144,7 +144,7 @@ def _(spark, d):
     return fraud.ranked(_alerts(spark, d))
 
 
-@query("alerts_per_provider_cap", RANKED, "SELECT * FROM kept_alerts")
+@query("alerts_per_provider_cap", RANKED, "SELECT * FROM capped_alerts")
 def _(spark, d):
     return fraud.cap_per_provider(fraud.keep_confident(_alerts(spark, d)))
 
@@ -159,11 +159,10 @@ def _(spark, d):
 
 
 frame_sql("alert_links", """
-SELECT detector_name, provider_npi, period, claim_id FROM (SELECT a.*, claim_id, row_number() OVER (PARTITION BY a.provider_npi ORDER BY service_date, claim_id) AS q
-  FROM kept_alerts a JOIN claims c USING (provider_npi) JOIN x_tiers USING (hcpcs_code) WHERE detector_name = 'UpcodingDetector') WHERE q <= 20
+SELECT detector_name, provider_npi, period, claim_id FROM kept_alerts a JOIN claims c USING (provider_npi) JOIN x_tiers USING (hcpcs_code) WHERE detector_name = 'UpcodingDetector'
 UNION ALL SELECT detector_name, a.provider_npi, period, claim_id FROM kept_alerts a JOIN claims c ON a.provider_npi = c.provider_npi AND period = CAST(service_date AS VARCHAR) WHERE detector_name = 'PhantomBillingDetector'
-UNION ALL SELECT detector_name, provider_npi, period, claim_id FROM (SELECT a.*, claim_id, row_number() OVER (PARTITION BY a.provider_npi, period ORDER BY service_date, claim_id) AS q
-  FROM kept_alerts a JOIN claims c ON a.provider_npi = c.provider_npi AND period = strftime(service_date, '%Y-%m') WHERE detector_name = 'VolumeAnomalyDetector') WHERE q <= 30""")
+UNION ALL SELECT detector_name, a.provider_npi, period, claim_id FROM kept_alerts a JOIN claims c ON a.provider_npi = c.provider_npi AND period = strftime(service_date, '%Y-%m')
+ WHERE detector_name = 'VolumeAnomalyDetector'""")
 
 
 @query("alert_claims", "detector_name provider_npi period claim_id", "SELECT * FROM alert_links")

@@ -99,12 +99,17 @@ def _attempts(spark, d):
         "task_id", "attempt", F.col("last_error").alias("error"), (F.col("created_at") + F.make_interval(mins=F.col("attempt"))).alias("attempted_at"))
 
 
-@query("retry_history", "task_id n:i first_error last_at:t", """
+@query("retry_history", "task_id attempt:i error attempted_at:t", """
+SELECT task_id, a AS attempt, last_error AS error, created_at + to_minutes(CAST(a AS INTEGER)) AS attempted_at
+FROM (SELECT *, unnest(range(1, CAST(retry_count AS BIGINT) + 1)) AS a FROM tasks WHERE retry_count > 0)""")
+def _(spark, d):
+    return queue.retry_history(_attempts(spark, d))
+
+
+@query("retry_summary", "task_id n:i first_error last_at:t", """
 SELECT task_id, retry_count AS n, last_error AS first_error, created_at + to_minutes(CAST(retry_count AS INTEGER)) AS last_at FROM tasks WHERE retry_count > 0""")
 def _(spark, d):
-    h = queue.retry_history(_attempts(spark, d))
-    return h.select("task_id", F.size("retry_history").alias("n"), F.element_at("retry_history", 1)["error"].alias("first_error"),
-                    F.element_at("retry_history", -1)["attempted_at"].alias("last_at"))
+    return queue.retry_summary(_attempts(spark, d))
 
 
 @query("audit_append", "task_id action old_status new_status actor timestamp:t", """
@@ -208,9 +213,10 @@ def _(spark, d):
     return queue.execution_times(_tasks(spark, d))
 
 
-@query("failure_rate", "failure_rate:r", "SELECT least(count(*), 100) / 100 AS failure_rate FROM tasks WHERE status = 'FAILED'")
+@query("failure_rate", "failure_rate:r", """
+SELECT count(*) FILTER (status <> 'COMPLETED') / count(*) AS failure_rate FROM (SELECT status FROM tasks WHERE status IN ('COMPLETED', 'FAILED', 'DEAD_LETTER') ORDER BY updated_at DESC, task_id LIMIT 100)""")
 def _(spark, d):
-    return queue.failure_rate(src.tasks(spark, d).where("status = 'FAILED'"))
+    return queue.failure_rate(src.tasks(spark, d))
 
 
 @query("queue_summary", "total:i success_pct:r failure_pct:r", """

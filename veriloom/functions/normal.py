@@ -64,7 +64,8 @@ def interval_map(mean: Column, std: Column, levels=tuple(INTERVALS)) -> Column:
 
 
 def probability_above(threshold: Column, mean: Column, std: Column) -> Column:
-    return F.lit(1.0) - cdf((threshold - mean) / std)
+    """Of a normal value; without spread the value is its mean."""
+    return F.when(std == 0, (mean > threshold).cast("double")).otherwise(F.lit(1.0) - cdf(F.try_divide(threshold - mean, std)))
 
 
 def probability_above_steps(threshold: Column, quantiles: Column) -> Column:

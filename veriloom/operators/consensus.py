@@ -34,10 +34,11 @@ def expert_calibration(experts: DataFrame, actuals: DataFrame) -> DataFrame:
 
 
 def weight(level: Column, mae: Column, calibration: Column) -> Column:
-    """Level weight, divided by the error (at least 0.1) and lowered by miscalibration, each where known."""
+    """Level weight, divided by the error (at least 0.1) and lowered by miscalibration, each where known. Never negative."""
     base = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in LEVEL_WEIGHTS.items() for x in p]), level), F.lit(1.0))
     by_error = F.coalesce(F.lit(1.0) / F.greatest(mae, F.lit(0.1)), F.lit(1.0))
-    by_calibration = F.coalesce(F.lit(1.0) - F.abs(F.lit(1.0) - calibration), F.lit(1.0))
+    known = F.when(calibration != 0, calibration)  # 0 stands for not set
+    by_calibration = F.coalesce(F.greatest(F.lit(1.0) - F.abs(F.lit(1.0) - known), F.lit(0.0)), F.lit(1.0))
     return base * by_error * by_calibration
 
 
@@ -48,8 +49,8 @@ def weighted_experts(experts: DataFrame, performance: DataFrame) -> DataFrame:
 
 def _weighted(df: DataFrame, w: Column, by: Sequence[str]) -> DataFrame:
     x, s = F.col("point_estimate"), F.col("std")
-    return df.groupBy(*by).agg(F.count("*").alias("n_experts"), (F.sum(w * x) / F.sum(w)).alias("consensus"),
-                               F.sqrt(F.sum(w * s * s) / F.sum(w)).alias("consensus_std"))
+    return df.groupBy(*by).agg(F.count("*").alias("n_experts"), F.try_divide(F.sum(w * x), F.sum(w)).alias("consensus"),
+                               F.sqrt(F.try_divide(F.sum(w * s * s), F.sum(w))).alias("consensus_std"))
 
 
 def simple(experts: DataFrame, by: Sequence[str] = GROUP) -> DataFrame:
@@ -89,8 +90,8 @@ def trimmed(experts: DataFrame, trim: float = 0.1, by: Sequence[str] = GROUP) ->
     x = F.col("point_estimate")
     sums = placed.withColumn("_k", inside).groupBy(*keys, "n_experts").agg(
         F.sum("_k").alias("k"), F.sum(F.col("_k") * x).alias("s"), F.sum(F.col("_k") * x * x).alias("q"))
-    mean = F.col("s") / F.col("k")
-    return sums.select(*keys, "n_experts", mean.alias("consensus"), F.sqrt(F.greatest(F.col("q") / F.col("k") - mean * mean, F.lit(0.0))).alias("consensus_std"))
+    mean = F.try_divide("s", "k")  # NULL if nothing is left
+    return sums.select(*keys, "n_experts", mean.alias("consensus"), F.when(F.col("k") > 0, F.sqrt(F.greatest(F.try_divide("q", "k") - mean * mean, F.lit(0.0)))).alias("consensus_std"))
 
 
 METHODS = {"simple_average": simple, "weighted_average": weighted, "median": median,

@@ -38,12 +38,13 @@ def _forecast(df: DataFrame, as_of: str, target_date: str, horizon: str, methodo
 
 
 def bayes(series: DataFrame, as_of: str, target_date: str, horizon: str = "medium_term", prior: tuple[float, float] | None = None) -> DataFrame:
-    """Conjugate normal update of a prior (default: the data's mean, ten deviations wide)."""
+    """Conjugate normal update of a prior (default: the data's mean, ten deviations wide). A series without spread is certain: its mean,
+    deviation 0."""
     s = series.groupBy("series").agg(F.avg("value").alias("m"), F.stddev_pop("value").alias("sd"), F.count("*").alias("n"))
     pm, ps = (F.lit(float(prior[0])), F.lit(float(prior[1]))) if prior else (F.col("m"), F.col("sd") * 10)
-    a, b = F.lit(1.0) / (ps * ps), F.col("n") / (F.col("sd") * F.col("sd"))
-    s = s.withColumns({"point_estimate": (a * pm + b * F.col("m")) / (a + b),
-                       "std": F.sqrt(F.lit(1.0) / (a + b)) * F.lit(HORIZON_FACTORS.get(horizon, 2.0))})
+    a, b = F.try_divide(F.lit(1.0), ps * ps), F.try_divide(F.col("n"), F.col("sd") * F.col("sd"))
+    s = s.withColumns({"point_estimate": F.coalesce((a * pm + b * F.col("m")) / (a + b), F.col("m")),
+                       "std": F.coalesce(F.sqrt(F.try_divide(F.lit(1.0), a + b)), F.lit(0.0)) * F.lit(HORIZON_FACTORS.get(horizon, 2.0))})
     return _forecast(s, as_of, target_date, horizon, "Bayesian inference with conjugate prior")
 
 
@@ -57,12 +58,12 @@ def montecarlo(series: DataFrame, as_of: str, target_date: str, horizon: str = "
 
 
 def ensemble(components: DataFrame, keys: Sequence[str] = ("indicator",), weight: str = "weight") -> DataFrame:
-    """Mixture of component forecasts: weights normalised per group, deviation of the mixture."""
+    """Mixture of component forecasts: weights normalised per group, deviation of the mixture; NULL where all weights are 0."""
     w, m, s = F.col(weight), F.col("point_estimate"), F.col("std")
     g = components.groupBy(*keys).agg(F.sum(w).alias("_w"), F.sum(w * m).alias("_m"), F.sum(w * (s * s + m * m)).alias("_q"), F.count("*").alias("n_models"))
-    mean = F.col("_m") / F.col("_w")
+    mean = F.try_divide("_m", "_w")
     return g.select(*keys, "n_models", mean.alias("point_estimate"),
-                    F.sqrt(F.greatest(F.col("_q") / F.col("_w") - mean * mean, F.lit(0.0))).alias("std"))
+                    F.when(F.col("_w") != 0, F.sqrt(F.greatest(F.try_divide("_q", "_w") - mean * mean, F.lit(0.0)))).alias("std"))
 
 
 def forecast_grouped(series: DataFrame, fn: Callable, schema: str) -> DataFrame:

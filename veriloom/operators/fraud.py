@@ -95,7 +95,7 @@ def upcoding(claims: DataFrame, z: float = 2.0, min_claims: int = 10, tiers=None
     return _alerts(
         scored, "UpcodingDetector", F.lit("upcoding"), F.when(F.col("z") > 3.0, "high").otherwise("medium"),
         F.least(F.lit(0.95), F.lit(0.5) + (F.col("z") - 2.0) * 0.15), period=F.lit(None),
-        count=F.least("n", F.lit(20)),
+        count=F.col("n"),
         description=F.concat(F.lit("Provider shows "), _fixed(F.col("ratio") * 100, 1), F.lit("% high-tier wheelchair claims vs peer average of "),
                              _fixed(F.col("p.mean") * 100, 1), F.lit("%")),
         evidence=F.concat(F.lit("Z-score: "), _fixed(F.col("z"), 2), F.lit(", Sample size: "), F.col("n").cast("string"), F.lit(" claims")),
@@ -145,7 +145,7 @@ def volume_spike(claims: DataFrame, z: float = 3.0, high_risk=R.HIGH_RISK_CODES)
     return _alerts(
         hit, "VolumeAnomalyDetector", F.when(F.col("z") > 5.0, "hit_and_run").otherwise("upcoding"),
         F.when(share > 0.5, "critical").when(F.col("z") > 4.0, "high").otherwise("medium"),
-        F.least(F.lit(0.95), F.lit(0.5) + (F.col("z") - z) * 0.1), period=F.col("month"), count=F.least("n", F.lit(30)),
+        F.least(F.lit(0.95), F.lit(0.5) + (F.col("z") - z) * 0.1), period=F.col("month"), count=F.col("n"),
         description=F.concat(F.lit("Volume spike in "), F.col("month"), F.lit(": "), F.col("n").cast("string"), F.lit(" claims vs baseline "), _fixed(F.col("baseline"), 0)),
         evidence=F.concat(F.lit("Z-score: "), _fixed(F.col("z"), 2), F.lit(", High-risk HCPCS ratio: "), _fixed(share * 100, 1), F.lit("%")),
         rules=["VOLUME-SPIKE", "MONTHLY-TREND", "HIGH-RISK-CONCENTRATION"], observed=F.col("n"), expected=F.col("baseline"),
@@ -248,21 +248,18 @@ def cap_per_provider(alerts: DataFrame, n: int = 10) -> DataFrame:
 
 
 def alert_claims(claims: DataFrame, alerts: DataFrame) -> DataFrame:
-    """(alert_id, claim_id): the first 20 wheelchair claims of an upcoding alert, the first 30 of a spike month,
-    every claim of a phantom day, by service date and id. Other alerts name no claims."""
+    """(alert_id, claim_id): every wheelchair claim of an upcoding alert, every claim of a spike month or a phantom day. Other alerts
+    name no claims."""
     def of(detector: str) -> DataFrame:
         return alerts.where(F.col("detector_name") == detector).select("alert_id", "provider_npi", "period")
 
-    order = [F.col("service_date"), F.col("claim_id")]
     base = claims.select("claim_id", "provider_npi", "service_date", "hcpcs_code")
     tier = R.wheelchair_tiers(claims.sparkSession).select("hcpcs_code")
     chairs = base.join(tier, "hcpcs_code", "left_semi").join(of("UpcodingDetector"), "provider_npi")
-    first20 = latest_per_key(chairs, ["alert_id"], order, 20)
     days = base.withColumn("period", F.col("service_date").cast("string")).join(of("PhantomBillingDetector"), ["provider_npi", "period"])
     months = base.withColumn("period", F.date_format("service_date", "yyyy-MM")).join(of("VolumeAnomalyDetector"), ["provider_npi", "period"])
-    first30 = latest_per_key(months, ["alert_id"], order, 30)
     pick = ["alert_id", "claim_id"]
-    return first20.select(pick).unionByName(days.select(pick)).unionByName(first30.select(pick))
+    return chairs.select(pick).unionByName(days.select(pick)).unionByName(months.select(pick))
 
 
 def flagged_claims(claims: DataFrame, links: DataFrame) -> DataFrame:

@@ -76,14 +76,14 @@ def recover_stuck(tasks: DataFrame, as_of: str) -> DataFrame:
     return tasks.withColumns({"status": F.when(hit, "READY").otherwise(F.col("status")), "locked_until": F.when(~hit, F.col("locked_until"))})
 
 
-def retry_history(attempts: DataFrame, keep: int = 100) -> DataFrame:
-    """Ordered attempts per task (task_id, attempt, error, attempted_at) as an array.
+def retry_history(attempts: DataFrame) -> DataFrame:
+    """Attempts as rows (task_id, attempt, error, attempted_at), in order; a task may have any number."""
+    return attempts.select("task_id", "attempt", "error", "attempted_at").orderBy("task_id", "attempt")
 
-    A task has at most ``max_retries`` attempts; a longer list means a broken log and raises.
-    """
-    listed = attempts.groupBy("task_id").agg(F.count("*").alias("_n"), F.sort_array(F.collect_list(F.struct("attempt", "error", "attempted_at"))).alias("retry_history"))
-    checked = F.when(F.col("_n") <= keep, F.col("retry_history")).otherwise(F.raise_error(F.concat(F.lit("too many attempts: "), F.col("task_id"))))
-    return listed.select("task_id", checked.alias("retry_history"))
+
+def retry_summary(attempts: DataFrame) -> DataFrame:
+    """Number of attempts per task, with the first error and the last time."""
+    return attempts.groupBy("task_id").agg(F.count("*").alias("n"), F.min_by("error", "attempt").alias("first_error"), F.max_by("attempted_at", "attempt").alias("last_at"))
 
 
 def audit_transitions(before: DataFrame, after: DataFrame, actor: str, as_of: str) -> DataFrame:
@@ -206,9 +206,11 @@ def execution_times(tasks: DataFrame) -> DataFrame:
     return done.rollup("table_name").agg(F.avg("execution_time_seconds").alias("avg_seconds"), F.max("execution_time_seconds").alias("max_seconds"), F.count("*").alias("n"))
 
 
-def failure_rate(failures: DataFrame, n: int = 100) -> DataFrame:
-    """Recorded failures among the last ``n`` places, as a share."""
-    return failures.limit(n).agg((F.count("*") / F.lit(n)).alias("failure_rate"))
+def failure_rate(tasks: DataFrame, n: int = 100) -> DataFrame:
+    """Share of failures among the last ``n`` finished tasks, by time of their last change; NULL if none is finished."""
+    done = tasks.where(F.col("status").isin("COMPLETED", "FAILED", "DEAD_LETTER"))
+    last = done.orderBy(F.col("updated_at").desc(), "task_id").limit(n)
+    return last.agg(F.try_divide(F.count_if(F.col("status") != "COMPLETED"), F.count("*")).alias("failure_rate"))
 
 
 def queue_summary(tasks: DataFrame) -> DataFrame:

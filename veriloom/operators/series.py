@@ -103,17 +103,17 @@ def polynomial_trend(series: DataFrame, degree: int = 2) -> DataFrame:
 
 
 def returns(series: DataFrame) -> DataFrame:
-    """(series, r_idx, r): relative change, numbered from 0."""
+    """(series, r_idx, r): relative change, numbered from 0; NULL after a 0."""
     before = F.lag("value").over(in_order())
     return (series.withColumn("_b", before).where(F.col("_b").isNotNull())
-            .select("series", (F.col("idx") - 1).alias("r_idx"), ((F.col("value") - F.col("_b")) / F.col("_b")).alias("r")))
+            .select("series", (F.col("idx") - 1).alias("r_idx"), F.try_divide(F.col("value") - F.col("_b"), F.col("_b")).alias("r")))
 
 
 def max_drawdown(series: DataFrame) -> DataFrame:
-    """Deepest fall below the running maximum, as a (negative) share of it."""
+    """Deepest fall below the running maximum, as a (negative) share of it; a maximum of 0 so far is passed over."""
     top = F.max("value").over(in_order().rowsBetween(W.unboundedPreceding, 0))
     return (series.withColumn("_top", top).groupBy("series")
-            .agg(F.min((F.col("value") - F.col("_top")) / F.col("_top")).alias("max_drawdown")))
+            .agg(F.min(F.try_divide(F.col("value") - F.col("_top"), F.col("_top"))).alias("max_drawdown")))
 
 
 def volatility(series: DataFrame) -> DataFrame:
@@ -241,7 +241,8 @@ def change_points(series: DataFrame, min_segment: int = 10, alpha: float = 0.01)
     s1, s2 = F.col("s1"), F.col("s") - F.col("s1")
     within = (F.col("q1") - s1 * s1 / n1) + (F.col("q") - F.col("q1") - s2 * s2 / n2)
     pooled = within / (F.col("n") - 2)
-    t = F.abs(s1 / n1 - s2 / n2) / F.sqrt(pooled * (1 / n1 + 1 / n2))
+    gap, noise = F.abs(s1 / n1 - s2 / n2), F.sqrt(F.greatest(pooled, F.lit(0.0)) * (1 / n1 + 1 / n2))
+    t = F.when(noise > 0, F.try_divide(gap, noise)).when(gap > 0, F.lit(float("inf"))).otherwise(F.lit(0.0))  # no spread and equal means: no split
     lengths = df.select("n").distinct().withColumn("crit", F.pandas_udf(crit, "double")("n"))
     hits = df.withColumn("t", t).join(lengths, "n").where(F.col("t") > F.col("crit"))
     found = hits.groupBy("series").agg(F.sort_array(F.collect_list("idx")).alias("_all"))

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from veriloom.operators import fraud
 from veriloom.session import materialise, work_dir
@@ -16,7 +17,7 @@ class FraudResult:
     alerts: DataFrame
     links: DataFrame | None
     summary: DataFrame | None
-    errors: list[str] = field(default_factory=list)
+    notes: DataFrame
 
 
 CLAIM_COLUMNS = ("claim_id", "provider_npi", "beneficiary_id", "service_date", "hcpcs_code", "billed_amount",
@@ -38,19 +39,24 @@ def detect_side_by_side(claims: DataFrame, params: dict, names: list[str]) -> Da
     return spark.read.parquet(*paths).select(*fraud.ALERT_COLUMNS)
 
 
-def run(claims: DataFrame, as_of: str, *, detectors=None, params: dict | None = None, min_claims: int = 10,
-        confidence: float = 0.5, include_low: bool = False, per_provider: int = 10, with_summary: bool = True) -> FraudResult:
-    """Preprocess, detect, filter, cap, summarise.
+def stored_claims(claims: DataFrame) -> DataFrame:
+    """The cleaned claims, written once for all that reads them, with the columns they need."""
+    return materialise(fraud.preprocess(claims).select(*CLAIM_COLUMNS), "claims")
 
-    The cleaned claims feed every detector and the summary, so they are written once, columns pruned to what
-    those read; the few alerts are written once as well.
+
+def run(claims: DataFrame, as_of: str, *, detectors=None, params: dict | None = None, min_claims: int = 0,
+        confidence: float = 0.5, include_low: bool = False, per_provider: int | None = None, with_summary: bool = True) -> FraudResult:
+    """Preprocess, detect, filter, summarise.
+
+    The cleaned claims feed every detector and the summary, so they are written once; the few alerts are written once as well.
+    Every alert is kept unless ``per_provider`` is given. ``notes`` (code, detail) has a row if there are fewer than
+    ``min_claims`` claims; the detectors run all the same.
     """
-    clean = materialise(fraud.preprocess(claims).select(*CLAIM_COLUMNS), "claims")
-    n = clean.count()
-    if n < min_claims:
-        empty = fraud.run_detectors(clean, {"as_of": as_of, **(params or {})}, ["kickback"]).limit(0)
-        return FraudResult(empty, None, None, [f"Insufficient claims for analysis: {n} < {min_claims}"])
+    clean = stored_claims(claims)
     found = detect_side_by_side(clean, {"as_of": as_of, **(params or {})}, list(detectors or fraud.DETECTORS))
-    alerts = materialise(fraud.cap_per_provider(fraud.keep_confident(found, confidence, include_low), per_provider), "alerts")
+    kept = fraud.keep_confident(found, confidence, include_low)
+    alerts = materialise(kept if per_provider is None else fraud.cap_per_provider(kept, per_provider), "alerts")
     links = fraud.alert_claims(clean, alerts)
-    return FraudResult(alerts, links, fraud.summary(alerts, clean, links) if with_summary else None)
+    few = clean.agg(F.count("*").alias("n")).where(F.col("n") < min_claims)
+    notes = few.select(F.lit("TOO_FEW_CLAIMS").alias("code"), F.concat(F.col("n").cast("string"), F.lit(f" of {min_claims}")).alias("detail"))
+    return FraudResult(alerts, links, fraud.summary(alerts, clean, links) if with_summary else None, notes)

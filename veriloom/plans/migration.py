@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,19 +19,14 @@ def migrate_and_reconcile(spark: SparkSession, src: str, root: str, log: str, ta
 
 
 def reconcile_completed(spark: SparkSession, pairs: DataFrame, sink: str, as_of: str, parallel: int = 4) -> DataFrame:
-    """Re-check completed loads: ``pairs`` (task_id, source_path, target_path, key_column) is a control table.
+    """Re-check completed loads: ``pairs`` (task_id, source_path, target_path, key_column) is a control table, read in pages.
 
-    Its size is checked; each pair is its own distributed job, several at a time, with one report row appended.
+    Each pair is its own distributed job, several at a time, with one report row appended.
     """
-    rows = pairs.limit(files.MAX_TASKS + 1).collect()
-    if len(rows) > files.MAX_TASKS:
-        raise ValueError(f"more than {files.MAX_TASKS} loads in one batch")
-
     def run(p) -> None:
         source, target = spark.read.parquet(p["source_path"]), spark.read.parquet(p["target_path"])
         row = rc.report(rc.reconcile(source, target, [p["key_column"]]), f"recon_{p['task_id']}", as_of)
         files.append_rows(row.withColumn("task_id", F.lit(p["task_id"])), sink)
 
-    with ThreadPoolExecutor(parallel) as pool:
-        list(pool.map(run, rows))
+    files.run_paged(pairs, run, parallel)
     return files.read_rows(spark, sink)

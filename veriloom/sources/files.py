@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_TASKS = 10_000
 SNAPSHOT_LOG = "table string, path string, n_rows bigint, created_at timestamp"
 
 
@@ -68,7 +68,7 @@ def current_snapshot(spark: SparkSession, log: str, table: str) -> DataFrame:
 def write_snapshot(df: DataFrame, root: str, log: str, table: str, partition_by: Sequence[str] = ()) -> str:
     """Write ``df`` beside the older snapshots and switch to it once the write has fully succeeded."""
     path = f"{root.rstrip('/')}/{table}/snapshot={uuid.uuid4().hex[:12]}"
-    writer = df.write.mode("errorifexists")
+    writer = (gathered(df, partition_by) if partition_by else df).write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -86,46 +86,55 @@ def migrate(spark: SparkSession, src: str, root: str, log: str, table: str, part
     return spark.read.parquet(write_snapshot(df, root, log, table, partition_by))
 
 
+def run_paged(control: DataFrame, run: Callable, parallel: int, page: int = 1000) -> list:
+    """``run`` of every row of a control table, ``parallel`` at a time; rows come to the driver a page at a time."""
+    rows, results = control.toLocalIterator(), []
+    with ThreadPoolExecutor(parallel) as pool:
+        while part := list(islice(rows, page)):
+            results += pool.map(run, part)
+    return results
+
+
 def migrate_many(spark: SparkSession, tasks: DataFrame, root: str, log: str, parallel: int = 4) -> DataFrame:
     """Run several migrations side by side; one result row per task.
 
-    ``tasks`` (task_id, source_path, table) is a control table; its size is checked before it is read.
+    ``tasks`` (task_id, source_path, table) is a control table of any length, read in pages; at most a page of tasks is submitted at a time.
     """
-    rows = tasks.select("task_id", "source_path", "table").limit(MAX_TASKS + 1).collect()
-    if len(rows) > MAX_TASKS:
-        raise ValueError(f"more than {MAX_TASKS} tasks in one batch")
 
     def run(task) -> tuple:
         try:
             migrate(spark, task["source_path"], root, log, task["table"])
             return task["task_id"], True, "COMPLETED", None
         except Exception as exc:  # one failing source must not stop the others; its error is reported
-            return task["task_id"], False, "FAILED", str(exc).splitlines()[0][:500]
+            return task["task_id"], False, "FAILED", str(exc)
 
-    with ThreadPoolExecutor(parallel) as pool:
-        results = list(pool.map(run, rows))
+    results = run_paged(tasks.select("task_id", "source_path", "table"), run, parallel)
     return spark.createDataFrame(results, "task_id string, success boolean, status string, error string")
 
 
-def land_bronze(df: DataFrame, root: str, table: str, ingest_date: Column) -> str:
-    """Snappy parquet under table/yyyy/MM/dd."""
-    path = f"{root.rstrip('/')}/{table}"
-    (df.withColumns({"year": F.date_format(ingest_date, "yyyy"), "month": F.date_format(ingest_date, "MM"),
-                     "day": F.date_format(ingest_date, "dd")})
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
-     .partitionBy("year", "month", "day").parquet(path))
-    return path
+def gathered(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows brought together by partition before a write, so that a partition gets few files; adaptive execution splits large
+    partitions by their size and merges small ones."""
+    return df.hint("rebalance", *by)
 
 
-def append_partitioned(df: DataFrame, root: str, by: str) -> str:
-    """Add date partitions; a rerun replaces the partitions it delivers instead of doubling them.
+def land_bronze(df: DataFrame, root: str, table: str, ingest_date: Column, load: str) -> str:
+    """Snappy parquet under table/yyyy/MM/dd, in a folder per load.
 
-    Rows are gathered by partition first, so that a partition gets few files, with a spread column so that
-    one large date is not written by a single task.
+    Loads of one day stand side by side. A rerun under the same ``load`` replaces what that load delivered for its days and nothing else.
     """
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(16))
-    (df.repartition(F.col(by), spread).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(by).parquet(root))
+    path = f"{root.rstrip('/')}/{table}"
+    dated = df.withColumns({"year": F.date_format(ingest_date, "yyyy"), "month": F.date_format(ingest_date, "MM"),
+                            "day": F.date_format(ingest_date, "dd"), "load": F.lit(load)})
+    (gathered(dated, ["year", "month", "day"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("compression", "snappy").partitionBy("year", "month", "day", "load").parquet(path))
+    return path
+
+
+def append_partitioned(df: DataFrame, root: str, by: str, load: str) -> str:
+    """Add rows to date partitions, in a folder per load; a rerun of a load replaces its own rows instead of doubling them."""
+    (gathered(df.withColumn("load", F.lit(load)), [by]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(by, "load").parquet(root))
     return root
 
 
