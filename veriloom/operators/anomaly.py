@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from veriloom.functions.parse import join_issues
 from veriloom.operators.skew import (
-    exact_percentiles, latest_per_key, previous_row, small_side, trailing_count, with_group_stats,
+    exact_percentiles, latest_per_key, previous_row, same_keys, small_side, trailing_count, with_group_stats,
 )
 from veriloom.session import materialise
 
@@ -60,7 +60,7 @@ def zscores(lab: DataFrame, population: DataFrame | None = None) -> DataFrame:
     """
     v = F.col("ResultValueNumeric")
     df = lab if "_pm" in lab.columns else with_group_stats(lab, ["PatientId", "TestCode"], **patient_stats())
-    df = df.join(population if population is not None else population_stats(lab), "TestCode", "left")
+    df = same_keys(df, population if population is not None else population_stats(lab), ["TestCode"], "left")
     return df.withColumns({
         "z_score_within_patient": F.coalesce(zscore(v, F.col("_pm"), F.col("_ps")), F.lit(0.0)),
         "z_score_population": F.coalesce(zscore(v, F.col("_tm"), F.col("_ts")), F.lit(0.0))}).drop("_pm", "_ps", "_tm", "_ts")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from veriloom.functions.parse import safe_ratio
 from veriloom.operators import forecast as fc
-from veriloom.operators.skew import exact_percentiles, running_weight
+from veriloom.operators.skew import exact_percentiles, running_weight, same_keys
 from veriloom.session import materialise
 
 # fixed values: base weight by level of expertise
@@ -70,10 +70,10 @@ def performance_weighted(experts: DataFrame, by: Sequence[str] = GROUP) -> DataF
 def median(experts: DataFrame, by: Sequence[str] = GROUP) -> DataFrame:
     """Median, with 1.4826 times the median absolute deviation as its deviation."""
     mid = exact_percentiles(experts, by, "point_estimate", {"consensus": 0.5})
-    away = experts.select(*by, "point_estimate").join(mid, list(by)).withColumn("_d", F.abs(F.col("point_estimate") - F.col("consensus")))
+    away = same_keys(experts.select(*by, "point_estimate"), mid, list(by)).withColumn("_d", F.abs(F.col("point_estimate") - F.col("consensus")))
     mad = exact_percentiles(away, by, "_d", {"_mad": 0.5})
     n = experts.groupBy(*by).agg(F.count("*").alias("n_experts"))
-    return n.join(mid, list(by)).join(mad, list(by)).withColumn("consensus_std", F.col("_mad") * 1.4826).drop("_mad")
+    return same_keys(same_keys(n, mid, list(by)), mad, list(by)).withColumn("consensus_std", F.col("_mad") * 1.4826).drop("_mad")
 
 
 def trimmed(experts: DataFrame, trim: float = 0.1, by: Sequence[str] = GROUP) -> DataFrame:
@@ -84,7 +84,7 @@ def trimmed(experts: DataFrame, trim: float = 0.1, by: Sequence[str] = GROUP) ->
     keys = list(by)
     counts = experts.groupBy(*keys, "point_estimate").agg(F.count("*").alias("_n"))
     totals = experts.groupBy(*keys).agg(F.count("*").alias("n_experts"))
-    placed = running_weight(counts, keys, "point_estimate", "_n").join(totals, keys)
+    placed = same_keys(running_weight(counts, keys, "point_estimate", "_n"), totals, keys)
     cut = F.floor(F.col("n_experts") * F.lit(trim))
     inside = F.greatest(F.lit(0), F.least(F.col("_before") + F.col("_n"), F.col("n_experts") - cut) - F.greatest(F.col("_before"), cut))
     x = F.col("point_estimate")
@@ -108,7 +108,7 @@ def strength(experts: DataFrame, by: Sequence[str] = GROUP) -> DataFrame:
     """Dispersion of the estimates and the agreement derived from it."""
     x = F.col("point_estimate")
     g = experts.groupBy(*by).agg(F.count("*").alias("n_experts"), F.avg(x).alias("mean_estimate"), F.stddev_pop(x).alias("std_dev"), (F.max(x) - F.min(x)).alias("range"))
-    g = g.join(exact_percentiles(experts, by, "point_estimate", {"median_estimate": 0.5}), list(by))
+    g = same_keys(g, exact_percentiles(experts, by, "point_estimate", {"median_estimate": 0.5}), list(by))
     cv = safe_ratio(F.col("std_dev"), F.abs("mean_estimate"))
     g = g.withColumn("coefficient_of_variation", cv).withColumn("agreement_score", F.lit(1.0) / (F.lit(1.0) + F.col("coefficient_of_variation")))
     a = F.col("agreement_score")

@@ -16,7 +16,7 @@ from veriloom.functions import normal
 from veriloom.functions.hashing import forecast_id
 from veriloom.functions.parse import safe_ratio
 from veriloom.operators.series import by_series, latest_value
-from veriloom.operators.skew import exact_percentiles
+from veriloom.operators.skew import exact_percentiles, same_keys
 from veriloom.session import materialise
 
 # fixed values: widening of the uncertainty by horizon
@@ -116,7 +116,7 @@ def accuracy(errs: DataFrame, by: Sequence[str] = ("indicator",), min_n: int = 5
         F.avg("absolute_error").alias("mae"), F.sqrt(F.avg("squared_error")).alias("rmse"), F.avg(F.abs("percentage_error")).alias("mape"),
         (F.count_if(same) / F.count("*") * 100).alias("directional_accuracy"), F.count("*").alias("n_forecasts"), F.avg("error").alias("mean_bias"))
     med = exact_percentiles(errs, by, "absolute_error", {"median_absolute_error": 0.5})
-    return g.where(F.col("n_forecasts") >= min_n).join(med, list(by))
+    return same_keys(g.where(F.col("n_forecasts") >= min_n), med, list(by)) if by else g.where(F.col("n_forecasts") >= min_n).withColumn("median_absolute_error", med.scalar())
 
 
 def _inside(level: float) -> tuple[Column, Column]:
@@ -187,7 +187,7 @@ def evaluation_report(forecasts: DataFrame, actuals: DataFrame) -> DataFrame:
 def backtest_summary(errs: DataFrame, by: Sequence[str] = ("series",)) -> DataFrame:
     g = errs.groupBy(*by).agg(F.avg("absolute_error").alias("mae"), F.sqrt(F.avg("squared_error")).alias("rmse"),
                               F.avg(F.abs("percentage_error")).alias("mape"), F.count("*").alias("n_forecasts"))
-    return g.join(exact_percentiles(errs, by, "absolute_error", {"median_ae": 0.5}), list(by))
+    return same_keys(g, exact_percentiles(errs, by, "absolute_error", {"median_ae": 0.5}), list(by))
 
 
 # ---- reasoning --------------------------------------------------------------------------------------

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from veriloom.functions.parse import safe_ratio
 from veriloom.operators import rules as R
-from veriloom.operators.skew import exact_positions, latest_per_key, running_weight
+from veriloom.operators.skew import exact_positions, latest_per_key, running_weight, same_keys
 
 # fixed values: base priority by risk level
 BASE_PRIORITY = {"low": 10, "medium": 40, "high": 70, "critical": 90}
@@ -50,16 +50,17 @@ def zscore(value: Column, mean: Column, std: Column) -> Column:
 
 
 def percentile_rank(df: DataFrame, value: str, by: Iterable[str] = ()) -> DataFrame:
-    """Share of the group's rows strictly below each row's value, in percent."""
+    """Share of the group's known values strictly below each row's value, in percent; NULL for a NULL value."""
     keys = list(by)
-    counts = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    known = df.where(F.col(value).isNotNull())
+    counts = known.groupBy(*keys, value).agg(F.count("*").alias("_n"))
     before = running_weight(counts, keys, value, "_n")
     if keys:
-        before = before.join(df.groupBy(*keys).agg(F.count("*").alias("_total")), keys)
+        before = same_keys(before, known.groupBy(*keys).agg(F.count("*").alias("_total")), keys)
     else:
-        before = before.withColumn("_total", df.agg(F.count("*")).scalar())
+        before = before.withColumn("_total", known.agg(F.count("*")).scalar())
     ranks = before.select(*keys, value, (F.col("_before") / F.col("_total") * 100).alias("percentile_rank"))
-    return df.join(ranks, [*keys, value])
+    return same_keys(df, ranks, [*keys, value], "left")
 
 
 def _alerts(df: DataFrame, detector: str, fraud_type: Column, risk: Column, confidence: Column, *, period: Column, count: Column,

@@ -8,6 +8,8 @@ summary row per bucket. Results equal those of the plain window.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from veriloom.session import materialise
 
 MICROS = 1_000_000
-MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_BYTES = 32 << 20
 
 
 def micros(ts: Column) -> Column:
@@ -27,6 +29,14 @@ def time_bucket(ts: Column, seconds: int) -> Column:
     return F.floor(micros(ts) / F.lit(seconds * MICROS))
 
 
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on columns of the same names in which NULL equals NULL, as in windows and groups. ``right``'s keys are dropped; the
+    left ones are kept, so ``how`` is inner, left or a semi or anti join."""
+    names = {k: f"_same{i}" for i, k in enumerate(keys)}
+    cond = reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    return left.join(right.withColumnsRenamed(names), cond, how).drop(*names.values())
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows per key in ``order``.
 
@@ -51,8 +61,8 @@ def previous_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
     between = W.partitionBy(*keys).orderBy("_bucket")
     carry = last.select(*keys, "_bucket", F.lag("_last").over(between).alias("_carry"))
     if stats:
-        carry = carry.join(df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()]), list(keys))
-    joined = lagged.join(carry, [*keys, "_bucket"], "left")
+        carry = same_keys(carry, df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()]), list(keys))
+    joined = same_keys(lagged, carry, [*keys, "_bucket"], "left")
     return joined.withColumn(name, F.coalesce("_in", "_carry")).drop("_in", "_carry", "_bucket")
 
 
@@ -77,54 +87,57 @@ def trailing_count(df: DataFrame, keys: Sequence[str], ts: str, steps: int, step
     whole = W.partitionBy(*keys).orderBy("_step").rangeBetween(-(steps - 1), -1)
     between = (per_step.withColumn("_mid", F.coalesce(F.sum("_n").over(whole), F.lit(0))).drop("_n")
                if steps > 1 else per_step.select(*keys, "_step", F.lit(0).alias("_mid")))
-    return (counted.join(between, [*keys, "_step"], "left")
+    return (same_keys(counted, between, [*keys, "_step"], "left")
             .withColumn(name, F.col("_own") + F.col("_old") + F.col("_mid"))
             .drop("_own", "_old", "_mid", "_t", "_step"))
 
 
 def exact_positions(df: DataFrame, by: Sequence[str], value: str, wanted: dict[str, tuple[float, Column]],
                     accuracy: int = 20_000) -> DataFrame:
-    """Order statistics per group without sorting a group in one task.
+    """Order statistics per group without sorting a group in one task. Runs jobs when called: stores one row per group, and the few
+    rows near the positions.
 
     ``wanted`` maps an output name to (fraction near the position, 0-based position as a function of
-    column ``_total``); fractional positions interpolate linearly. A mergeable sketch brackets each
-    position; distinct values outside the bracket are only counted, those inside are ranked exactly.
+    column ``_total``); fractional positions interpolate linearly. A mergeable sketch brackets each position. Rows
+    outside a bracket are only counted, in the tasks that read them; those inside, a share of about 6 / accuracy, are
+    shuffled and ranked, by ranges of values.
     """
-    group = list(by)
+    group, names = list(by), list(wanted)
     present = df.where(F.col(value).isNotNull()).select(*group, F.col(value).alias("_v"))
     margin = 3.0 / accuracy
-    names = list(wanted)
-    fractions = []
-    for n in names:
-        q = wanted[n][0]
-        fractions += [max(0.0, q - margin), min(1.0, q + margin)]
-    cuts = F.struct(F.percentile_approx("_v", fractions, accuracy).alias("cuts"), F.count("*").alias("total")).alias("_s")
-    counts = present.groupBy(*group, "_v").agg(F.count("*").alias("_n"))
+    fractions = [f for n in names for f in (max(0.0, wanted[n][0] - margin), min(1.0, wanted[n][0] + margin))]
+    sketch = present.groupBy(*group).agg(F.percentile_approx("_v", fractions, accuracy).alias("_cuts"), F.count("*").alias("_total"))
     if group:
-        counts = counts.join(present.groupBy(*group).agg(cuts), group)
+        marked = same_keys(present, small_side(sketch, "sketch"), group)
     else:  # one row for all: a scalar, as a join without keys would be a cross join
-        counts = counts.withColumn("_s", present.agg(cuts).scalar())
-    counts = counts.select(*group, "_v", "_n", F.col("_s.cuts").alias("_cuts"), F.col("_s.total").alias("_total"))
-    brackets = F.array(*[
-        F.struct(F.lit(n).alias("name"), F.col("_cuts")[2 * i].alias("lo"), F.col("_cuts")[2 * i + 1].alias("hi"),
-                 wanted[n][1].cast("double").alias("pos"))
-        for i, n in enumerate(names)])
-    rows = counts.select(*group, "_v", "_n", F.explode(brackets).alias("_b")).select(*group, "_v", "_n", "_b.*")
-    # everything below a bracket folds into one row holding its largest value, everything above into its least:
-    # a fractional position may need the neighbour just outside
-    side = F.when(F.col("_v") < F.col("lo"), -1).when(F.col("_v") > F.col("hi"), 1).otherwise(0)
-    folded = (rows.withColumn("_side", side)
-              .groupBy(*group, "name", "_side", F.when(F.col("_side") == 0, F.col("_v")).alias("_z"))
-              .agg(F.sum("_n").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.first("pos").alias("pos")))
-    w = W.partitionBy(*group, "name").orderBy("_side", "_z").rowsBetween(W.unboundedPreceding, 0)
-    ranked = folded.withColumn("_end", F.sum("_n").over(w)).withColumn(
-        "_v", F.when(F.col("_side") < 0, F.col("_max")).otherwise(F.col("_min")))
-    lower = F.min(F.when(F.col("_end") > F.floor("pos"), F.col("_v")))
-    upper = F.min(F.when(F.col("_end") > F.ceil("pos"), F.col("_v")))
-    picked = ranked.groupBy(*group, "name").agg(lower.alias("_lo"), upper.alias("_hi"), F.first("pos").alias("pos"))
-    part = F.col("pos") - F.floor("pos")
-    valued = picked.withColumn("_x", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * part)
-    wide = valued.groupBy(*group).agg(*[F.max(F.when(F.col("name") == n, F.col("_x"))).alias(n) for n in names])
+        marked = present.withColumn("_s", sketch.agg(F.first(F.struct("_cuts", "_total"))).scalar()).select("_v", "_s.*")
+    v, cuts = F.col("_v"), F.col("_cuts")
+    lo, hi = ({n: cuts[2 * i + k] for i, n in enumerate(names)} for k in (0, 1))
+    # a fractional position may need the neighbour just outside the bracket
+    sides = marked.groupBy(*group).agg(
+        F.first("_total").alias("_total"),
+        *[F.count_if(v < lo[n]).alias(f"_below{i}") for i, n in enumerate(names)],
+        *[F.max(F.when(v < lo[n], v)).alias(f"_under{i}") for i, n in enumerate(names)],
+        *[F.min(F.when(v > hi[n], v)).alias(f"_over{i}") for i, n in enumerate(names)])
+    each = F.array(*[F.struct(F.lit(n).alias("_name"), wanted[n][1].cast("double").alias("_pos"), F.col(f"_below{i}").alias("_below"),
+                              F.col(f"_under{i}").alias("_under"), F.col(f"_over{i}").alias("_over")) for i, n in enumerate(names)])
+    sides = sides.select(*group, F.explode(each).alias("_e")).select(*group, "_e.*")
+    held = F.array_compact(F.array(*[F.when((v >= lo[n]) & (v <= hi[n]), F.lit(n)) for n in names]))
+    inside = marked.select(*group, "_v", F.explode(held).alias("_name")).groupBy(*group, "_name", "_v").agg(F.count("*").alias("_n"))
+    ranked = running_weight(inside, [*group, "_name"], "_v", "_n")
+    placed = same_keys(ranked, sides, [*group, "_name"])
+
+    def at(place: Column) -> Column:
+        k = place - F.col("_below")
+        return F.max(F.when((k >= F.col("_before")) & (k < F.col("_before") + F.col("_n")), v))
+
+    found = placed.groupBy(*group, "_name").agg(
+        at(F.floor("_pos")).alias("_lo"), at(F.ceil("_pos")).alias("_hi"), F.first("_pos").alias("_pos"),
+        F.first("_below").alias("_below"), F.first("_under").alias("_under"), F.first("_over").alias("_over"))
+    low = F.coalesce("_lo", F.when(F.floor("_pos") < F.col("_below"), F.col("_under")).otherwise(F.col("_over")))
+    high = F.coalesce("_hi", F.when(F.ceil("_pos") < F.col("_below"), F.col("_under")).otherwise(F.col("_over")))
+    valued = found.withColumn("_x", low + (high - low) * (F.col("_pos") - F.floor("_pos")))
+    wide = valued.groupBy(*group).agg(*[F.max(F.when(F.col("_name") == n, F.col("_x"))).alias(n) for n in names])
     return wide.select(*by, *names)
 
 
@@ -148,7 +161,7 @@ def running_weight(df: DataFrame, by: Sequence[str], value: str, weight: str, na
     totals = stored.groupBy(*group, "_part").agg(F.sum(weight).alias("_w"))
     before = W.partitionBy(*group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(*group, "_part", F.coalesce(F.sum("_w").over(before), F.lit(0)).alias("_offset"))
-    return (local.join(offsets, [*group, "_part"])
+    return (same_keys(local, offsets, [*group, "_part"])
             .withColumn(name, F.col("_local") + F.col("_offset")).drop("_local", "_offset", "_part"))
 
 
@@ -156,11 +169,13 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], **stats: Column) -> Dat
     """Join group aggregates back. The aggregate combines map-side; adaptive execution broadcasts it when
     it turns out small and splits hot keys otherwise, which a window over the key could not."""
     totals = df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
-    return df.join(totals, list(keys), "left")
+    return same_keys(df, totals, list(keys), "left")
 
 
 def small_side(df: DataFrame, name: str = "small") -> DataFrame:
-    """A reduced frame for joining to a large one: stored once, counted, and broadcast only if it is small. Left to
-    itself the planner would shuffle the large side before learning the size of the other."""
+    """A reduced frame for joining to a large one: stored once when called, measured, and broadcast only if it is small. Left to
+    itself the planner would shuffle the large side before learning the size of the other. The size is that of the rows as
+    text, which bounds numbers and texts alike."""
     stored = materialise(df, name)
-    return F.broadcast(stored) if stored.count() <= MAX_BROADCAST_ROWS else stored
+    size = stored.agg(F.sum(F.length(F.to_json(F.struct("*"))) + 16 * len(stored.columns))).first()[0]
+    return F.broadcast(stored) if (size or 0) <= MAX_BROADCAST_BYTES else stored
