@@ -7,7 +7,7 @@ from importlib import import_module
 from veriloom.catalog.registry import ORACLES, QUERIES
 
 SUBJECTS = ("ingest", "quality", "marts", "kpi", "fraud", "series", "forecast", "queue", "audit", "reconcile",
-            "anomaly", "streams")
+            "anomaly", "streams", "edges")
 
 
 def load() -> None:
