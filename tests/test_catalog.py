@@ -6,16 +6,18 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from veriloom import catalog
 
 # SQL cannot express these: files and run-dependent text, seeded hashes, iterative or per-batch models
-ROWS_ONLY = {"schema_gate", "batch_migrate", "technical_columns", "flagship", "iforest_fit", "iforest_score", "permutation_importance",
-             "change_points", "analyze_series", "evaluation_report", "retry_delay_jitter", "recon_report_append", "column_set_diff", "stream_fraud"}
+ROWS_ONLY = {"technical_columns", "iforest_fit", "iforest_score", "permutation_importance", "change_points", "analyze_series", "evaluation_report", "recon_report_append",
+             "column_set_diff", "stream_fraud"}
 SAMPLE = ["validate_reference_range", "delta_check", "daily_quality_metrics", "unified_patient_view", "kpi_percentiles", "fraud_pipeline", "series_volatility",
           "consensus_trimmed", "queue_health", "recon_status", "cdc_apply", "lab_features", "phi_excessive_access"]
 
 
 def test_every_query_is_checked_or_listed():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
+    own = catalog.QUERIES.keys()
+    assert set(own) - set(entry.oracle_sql()) == ROWS_ONLY
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 

@@ -144,7 +144,8 @@ FROM expert_forecasts JOIN forecast_actuals USING (forecast_id)""")
 
 
 def _errors(spark, d):
-    return forecast.errors(src.expert_forecasts(spark, d), src.forecast_actuals(spark, d))
+    """Stored: the measures read it several times."""
+    return materialise(forecast.errors(src.expert_forecasts(spark, d), src.forecast_actuals(spark, d)), "errors")
 
 
 @query("forecast_actual_match", "forecast_id actual:r4 error:r absolute_error:r percentage_error:r squared_error:r horizon_days:i", "SELECT * FROM errs")
@@ -207,7 +208,7 @@ UNION ALL SELECT indicator, printf('%.0f%%', round(level * 100)) || ' intervals
 @query("evaluation_recommendations", "indicator recommendation", """
 SELECT * FROM advice UNION ALL SELECT indicator, 'Forecast performance is within acceptable ranges.' FROM acc WHERE indicator NOT IN (SELECT indicator FROM advice)""")
 def _(spark, d):
-    errs = materialise(_errors(spark, d), "errors")
+    errs = _errors(spark, d)
     return forecast.recommendations(materialise(forecast.accuracy(errs), "accuracy"), materialise(forecast.coverage(errs), "coverage"))
 
 

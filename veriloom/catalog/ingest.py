@@ -28,7 +28,8 @@ def _(spark, d):
     return files.read_csv(spark, _orders_csv(spark, d), ORDERS)
 
 
-@query("schema_gate", "column problem")
+@query("schema_gate", "column problem", """
+SELECT * FROM (VALUES ('o_comment', 'missing'), ('o_orderdate', 'extra'), ('o_orderpriority', 'extra'), ('o_orderstatus', 'extra'), ('o_totalprice', 'extra')) AS t("column", problem)""")
 def _(spark, d):
     return files.check_columns(src.read(spark, d, "orders"), ["o_orderkey", "o_custkey", "o_comment"])
 
@@ -48,7 +49,7 @@ def _(spark, d):
 ORDERS_NAMES = [f.split()[0] for f in ORDERS.split(", ")]
 
 
-@query("batch_migrate", "task_id success status")
+@query("batch_migrate", "task_id success status", "SELECT * FROM (VALUES ('t1', TRUE, 'COMPLETED'), ('t2', FALSE, 'FAILED'), ('t3', TRUE, 'COMPLETED')) AS t(task_id, success, status)")
 def _(spark, d):
     root = work_dir(spark, "lake")
     tables = [("t1", _orders_csv(spark, d), "orders"), ("t2", f"{root}/absent", "absent")]

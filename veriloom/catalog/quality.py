@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from veriloom.catalog.common import enriched, validated
-from veriloom.catalog.registry import frame_sql, query
+from veriloom.catalog.registry import FRAMES_SQL, frame_sql, query
 from veriloom.functions.parse import join_issues
 from veriloom.operators import conform, marts, quality, rules
 from veriloom.operators import anomaly as anomaly_ops
@@ -226,8 +226,20 @@ def _(spark, d):
     return marts.validated(src.lab(spark, d), flags, odd)
 
 
+# the frames of the stored results, over the newest version of each raw result
+frame_sql("silver_lab", "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ResultId ORDER BY ModifiedDate DESC) AS newest FROM bronze_lab) WHERE newest = 1")
+frame_sql("silver_enriched", FRAMES_SQL["enriched"].replace("FROM lab l", "FROM silver_lab l"))
+frame_sql("silver_ranged", FRAMES_SQL["ranged0"].replace("FROM enriched e", "FROM silver_enriched e"))
+frame_sql("silver_zscored", FRAMES_SQL["zscored"].replace("FROM lab WINDOW", "FROM silver_lab WINDOW"))
+
+
 @query("flagship", "MetricDate:d PerformingLabId:i TestCode TotalTests:i CriticalValues:i AnomalousResults:i ValidationFailures:i "
-       "AvgTurnaroundTimeMinutes:r MissingResults:i CriticalValueRate:r AnomalyRate:r ValidationFailureRate:r CompletenessRate:r")
+       "AvgTurnaroundTimeMinutes:r MissingResults:i CriticalValueRate:r AnomalyRate:r ValidationFailureRate:r CompletenessRate:r", """
+SELECT *, CriticalValues / TotalTests * 100 AS CriticalValueRate, AnomalousResults / TotalTests * 100 AS AnomalyRate,
+ ValidationFailures / TotalTests * 100 AS ValidationFailureRate, (TotalTests - MissingResults) / TotalTests * 100 AS CompletenessRate FROM (
+ SELECT CAST(ResultDate AS DATE) AS MetricDate, PerformingLabId, TestCode, count(*) AS TotalTests, count(*) FILTER (IsCriticalValue) AS CriticalValues,
+  count(*) FILTER (IsAnomaly) AS AnomalousResults, count(*) FILTER (NOT ReferenceRangeValid) AS ValidationFailures, avg(TurnaroundTimeMinutes) AS AvgTurnaroundTimeMinutes,
+  count(*) FILTER (ResultValueNumeric IS NULL) AS MissingResults FROM silver_ranged JOIN silver_zscored USING (ResultId) GROUP BY 1, 2, 3)""")
 def _(spark, d):
     raw = conform.bronze_to_silver(src.bronze_lab(spark, d), "LabResults", "2024-01-31", F.lit(src.AS_OF).cast("timestamp"))
     extra = src.lab(spark, d).select("ResultId", "TurnaroundTimeMinutes")

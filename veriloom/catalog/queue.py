@@ -28,10 +28,20 @@ def _(spark, d):
     return _tasks(spark, d).withColumn("delay", backoff.exponential(F.col("retry_count")))
 
 
-@query("retry_delay_jitter", "task_id delay ratio")
+@query("retry_delay_jitter", "task_id bounded repeatable", "SELECT task_id, TRUE AS bounded, TRUE AS repeatable FROM tasks")
 def _(spark, d):
-    df = _tasks(spark, d).withColumn("delay", backoff.exponential(F.col("retry_count"), jitter=0.1, key=F.col("task_id")))
-    return df.withColumn("ratio", F.col("delay") / backoff.exponential(F.col("retry_count")))
+    """Jittered delays stay within a tenth of the plain ones and repeat for a key."""
+    jittered = backoff.exponential(F.col("retry_count"), jitter=0.1, key=F.col("task_id"))
+    df = _tasks(spark, d).withColumns({"delay": jittered, "again": jittered})
+    ratio = F.col("delay") / backoff.exponential(F.col("retry_count"))
+    return df.select("task_id", ratio.between(0.9 - 1e-9, 1.1 + 1e-9).alias("bounded"), (F.col("delay") == F.col("again")).alias("repeatable"))
+
+
+@query("retry_delay_jitter_spread", "many:i", "SELECT 1 AS many FROM (SELECT count(*) AS n FROM tasks WHERE retry_count = 2) WHERE n > 1")
+def _(spark, d):
+    """Tasks of equal retry counts are spread."""
+    delay = backoff.exponential(F.col("retry_count"), jitter=0.1, key=F.col("task_id"))
+    return _tasks(spark, d).where("retry_count = 2").select(delay.alias("d")).agg(F.countDistinct("d").alias("n")).where("n > 1").select(F.lit(1).alias("many"))
 
 
 @query("retry_delay_adaptive", "task_id delay:r", """
