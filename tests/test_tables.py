@@ -26,7 +26,7 @@ def test_upsert_twice_equals_once(spark):
     once = merge.upsert(target, source, ["k"])
     assert [(r["k"], r["v"]) for r in once.orderBy("k").collect()] == [(1, "a"), (2, "c"), (3, "d")]
     assert rows(merge.upsert(once, source, ["k"])) == rows(once)
-    assert merge.upsert(None, source, ["k"]) is source
+    assert rows(merge.upsert(None, source, ["k"])) == rows(source)
 
 
 def test_changes_net_and_apply(spark):
@@ -112,7 +112,7 @@ def test_claims_json_document_and_provider_rules(spark, tmp_path):
     for name, content in (("list", [record, record]), ("object", {"claims": [record]})):
         path = tmp_path / f"{name}.json"
         path.write_text(json.dumps(content, indent=1))
-        got = claims.read_claims_json(spark, str(path)).collect()
+        got = claims.read_claims_json(spark, str(path), multiline=True).collect()
         assert len(got) == (2 if name == "list" else 1)
         assert got[0]["service_date"] is None and got[0]["claim_date"] == dt.date(2024, 3, 1) and got[0]["billed_amount"] == 5.5
     path = tmp_path / "p.csv"
@@ -157,3 +157,67 @@ def test_incremental_bounds_reach_the_scan(spark, sf):
     df, _ = merge.extract_incremental(files.read_parquet(spark, f"{sf}/orders.parquet"), "o_orderdate", dt.datetime(1999, 1, 1), dt.datetime(2000, 1, 1))
     plan = df.select("o_orderkey")._jdf.queryExecution().toString()
     assert "GreaterThan(o_orderdate" in plan and "o_totalprice" not in plan.split("ReadSchema")[1]
+
+
+def test_bucketed_merge_leaves_other_folders_alone(spark, tmp_path):
+    import glob
+    import os
+
+    path = merge.write_bucketed(spark.range(200).selectExpr("id AS k", "id * 2 AS v", "cast(id AS string) AS _row_hash"), f"{tmp_path}/t", ["k"], 16)
+    before = {f: os.path.getmtime(f) for f in glob.glob(f"{path}/*/*.parquet")}
+    source = spark.createDataFrame([(7, 0, "x"), (500, 1, "y")], "k bigint, v bigint, _row_hash string")
+    n = merge.merge_bucketed(spark, path, source, ["k"], lambda t, s: merge.upsert(t, s, ["k"]), 16)
+    after = {f: os.path.getmtime(f) for f in glob.glob(f"{path}/*/*.parquet")}
+    touched = {os.path.dirname(f) for f in before.keys() ^ after.keys()}
+    assert n in (1, 2) and len(touched) == n and all(after[f] == t for f, t in before.items() if os.path.dirname(f) not in touched)
+    got = {r.k: r.v for r in merge.read_bucketed(spark, path).collect()}
+    assert got == {**{i: 2 * i for i in range(200)}, 7: 0, 500: 1}
+    gone = spark.createDataFrame([(i, 1, i) for i in range(200)] + [(500, 1, 1)], "k bigint, op int, seq bigint").selectExpr("k", "op", "seq", "0L AS v", "'' AS _row_hash")
+    merge.merge_bucketed(spark, path, gone, ["k"], lambda t, s: merge.apply_changes(t, s, ["k"]), 16)
+    assert not glob.glob(f"{path}/bucket=*/*.parquet")
+
+
+def test_null_key_is_refused(spark):
+    source = spark.createDataFrame([(None, "a")], "k int, _row_hash string")
+    with pytest.raises(Exception, match="NULL"):
+        merge.upsert(source.limit(0), source, ["k"]).collect()
+
+
+def test_loads_of_a_day_stand_side_by_side(spark, tmp_path):
+    df = spark.range(30).selectExpr("id", "date'2024-01-05' AS day")
+    for load, part in (("a", df.where("id < 10")), ("b", df.where("id >= 10")), ("a", df.where("id < 10"))):
+        path = files.land_bronze(part, f"{tmp_path}/bronze", "t", F.col("day"), load)
+        files.append_partitioned(part, f"{tmp_path}/gold", "day", load)
+    for p in (path, f"{tmp_path}/gold"):
+        assert sorted(r.id for r in spark.read.parquet(p).collect()) == list(range(30))
+
+
+def test_work_folder_on_a_cluster_must_be_named(spark):
+    from veriloom import session
+
+    class Conf:
+        def __init__(self, **values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key.replace(".", "_"), default)
+
+    class Fake:
+        conf = Conf(spark_master="spark://host:7077")
+
+    with pytest.raises(ValueError, match="share"):
+        session.work_dir(Fake, "x")
+    Fake.conf = Conf(spark_master="spark://host:7077", spark_checkpoint_dir="hdfs://store/ck")
+    assert session.work_dir(Fake, "x").startswith("hdfs://store/ck/x-")
+
+
+def test_work_tables_are_removed(spark):
+    import os
+
+    from veriloom import session
+
+    with session.work(spark):
+        path = session.materialise(spark.range(3), "gone").inputFiles()[0]
+        folder = os.path.dirname(path.removeprefix("file://").removeprefix("file:"))
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)

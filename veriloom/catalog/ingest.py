@@ -165,6 +165,26 @@ def _(spark, d):
     return merge.upsert(_silver_old(spark, d), _silver_new(spark, d), ["PatientId"])
 
 
+@query("upsert_bucketed", "PatientId MRN FirstName Gender _row_hash", """
+SELECT PatientId, MRN, FirstName, Gender, md5(PatientId || '||' || MRN || '||' || FirstName || '||' || Gender) AS _row_hash FROM (
+ SELECT PatientId, MRN, Gender, CASE WHEN PatientId % 7 = 0 AND PatientId % 3 = 0 THEN 'OLD' ELSE FirstName END AS FirstName
+ FROM patients WHERE PatientId % 7 <> 0 OR PatientId < 1000 OR PatientId % 2 = 0)""")
+def _(spark, d):
+    path = merge.write_bucketed(_silver_old(spark, d), work_dir(spark, "silver"), ["PatientId"], 16)
+    merge.merge_bucketed(spark, path, _silver_new(spark, d), ["PatientId"], lambda old, new: merge.upsert(old, new, ["PatientId"]), 16)
+    return merge.read_bucketed(spark, path)
+
+
+@query("cdc_apply_bucketed", "ResultId PatientId ResultValueNumeric:r ModifiedDate:t", """
+WITH net AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ResultId ORDER BY seq DESC) AS r FROM change_log WHERE op <> 3) WHERE r = 1)
+SELECT ResultId, PatientId, ResultValueNumeric, ModifiedDate FROM net WHERE op <> 1
+UNION ALL SELECT t.* FROM change_target t WHERE ResultId NOT IN (SELECT ResultId FROM net)""")
+def _(spark, d):
+    path = merge.write_bucketed(src.change_target(spark, d), work_dir(spark, "cdc"), ["ResultId"], 16)
+    merge.merge_bucketed(spark, path, src.change_log(spark, d), ["ResultId"], lambda target, log: merge.apply_changes(target, log, ["ResultId"]), 16)
+    return merge.read_bucketed(spark, path)
+
+
 @query("cdc_decode", "seq op:i OperationType ResultId", """
 SELECT *, CASE op WHEN 2 THEN 'Insert' ELSE 'Update (After)' END AS OperationType FROM change_log WHERE op IN (2, 4)""")
 def _(spark, d):
@@ -231,6 +251,23 @@ def _(spark, d):
     return claim_files.read_claims_json(spark, path, multiline=False)
 
 
+@query("claims_json_array", "claim_id provider_npi service_date:d billed_amount:r2 units:i", "SELECT * FROM claims")
+def _(spark, d):
+    """Documents that are arrays of claims, one per provider."""
+    path = work_dir(spark, "claims-arrays")
+    src.claims(spark, d).groupBy("provider_npi").agg(F.to_json(F.collect_list(F.struct("*"))).alias("value")).select("value").write.text(path)
+    return claim_files.read_claims_json(spark, path)
+
+
+@query("claims_json_object", "claim_id provider_npi service_date:d billed_amount:r2 units:i", "SELECT * FROM claims")
+def _(spark, d):
+    """Documents that hold their claims under ``claims``, pretty-printed over many lines."""
+    path = work_dir(spark, "claims-objects")
+    held = src.claims(spark, d).groupBy(F.substring("provider_npi", -1, 1).alias("k")).agg(F.collect_list(F.struct("*")).alias("claims"))
+    held.select(F.to_json(F.struct("claims"), {"pretty": "true"}).alias("value")).repartition(16, "value").write.option("maxRecordsPerFile", 1).text(path)
+    return claim_files.read_claims_json(spark, path, multiline=True)
+
+
 @query("providers_csv_scan", "npi legal_business_name state", """
 SELECT lpad(CAST(s_suppkey AS VARCHAR), CASE WHEN s_suppkey % 13 = 0 THEN 9 ELSE 10 END, '0') AS npi, s_name AS legal_business_name, 'S' || s_nationkey AS state
 FROM supplier WHERE s_suppkey % 13 <> 0""")

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from veriloom.catalog import common  # noqa: F401
+from veriloom.catalog import common
 from veriloom.catalog.fraud import PARAMS
 from veriloom.catalog.ingest import _claims_csv
 from veriloom.catalog.queue import HEALTH
 from veriloom.catalog.registry import query
 from veriloom.operators import queue
 from veriloom.session import materialise, work_dir
-from veriloom.sources import files
 from veriloom.sources import frames as src
+from veriloom.sources import merge
 from veriloom.streaming import jobs
 
 
@@ -62,11 +62,10 @@ def _(spark, d):
 SELECT * REPLACE (upper(trim(AbnormalFlag)) AS AbnormalFlag, upper(trim(ResultStatus)) AS ResultStatus)
 FROM (SELECT *, row_number() OVER (PARTITION BY ResultId ORDER BY ModifiedDate DESC) AS r FROM bronze_lab) WHERE r = 1""")
 def _(spark, d):
-    root = work_dir(spark, "silver")
+    path = work_dir(spark, "silver")
     at = F.lit(src.AS_OF).cast("timestamp")
-    _in_parts(spark, src.bronze_lab(spark, d), "ModifiedDate", "bronze",
-              lambda s, ck: jobs.silver_upsert(s, root, f"{root}/_snapshots", "LabResults", "2024-01-31", ck, at))
-    return files.current_snapshot(spark, f"{root}/_snapshots", "LabResults")
+    _in_parts(spark, src.bronze_lab(spark, d), "ModifiedDate", "bronze", lambda s, ck: jobs.silver_upsert(s, path, "LabResults", "2024-01-31", ck, at, 16))
+    return merge.read_bucketed(spark, path)
 
 
 @query("stream_critical_alerts", "ResultId PatientId TestCode Severity", """
@@ -86,12 +85,16 @@ def _(spark, d):
     return jobs.latest_rows(spark, sink, ["UserId", "window_start"])
 
 
-@query("stream_daily_quality", "MetricDate:d PerformingLabId:i TestCode TotalTests:i MissingResults:i AvgTurnaroundTimeMinutes:r", """
-SELECT CAST(ResultDate AS DATE) AS MetricDate, PerformingLabId, TestCode, count(*) AS TotalTests, count(*) FILTER (ResultValueNumeric IS NULL) AS MissingResults,
- avg(TurnaroundTimeMinutes) AS AvgTurnaroundTimeMinutes FROM lab GROUP BY 1, 2, 3""")
+@query("stream_daily_quality", "MetricDate:d PerformingLabId:i TestCode TotalTests:i CriticalValues:i AnomalousResults:i ValidationFailures:i "
+       "AvgTurnaroundTimeMinutes:r MissingResults:i CriticalValueRate:r AnomalyRate:r ValidationFailureRate:r CompletenessRate:r", """
+SELECT *, CriticalValues / TotalTests * 100 AS CriticalValueRate, AnomalousResults / TotalTests * 100 AS AnomalyRate,
+ ValidationFailures / TotalTests * 100 AS ValidationFailureRate, (TotalTests - MissingResults) / TotalTests * 100 AS CompletenessRate FROM (
+ SELECT CAST(ResultDate AS DATE) AS MetricDate, PerformingLabId, TestCode, count(*) AS TotalTests, count(*) FILTER (CriticalFlag) AS CriticalValues,
+  count(*) FILTER (IsAnomaly) AS AnomalousResults, count(*) FILTER (NOT ReferenceRangeValid) AS ValidationFailures, avg(TurnaroundTimeMinutes) AS AvgTurnaroundTimeMinutes,
+  count(*) FILTER (ResultValueNumeric IS NULL) AS MissingResults FROM validated_lab GROUP BY 1, 2, 3)""")
 def _(spark, d):
     sink = work_dir(spark, "daily")
-    _in_parts(spark, src.lab(spark, d), "ResultDate", "lab", lambda s, ck: jobs.daily_quality(s, sink, ck))
+    _in_parts(spark, common.validated(spark, d), "ResultDate", "lab", lambda s, ck: jobs.daily_quality(s, sink, ck))
     return jobs.latest_rows(spark, sink, ["MetricDate", "PerformingLabId", "TestCode"])
 
 
@@ -100,10 +103,9 @@ WITH net AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ResultId O
 SELECT ResultId, PatientId, ResultValueNumeric, ModifiedDate FROM net WHERE op <> 1
 UNION ALL SELECT t.* FROM change_target t WHERE ResultId NOT IN (SELECT ResultId FROM net)""")
 def _(spark, d):
-    root = work_dir(spark, "cdc")
-    files.write_snapshot(src.change_target(spark, d), root, f"{root}/_snapshots", "results")
-    _in_parts(spark, src.change_log(spark, d), "seq", "changes", lambda s, ck: jobs.cdc_apply(s, root, f"{root}/_snapshots", "results", ["ResultId"], ck))
-    return files.current_snapshot(spark, f"{root}/_snapshots", "results")
+    path = merge.write_bucketed(src.change_target(spark, d), work_dir(spark, "cdc"), ["ResultId"], 16)
+    _in_parts(spark, src.change_log(spark, d), "seq", "changes", lambda s, ck: jobs.cdc_apply(s, path, ["ResultId"], ck, 16))
+    return merge.read_bucketed(spark, path)
 
 
 @query("stream_delta_check", "ResultId PreviousResult:r PercentChange:r4 DeltaCheckPass IsLate", "SELECT *, FALSE AS IsLate FROM delta_checked")

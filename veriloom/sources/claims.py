@@ -63,9 +63,9 @@ def read_claims_csv(spark: SparkSession, path: str, mapping: Mapping[str, str] =
     return _typed(raw if limit is None else raw.limit(limit), mapping)
 
 
-def read_claims_json(spark: SparkSession, path: str, limit: int | None = None, multiline: bool = True) -> DataFrame:
-    """A JSON array of claims, or an object holding them under ``claims``. ``multiline=False`` reads one record
-    per line: such files split across tasks, while a document is read whole by one."""
+def read_claims_json(spark: SparkSession, path: str, limit: int | None = None, multiline: bool = False) -> DataFrame:
+    """Claims as records, arrays of records, or objects holding them under ``claims``. By default a line is one of these: such
+    files split across tasks. ``multiline=True`` reads a document spread over lines, each file whole by one task."""
     text = T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.DateType) else f.dataType)
                          for f in CLAIM_SCHEMA.fields])
     both = T.StructType([*text.fields, T.StructField("claims", T.ArrayType(text))])
@@ -77,14 +77,18 @@ def read_claims_json(spark: SparkSession, path: str, limit: int | None = None, m
 
 
 def read_providers_csv(spark: SparkSession, path: str, mapping: Mapping[str, str] = PROVIDER_HEADERS) -> DataFrame:
-    """Providers with a ten-character npi; of several rows the last in the file wins."""
+    """Providers with a ten-character npi; of several rows the last wins, by the name of the file and the place in it."""
     raw = _text_csv(spark, path)
     header = next(s for s, n in mapping.items() if n == "npi")
     if header not in raw.columns:
         raise ValueError(f"no {header} column in {path}")
-    # ids of one file grow with the position in it
-    rows = _typed(raw, mapping).withColumn("_line", F.monotonically_increasing_id())
-    return latest_per_key(rows.where(F.length("npi") == 10), ["npi"], [F.col("_line").desc()]).drop("_line")
+    # ids grow within a split; which split comes first is not said by them, but by file and start
+    place = {"_file": F.col("_metadata.file_path"), "_start": F.col("_metadata.file_block_start"), "_line": F.monotonically_increasing_id()}
+    names = [*mapping.values()]
+    rows = _typed(raw.withColumns(place), {**mapping, "_file": "_file", "_start": "_start", "_line": "_line"})
+    rows = rows.withColumns({"_start": F.col("_start").cast("bigint"), "_line": F.col("_line").cast("bigint")}).where(F.length("npi") == 10)
+    last = latest_per_key(rows, ["npi"], [F.col("_file").desc(), F.col("_start").desc(), F.col("_line").desc()])
+    return last.select(*[n for n in names if n in last.columns])
 
 
 def write_claims(claims: DataFrame, path: str, fmt: str = "csv") -> str:

@@ -47,6 +47,11 @@ def source_check(spark: SparkSession, path: str, schema: str | None = None) -> D
     return df.agg(F.lit(path).alias("path"), F.count("*").alias("n_rows"), F.lit(len(df.columns)).alias("n_columns"))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def record_snapshot(spark: SparkSession, log: str, table: str, path: str, n_rows: int) -> None:
     """Point ``table`` at ``path``. The row appears whole or not at all, so readers see the old snapshot or the new
     one, never a mixture. One writer per table is assumed; tables may be written side by side."""

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veriloom.operators.skew import latest_per_key
+from veriloom.session import materialise
 
 
 def extract_incremental(src: DataFrame, wm_col: str, old, new=None) -> tuple[DataFrame, Column | object]:
@@ -60,8 +63,12 @@ def add_processed_rows(watermarks: DataFrame, runs: DataFrame) -> DataFrame:
 def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str], hash_col: str = "_row_hash") -> DataFrame:
     """Target after merging: a matched row is replaced only if its hash differs, new rows are added.
 
-    One full outer join on the key. The source must hold one row per key. No target: the source itself.
+    One full outer join on the key. The source must hold one row per key, and a row with a NULL in its key is an error: it has nothing
+    to be matched by. No target: the source itself.
     """
+    broken = reduce(or_, [F.col(k).isNull() for k in keys])
+    checked = F.when(broken, F.raise_error(F.lit(f"a key ({', '.join(keys)}) is NULL"))).otherwise(F.lit(True))
+    source = source.where(checked)
     if target is None:
         return source
     cols = target.columns
@@ -72,6 +79,46 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str], has
     return j.select(F.when(replace, F.col("_s")).otherwise(F.col("_t")).alias("_r")).select("_r.*")
 
 
+BUCKET = "bucket"
+
+
+def bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int = 256) -> str:
+    """Store a table in folders by a hash of its key, for :func:`merge_bucketed`."""
+    bucketed(df, keys, buckets).hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
+    return path
+
+
+def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop(BUCKET)
+
+
+def merge_bucketed(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], merge: Callable[[DataFrame, DataFrame], DataFrame],
+                   buckets: int = 256) -> int:
+    """Apply ``merge(target, source)`` to a table of :func:`write_bucketed`, reading and rewriting only the folders in which a key of the
+    source falls; returns how many.
+
+    The merged folders are written beside the table first and then replace the old ones. One writer a table; a reader
+    that must not see folders change needs a transactional format.
+    """
+    incoming = materialise(bucketed(source, keys, buckets), "incoming")
+    hit = sorted(r[0] for r in incoming.select(BUCKET).distinct().collect())  # ``buckets`` rows at most
+    if not hit:
+        return 0
+    target = spark.read.parquet(path)
+    merged = merge(target.where(F.col(BUCKET).isin(hit)).drop(BUCKET), incoming.drop(BUCKET))
+    stored = materialise(bucketed(merged, keys, buckets), "merged")
+    left = {r[0] for r in stored.select(BUCKET).distinct().collect()}
+    (stored.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
+    for gone in set(hit) - left:  # folders whose last row was deleted
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{BUCKET}={gone}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(hit)
+
+
 OPERATIONS = {1: "Delete", 2: "Insert", 3: "Update (Before)", 4: "Update (After)"}
 
 

@@ -78,35 +78,33 @@ def provider_profile(stream: DataFrame, sink: str, checkpoint: str) -> None:
     drain(agg, to_batches(sink), checkpoint, "update")
 
 
-def silver_upsert(stream: DataFrame, root: str, log: str, table: str, load_date: str, checkpoint: str, as_of=None) -> None:
-    """Raw rows to silver per micro-batch: conform, clean, de-duplicate, merge by hash into a new snapshot.
+SILVER_BUCKETS = 256
+
+
+def silver_upsert(stream: DataFrame, path: str, table: str, load_date: str, checkpoint: str, as_of=None, buckets: int = SILVER_BUCKETS) -> None:
+    """Raw rows to silver per micro-batch: conform, clean, de-duplicate, merge by hash. Only folders of ``path`` in which a key
+    of the batch falls are rewritten.
 
     Rows of a batch may repeat earlier ones: equal hashes leave the stored row, older versions are dropped by
     keeping the later ModifiedDate.
     """
     keys = conform.PRIMARY_KEYS[table]
 
+    def newer(old: DataFrame, new: DataFrame) -> DataFrame:
+        newest = old.select(*keys, F.col("ModifiedDate").alias("_m"))
+        kept = new.join(newest, keys, "left").where(F.col("_m").isNull() | (F.col("ModifiedDate") >= F.col("_m"))).drop("_m")
+        return merge.upsert(old, kept, keys)
+
     def each(df: DataFrame, batch_id: int) -> None:
         new = conform.bronze_to_silver(df, table, load_date, as_of)
-        old = stored(df.sparkSession, log, table)
-        if old is not None:
-            newest = old.select(*keys, F.col("ModifiedDate").alias("_m"))
-            new = (new.join(newest, keys, "left").where(F.col("_m").isNull() | (F.col("ModifiedDate") >= F.col("_m"))).drop("_m"))
-        files.write_snapshot(merge.upsert(old, new, keys), root, log, table)
+        if files.exists(df.sparkSession, path):
+            merge.merge_bucketed(df.sparkSession, path, new, keys, newer, buckets)
+        else:
+            merge.write_bucketed(new, path, keys, buckets)
 
     drain(stream, each, checkpoint)
 
 
-def stored(spark: SparkSession, log: str, table: str) -> DataFrame | None:
-    """The current snapshot, or None before the first."""
-    try:
-        return files.current_snapshot(spark, log, table)
-    except Exception as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "no snapshot" in str(exc):
-            return None
-        raise
-
-
 def critical_alerts(stream: DataFrame, patients: DataFrame, sink: str, checkpoint: str, rules=None) -> None:
     """Stateless: enrich by stream-static joins, validate, keep critical rows with their severity."""
     df = quality.reference_range(quality.enrich(stream, patients, R.test_catalogue(stream.sparkSession)), rules)
@@ -127,19 +125,25 @@ def phi_access(stream: DataFrame, sink: str, checkpoint: str, limit: int = 100,
 
 
 def daily_quality(stream: DataFrame, sink: str, checkpoint: str, delay: str = "1 day", mode: str = "update") -> None:
-    """Daily metrics per laboratory and test. ``append`` writes a day once, when the watermark has passed it."""
+    """Daily metrics per laboratory and test of a stream of validated results, all that the batch table has. ``append`` writes a day
+    once, when the watermark has passed it."""
     rows = stream.withColumn("ts", F.col("ResultDate").cast("timestamp")).withWatermark("ts", delay)
     agg = rows.groupBy(F.window("ts", "1 day").alias("w"), "PerformingLabId", "TestCode").agg(
-        F.count("*").alias("TotalTests"), F.count_if(F.col("ResultValueNumeric").isNull()).alias("MissingResults"),
-        F.avg("TurnaroundTimeMinutes").alias("AvgTurnaroundTimeMinutes"))
-    out = agg.select(F.to_date("w.start").alias("MetricDate"), "PerformingLabId", "TestCode", "TotalTests", "MissingResults", "AvgTurnaroundTimeMinutes")
+        F.count("*").alias("TotalTests"), F.count_if("CriticalFlag").alias("CriticalValues"), F.count_if("IsAnomaly").alias("AnomalousResults"),
+        F.count_if(~F.col("ReferenceRangeValid")).alias("ValidationFailures"), F.avg("TurnaroundTimeMinutes").alias("AvgTurnaroundTimeMinutes"),
+        F.count_if(F.col("ResultValueNumeric").isNull()).alias("MissingResults"))
+    share = lambda n: F.col(n) / F.col("TotalTests") * 100
+    out = agg.select(F.to_date("w.start").alias("MetricDate"), "PerformingLabId", "TestCode", "TotalTests", "CriticalValues", "AnomalousResults", "ValidationFailures",
+                     "AvgTurnaroundTimeMinutes", "MissingResults", share("CriticalValues").alias("CriticalValueRate"), share("AnomalousResults").alias("AnomalyRate"),
+                     share("ValidationFailures").alias("ValidationFailureRate"), (F.lit(100) - share("MissingResults")).alias("CompletenessRate"))
     drain(out, to_batches(sink), checkpoint, mode)
 
 
-def cdc_apply(stream: DataFrame, root: str, log: str, table: str, keys: Sequence[str], checkpoint: str) -> None:
-    """Apply each micro-batch's net changes to the table's current snapshot. Micro-batches must follow the log."""
+def cdc_apply(stream: DataFrame, path: str, keys: Sequence[str], checkpoint: str, buckets: int = SILVER_BUCKETS) -> None:
+    """Apply each micro-batch's net changes to a bucketed table, rewriting only the folders they touch. Micro-batches must follow
+    the log."""
     def each(df: DataFrame, batch_id: int) -> None:
-        files.write_snapshot(merge.apply_changes(files.current_snapshot(df.sparkSession, log, table), df, keys), root, log, table)
+        merge.merge_bucketed(df.sparkSession, path, df, keys, lambda target, changes: merge.apply_changes(target, changes, keys), buckets)
 
     drain(stream, each, checkpoint)
 
@@ -160,14 +164,18 @@ def _remember(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState, ttl
     last = state.get if state.exists else None
     n = len(pdf)
     late, before, when = np.zeros(n, bool), np.full(n, np.nan), np.full(n, np.datetime64("NaT"), "datetime64[us]")
-    for k in np.lexsort((ids, stamp)):
-        if last is not None and (stamp[k], ids[k]) < (last[1], last[2]):
-            late[k] = True
-            continue
+    order = np.lexsort((ids, stamp))
+    if last is not None:
+        late[:] = (stamp < last[1]) | ((stamp == last[1]) & (ids < last[2]))
+        order = order[~late[order]]
+    if len(order):
+        before[order[1:]] = values[order[:-1]]
+        when[order[1:]] = stamp[order[:-1]].astype("datetime64[us]")
         if last is not None:
-            before[k] = np.nan if last[0] is None else last[0]
-            when[k] = np.datetime64(last[1], "us")
-        last = (None if np.isnan(values[k]) else float(values[k]), int(stamp[k]), int(ids[k]))
+            before[order[0]] = np.nan if last[0] is None else last[0]
+            when[order[0]] = np.datetime64(last[1], "us")
+        newest = order[-1]
+        last = (None if np.isnan(values[newest]) else float(values[newest]), int(stamp[newest]), int(ids[newest]))
     state.update(last)
     if ttl_ms is not None:
         state.setTimeoutTimestamp(last[1] // 1000 + ttl_ms)
