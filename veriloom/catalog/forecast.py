@@ -198,23 +198,27 @@ def _(spark, d):
 
 
 frame_sql("advice", """
-SELECT indicator, CASE WHEN mean_bias > 0 THEN 'Forecasts run low (under-prediction). Consider an upward correction.' ELSE 'Forecasts run high (over-prediction). Consider a downward correction.' END AS recommendation
- FROM acc WHERE abs(mean_bias) > 0.1 * mae
-UNION ALL SELECT indicator, 'Directional accuracy is low (' || printf('%.1f%%', round(directional_accuracy, 1)) || '). Consider leading indicators.' FROM acc WHERE directional_accuracy < 60
-UNION ALL SELECT indicator, printf('%.0f%%', round(level * 100)) || ' intervals are ' || CASE WHEN level > actual_coverage THEN 'too narrow' ELSE 'too wide' END || ' (actual coverage ' || printf('%.1f%%', round(actual_coverage * 100, 1)) || ')'
- FROM cov WHERE abs(level - actual_coverage) > 0.10""")
+SELECT indicator, CASE WHEN mean_bias > 0 THEN 'under_prediction' ELSE 'over_prediction' END AS rule, CAST(NULL AS DOUBLE) AS level, mean_bias AS value, 0.1 * mae AS threshold FROM acc WHERE abs(mean_bias) > 0.1 * mae
+UNION ALL SELECT indicator, 'direction', NULL, directional_accuracy, 60 FROM acc WHERE directional_accuracy < 60
+UNION ALL SELECT indicator, CASE WHEN level > actual_coverage THEN 'narrow' ELSE 'wide' END, level, actual_coverage, 0.10 FROM cov WHERE abs(level - actual_coverage) > 0.10""")
+frame_sql("all_advice", "SELECT * FROM advice UNION ALL SELECT indicator, 'none', NULL, NULL, NULL FROM acc WHERE indicator NOT IN (SELECT indicator FROM advice)")
 
 
-@query("evaluation_recommendations", "indicator recommendation", """
-SELECT * FROM advice UNION ALL SELECT indicator, 'Forecast performance is within acceptable ranges.' FROM acc WHERE indicator NOT IN (SELECT indicator FROM advice)""")
+@query("evaluation_recommendations", "indicator rule level:r value:r threshold:r", "SELECT * FROM all_advice")
 def _(spark, d):
     errs = _errors(spark, d)
     return forecast.recommendations(materialise(forecast.accuracy(errs), "accuracy"), materialise(forecast.coverage(errs), "coverage"))
 
 
-@query("evaluation_report", "indicator first_target:d last_target:d mae:r rmse:r crps:r sharpness:r recommendations:j")
+@query("evaluation_report", "indicator first_target:d last_target:d mae:r rmse:r crps:r sharpness:r recommendations:j", f"""
+SELECT s.indicator, first_target, last_target, mae, rmse, crps, sharpness, recommendations FROM (SELECT indicator, min(target_date) AS first_target, max(target_date) AS last_target FROM errs GROUP BY 1) s
+ LEFT JOIN acc USING (indicator) LEFT JOIN (SELECT indicator, avg({crps_sql('point_estimate', 'std', 'actual')}) AS crps FROM errs WHERE std > 0 GROUP BY 1 HAVING count(*) >= 10) USING (indicator)
+ LEFT JOIN (SELECT indicator, any_value(sharpness) AS sharpness FROM cov GROUP BY 1) USING (indicator)
+ LEFT JOIN (SELECT indicator, list(rule || coalesce(printf(' %.2f', level), '') ORDER BY rule, level) AS recommendations FROM all_advice GROUP BY 1) USING (indicator)""")
 def _(spark, d):
-    return forecast.evaluation_report(src.expert_forecasts(spark, d), src.forecast_actuals(spark, d))
+    report = forecast.evaluation_report(src.expert_forecasts(spark, d), src.forecast_actuals(spark, d))
+    text = lambda r: F.concat(r["rule"], F.coalesce(F.concat(F.lit(" "), F.format_number(r["level"], 2)), F.lit("")))
+    return report.withColumn("recommendations", F.transform("recommendations", text))
 
 
 @query("backtest_summary", "series mae:r rmse:r mape:r median_ae:r n_forecasts:i", """

@@ -152,25 +152,31 @@ def methodology_ranking(errs: DataFrame, min_n: int = 5) -> DataFrame:
     return acc.join(best, "indicator").withColumn("is_best", F.col("methodology") == F.col("_b")).drop("_b")
 
 
+BIAS_SHARE, LEAST_DIRECTION, COVERAGE_GAP = 0.1, 60.0, 0.10
+
+
 def recommendations(acc: DataFrame, cov: DataFrame) -> DataFrame:
-    """(indicator, recommendation) rows from bias, direction and coverage; a reassuring row where none applies."""
-    def pct(c: Column, places: int = 1) -> Column:
-        return F.format_string(f"%.{places}f%%", F.round(c * 100, places))
+    """(indicator, rule, level, value, threshold): every rule that an indicator breaks, with what was measured and the limit; one row
+    ``none`` where it breaks none.
+
+    under_prediction and over_prediction: the bias against a share of the mean error; direction: the share of right signs; narrow and wide:
+    the coverage of a level too far below or above it.
+    """
+    def finding(rule: Column | str, level: Column, value: Column, threshold: Column) -> Column:
+        return F.struct((F.lit(rule) if isinstance(rule, str) else rule).alias("rule"), level.cast("double").alias("level"),
+                        value.cast("double").alias("value"), threshold.cast("double").alias("threshold"))
 
-    bias = F.abs("mean_bias") > F.col("mae") * 0.1
+    none, bias, limit = F.lit(None), F.col("mean_bias"), F.col("mae") * BIAS_SHARE
     own = acc.select("indicator", F.explode(F.array_compact(F.array(
-        F.when(bias & (F.col("mean_bias") > 0), "Forecasts run low (under-prediction). Consider an upward correction."),
-        F.when(bias & (F.col("mean_bias") <= 0), "Forecasts run high (over-prediction). Consider a downward correction."),
-        F.when(F.col("directional_accuracy") < 60, F.concat(F.lit("Directional accuracy is low ("), pct(F.col("directional_accuracy") / 100),
-                                                            F.lit("). Consider leading indicators."))),
-    ))).alias("recommendation"))
+        F.when(F.abs(bias) > limit, finding(F.when(bias > 0, "under_prediction").otherwise("over_prediction"), none, bias, limit)),
+        F.when(F.col("directional_accuracy") < LEAST_DIRECTION, finding("direction", none, F.col("directional_accuracy"), F.lit(LEAST_DIRECTION))),
+    ))).alias("_f"))
     gap = F.col("level") - F.col("actual_coverage")
-    shape = F.when(gap > 0, "too narrow").otherwise("too wide")
-    per_level = cov.where(F.abs(gap) > 0.10).select("indicator", F.concat(
-        pct(F.col("level"), 0), F.lit(" intervals are "), shape, F.lit(" (actual coverage "), pct(F.col("actual_coverage")), F.lit(")")).alias("recommendation"))
+    shape = F.when(gap > 0, "narrow").otherwise("wide")
+    per_level = cov.where(F.abs(gap) > COVERAGE_GAP).select("indicator", finding(shape, F.col("level"), F.col("actual_coverage"), F.lit(COVERAGE_GAP)).alias("_f"))
     found = own.unionByName(per_level)
-    quiet = acc.join(found, "indicator", "left_anti").select("indicator", F.lit("Forecast performance is within acceptable ranges.").alias("recommendation"))
-    return found.unionByName(quiet)
+    quiet = acc.join(found, "indicator", "left_anti").select("indicator", finding("none", none, none, none).alias("_f"))
+    return found.unionByName(quiet).select("indicator", "_f.*")
 
 
 def evaluation_report(forecasts: DataFrame, actuals: DataFrame) -> DataFrame:
@@ -179,7 +185,7 @@ def evaluation_report(forecasts: DataFrame, actuals: DataFrame) -> DataFrame:
     acc, cov = materialise(accuracy(errs), "accuracy"), materialise(coverage(errs), "coverage")
     span = errs.groupBy("indicator").agg(F.min("target_date").alias("first_target"), F.max("target_date").alias("last_target"))
     levels = cov.groupBy("indicator").agg(F.first("sharpness").alias("sharpness"), F.sort_array(F.collect_list(F.struct("level", "actual_coverage"))).alias("coverage"))
-    advice = recommendations(acc, cov).groupBy("indicator").agg(F.sort_array(F.collect_list("recommendation")).alias("recommendations"))
+    advice = recommendations(acc, cov).groupBy("indicator").agg(F.sort_array(F.collect_list(F.struct("rule", "level", "value", "threshold"))).alias("recommendations"))
     return (span.join(acc, "indicator", "left").join(crps(errs).drop("n"), "indicator", "left").join(levels, "indicator", "left")
             .join(advice, "indicator", "left"))
 
@@ -240,6 +246,7 @@ def revise_rationale(rationales: DataFrame, revisions: DataFrame) -> DataFrame:
 
 def rationale_consistency(rationales: DataFrame) -> DataFrame:
     """is_valid, issues and warnings from the documented parts."""
+    # the messages are fixed values
     low = F.size(F.filter("evidence", lambda e: e["reliability"].isin("low", "very_low")))
     bare = F.filter("assumptions", lambda a: (a["sensitivity"] == "high") & (F.size(a["alternatives"]) == 0))
     named = F.transform(bare, lambda a: F.concat(F.lit("High-sensitivity assumption without alternatives: "), a["description"]))
