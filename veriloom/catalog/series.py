@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from veriloom.catalog import common  # noqa: F401
 from veriloom.catalog.registry import frame_sql, query
 from veriloom.operators import series as ops
+from veriloom.session import materialise
 from veriloom.sources import frames as src
 
 
@@ -231,7 +232,7 @@ def _(spark, d):
 
 @query("analyze_series", "series mean:r trend_slope:r volatility:r roc_1_period:r change_points:j has_seasonality")
 def _(spark, d):
-    s, c = src.series(spark, d), src.segment_series(spark, d)
+    s, c = materialise(src.series(spark, d), "series"), materialise(src.segment_series(spark, d), "segments")
     return ops.analyze(s, c, _pairs(s, c, TARGET))
 
 

@@ -63,6 +63,7 @@ def percentile_rank(df: DataFrame, value: str, by: Iterable[str] = ()) -> DataFr
     return same_keys(df, ranks, [*keys, value], "left")
 
 
+# fixed values: detector and rule names, and the wording of descriptions, evidence and actions in the detectors below
 def _alerts(df: DataFrame, detector: str, fraud_type: Column, risk: Column, confidence: Column, *, period: Column, count: Column,
             description: Column, evidence: Column, rules: list[str], observed: Column, expected: Column,
             std_devs: Column | None = None, action: str = "") -> DataFrame:

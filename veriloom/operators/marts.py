@@ -181,6 +181,7 @@ def fact_lab_result(lab: DataFrame, patients: DataFrame, tests: DataFrame) -> Da
         "ResultTimeKey": time_key(F.col("ResultDate")), "LaboratoryKey": F.coalesce("PerformingLabId", F.lit(-1))}))
 
 
+# fixed values: the labels of the categories below
 def result_category() -> Column:
     return (F.when(F.col("CriticalFlag"), "Critical").when(F.col("IsOutOfRange"), "Out of Range")
             .when(F.col("IsAnomaly"), "Anomalous").otherwise("Normal"))
@@ -273,6 +274,7 @@ def _monthly(fact: DataFrame, date_col: str) -> DataFrame:
     return fact.groupBy(F.trunc(F.to_date(date_col), "month").alias("month")).agg(F.count("*").alias("results"))
 
 
+# fixed values: the labels of trends
 def trend_indicator(growth: Column) -> Column:
     return F.when(growth > 0.1, "↑ Growing").when(growth < -0.1, "↓ Declining").otherwise("→ Stable")
 

@@ -75,6 +75,7 @@ RULE_COLUMNS = ("PhysMin", "PhysMax", "MaxDelta", "DeltaHours", "Units", "Specim
                 "DeltaText")
 
 
+# fixed values: the messages of the checks below
 def _plausible(df: DataFrame) -> dict[str, Column]:
     x = F.col("ResultValueNumeric")
     ok = F.coalesce(x.between(F.col("PhysMin"), F.col("PhysMax")), F.lit(True))

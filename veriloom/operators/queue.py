@@ -173,6 +173,7 @@ def health_alerts(row: DataFrame, limits: AlertLimits = AlertLimits()) -> DataFr
     dlq, run, wait, age = (F.col(c) for c in ("tasks_in_dlq_last_hour", "consecutive_failures", "pending_tasks", "oldest_pending_task_age_minutes"))
     rate = _success_rate()
     text = F.format_string
+    # fixed values: severities, types and messages
     return row.select(F.inline(F.array_compact(F.array(
         alert(dlq >= limits.max_dlq_per_hour, "CRITICAL", "DLQ_THRESHOLD_EXCEEDED", text("%d tasks moved to DLQ in last hour", dlq), limits.max_dlq_per_hour, dlq),
         alert(run >= limits.max_consecutive_failures, "CRITICAL", "CONSECUTIVE_FAILURES", text("%d consecutive task failures", run), limits.max_consecutive_failures, run),

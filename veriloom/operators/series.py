@@ -365,7 +365,8 @@ def backtest(series: DataFrame, train_window: int, horizon: int, step: int = 1)
 
 
 def analyze(series: DataFrame, related: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
-    """All features of a series in one row; with ``related`` series and ``pairs`` also the strongest leads."""
+    """All features of a series in one row; with ``related`` series and ``pairs`` also the strongest leads. Every family of features
+    reads the series anew: pass stored ones."""
     peaks = seasonality(series).groupBy("series").agg(
         F.sort_array(F.collect_list(F.struct("rank", "period", "strength"))).alias("seasonal_periods"))
     out = stats(series).join(trend(series), "series").join(volatility(series), "series").join(momentum(series), "series")
