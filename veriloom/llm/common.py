@@ -78,14 +78,14 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
     Alternates two steps that replace edges by stars until nothing changes: every node tells its larger neighbours the
     smallest node it knows, then its smaller ones. Only minima are gathered, never lists of neighbours; each round is
-    written to the shared folder, so lost executors cost one round at most. Joins on well-connected nodes are left to
-    adaptive skew handling. The number of rounds grows with the logarithm of the longest chain.
+    written to the shared folder, so lost executors cost one round at most. The minima are stored too: then both sides of the
+    join arrive by a shuffle of its own, and adaptive execution splits a node with very many neighbours. The number of rounds grows with the logarithm of the longest chain.
     """
     pairs = (edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     current, before = materialise(pairs, name), None
     while True:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), name)
         large = (both.where("v > u").join(low.hint("shuffle_merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least.hint("shuffle_merge"), "u")
