@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from veriloom.llm.common import bounded_sample
 from veriloom.session import materialise
 
 SAMPLE, PROBES = 20_000, 200
@@ -112,7 +113,7 @@ def _top(queries: np.ndarray, entries: np.ndarray, reps: np.ndarray, k: int) ->
 
 def fit(vectors: DataFrame, total: int) -> Index:
     """Centroids from at most SAMPLE different vectors, those with the smallest hashes; their number follows the number of rows."""
-    rows = vectors.orderBy(F.xxhash64("embedding"), "rep").limit(SAMPLE).select("embedding").toArrow()
+    rows = bounded_sample(vectors.select("rep", "embedding"), SAMPLE, "rep").select("embedding").toArrow()
     size = len(rows.column("embedding")[0])
     points = unit(_matrix(rows.column("embedding"), size))
     k = int(np.clip(np.sqrt(total / CELL_ROWS), 2, min(MOST_CENTROIDS, len(points))))
@@ -122,7 +123,7 @@ def fit(vectors: DataFrame, total: int) -> Index:
 
 def enough(entries: DataFrame, index: Index, k: int, recall: float) -> int:
     """Entries to see so that ``recall`` of the true k nearest of PROBES rows are met: one pass over all entries."""
-    probes = entries.orderBy(F.xxhash64("rep"), "rep").limit(PROBES).select("rep", "embedding").toArrow()
+    probes = bounded_sample(entries.select("rep", "embedding"), PROBES, "rep").toArrow()
     size = len(probes.column("embedding")[0])
     queries, own = _matrix(probes.column("embedding"), size), np.array(probes.column("rep").to_pylist())
 

@@ -67,6 +67,16 @@ def rank_within(stored: DataFrame, keys: Sequence[str], row: Sequence[str] = ("_
             .drop("_own", "_offset", "_bucket", *safe))
 
 
+def bounded_sample(df: DataFrame, n: int, *keys: str) -> DataFrame:
+    """At most ``n`` rows, those with the smallest hashes of ``keys``, so the same ones in every run.
+
+    A share of about twice as many is cut out in the tasks first: else every task would send its own ``n`` smallest on.
+    """
+    share = min(1.0, 2 * n / max(1, df.count()))
+    h = F.xxhash64(F.lit("sample"), *keys)
+    return df.withColumn("_h", h).where(F.pmod("_h", F.lit(1 << 30)) < int(share * (1 << 30))).orderBy("_h", *keys).limit(n).drop("_h")
+
+
 def _zero(df: DataFrame, column: str) -> Column:
     kind = df.schema[column].dataType
     return F.lit("" if kind.simpleString() == "string" else 0).cast(kind)

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veriloom.llm.common import byte_slices
+from veriloom.llm.common import bounded_sample, byte_slices
 from veriloom.session import materialise, work_dir
 
 #: Fixed values of the formats: the skippable frame for dictionaries, the start of a dictionary, the profile of revisits.
@@ -28,15 +28,15 @@ FILE_BYTES = 64 << 20
 SLICE_BYTES = 4 << 20
 
 
-def train(pages: DataFrame, html: str = "html") -> bytes:
+def train(pages: DataFrame, html: str = "html", page: str = "page_id") -> bytes:
     """A dictionary from at most SAMPLE_ROWS whole records of up to SAMPLE_RECORD bytes each (so 16 MB in all), those with the
-    smallest hashes; empty if they don't suffice. It only affects how well archives compress, never what they hold."""
+    smallest hashes of their ids; empty if they don't suffice. It only affects how well archives compress, never what they hold."""
     import zstandard
 
     text = F.coalesce(F.col(html), F.lit(""))
-    rows = (pages.select(text.alias("text"), F.xxhash64(text).alias("h")).where(F.octet_length("text").between(1, SAMPLE_RECORD))
-            .orderBy("h", "text").limit(SAMPLE_ROWS).select("text").collect())
-    samples = [r["text"].encode() for r in rows]
+    rows = pages.select(F.col(page).alias("page_id"), text.alias("text")).where(F.octet_length("text").between(1, SAMPLE_RECORD))
+    rows = bounded_sample(rows, SAMPLE_ROWS, "page_id").select("text").collect()
+    samples = sorted(r["text"].encode() for r in rows)
     if len(samples) < 8:
         return b""
     try:
@@ -242,6 +242,6 @@ def archive(pages: DataFrame, folder: str | None = None, html: str = "html", pag
     Repeated rows are records each; if several rows share the largest id of equal payloads, all of them are responses. No rows
     give no files and no rows.
     """
-    dictionary = train(pages, html)
+    dictionary = train(pages, html, page)
     files = write(plan(pages, html, page, url, least), folder or work_dir(pages.sparkSession, "warc"), dictionary)
     return read(files, pages.schema[page].dataType.simpleString())
