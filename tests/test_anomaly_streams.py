@@ -75,7 +75,7 @@ def test_late_results_are_marked_not_applied(spark):
 def test_closed_days_equal_batch_in_append_mode(spark):
     rows = [(i, 1, "GLUCOSE", dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), float(i)) for i in range(120)]
     full = [[r for r in rows if r[0] < 60], [r for r in rows if r[0] >= 60]]
-    stream = staged(spark, full).withColumn("PerformingLabId", F.lit(1)).withColumn("TurnaroundTimeMinutes", F.lit(5))
+    stream = staged(spark, full).withColumn("PerformingLabId", F.lit(1)).withColumns({"TurnaroundTimeMinutes": F.lit(5), "CriticalFlag": F.lit(False), "IsAnomaly": F.lit(False), "ReferenceRangeValid": F.lit(True)})
     sink = work_dir(spark, "days")
     jobs.daily_quality(stream, sink, work_dir(spark, "ck"), "1 hour", "append")
     got = {r["MetricDate"].day: r["TotalTests"] for r in spark.read.parquet(sink).collect()}
