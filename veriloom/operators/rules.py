@@ -116,10 +116,9 @@ CATEGORY_HIERARCHY = [
 
 
 def table(spark: SparkSession, rows: list, schema: str) -> DataFrame:
-    """A rule list as a frame hinted for broadcast; refuses lists that are not rule-sized."""
-    if len(rows) > MAX_RULE_ROWS:
-        raise ValueError(f"{len(rows)} rows is too many for a broadcast rule table")
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    """A rule list as a frame, hinted for broadcast up to MAX_RULE_ROWS rows; a longer one joins like any table."""
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if len(rows) <= MAX_RULE_ROWS else df
 
 
 def _number(x):
