@@ -53,7 +53,8 @@ def op9_entropy_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return quality_rules.apply_rules(table(spark, folder, "documents"))
+    found = quality_rules.apply_rules(table(spark, folder, "documents"))
+    return found.select("doc_id", *quality_rules.NUMBERS, "base_failed", "kept", "removed_words")
 
 
 ORACLES["op3_quality_rules"] = rf"""
