@@ -15,13 +15,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veriloom.llm.common import byte_slices
+from veriloom.llm.common import bounded_sample, byte_slices
 
 BITS = 18
 DIMENSIONS = 1 << BITS
 SAMPLE = 10_000
 SLICE_BYTES = 4 << 20
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES = 300_000
 _memo: dict[str, tuple[int, int]] = {}
 
 
@@ -162,7 +162,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
     ids are left out; texts of repeated ids all count.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(doc).isNotNull() & ~held_out(doc, parts)).select(F.col(doc).alias("_id"), (F.col(label) > 0).alias("_y"))
-    chosen = known.orderBy(F.xxhash64("_id"), "_id", "_y").limit(sample)
+    chosen = bounded_sample(known, sample, "_id", "_y")
     rows = docs.select(F.col(doc).alias("_id"), F.col(text).cast("string").alias("_text")).join(F.broadcast(chosen), "_id")  # at most ``sample`` rows of two numbers
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,8 +178,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
     """Columns ``keep`` and the score of every row's whole text. Null and empty texts get that of the bias."""
-    source = docs.select(*keep, F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.drop("_text").schema.fields)
+    held = [f"k{i}" for i in range(len(keep))]  # whatever the columns are called
+    source = docs.select(*[F.col(f"`{k}`").alias(h) for k, h in zip(keep, held)], F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.drop("_text").schema.fields)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 4 MB, whatever the data
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,9 +188,9 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
         for batch in batches:
             for part in byte_slices(batch, "_text", SLICE_BYTES):
                 found = [known.score(features(t)) for t in part.column("_text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), pa.array(found, pa.float64())], [*keep, name])
+                yield pa.RecordBatch.from_arrays([*(part.column(h) for h in held), pa.array(found, pa.float64())], [*held, "score"])
 
-    return source.mapInArrow(compute, f"{schema}, `{name}` double")
+    return source.mapInArrow(compute, f"{schema}, score double").toDF(*keep, name)
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text", doc: str = "doc_id", least: float = 0.3) -> DataFrame:
