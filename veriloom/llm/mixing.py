@@ -122,7 +122,7 @@ def mix(df: DataFrame, text: str = "text", doc: str = "doc_id", source: str = "s
              .select("source", "size", "n", F.least(F.lit(float(most)), F.coalesce(F.exp(F.col("a") + F.col("b") * F.col("c")), F.lit(0.0))).alias("rate")))
     kind = stored.schema["source"].dataType.simpleString()
     copies = materialise(rated.groupBy("source").applyInPandas(_round(most), f"source {kind}, size bigint, base int, more bigint"), "copies")
-    plan = join_same(join_same(rated, copies, ["source", "size"]), aims, ["source"])
+    plan = join_same(join_same(rated, copies, ["source", "size"], hint="shuffle_merge"), aims, ["source"])
     plan = materialise(plan.select("source", "size", "rate", "base", "more", "source_size", "target"), "mix")
     ranked = rank_within(stored, ["source", "size"], row=("doc_id",))
     taken = join_same(ranked, plan, ["source", "size"], hint="shuffle_merge")
