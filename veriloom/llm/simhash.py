@@ -100,9 +100,13 @@ def near_duplicates(df: DataFrame, text: str = "text", doc: str = "doc_id", widt
 
 
 def deduplicate(docs: DataFrame, text: str = "text", doc: str = "doc_id", width: int = 3, radius: int = 2) -> DataFrame:
+    """``docs`` with one row of each component left, as ``keep_first`` says."""
+    return keep_first(docs, near_duplicates(docs, text, doc, width, radius), doc)
+
+
+def keep_first(docs: DataFrame, found: DataFrame, doc: str = "doc_id") -> DataFrame:
     """``docs`` with one row of each component left, that with the smallest id (of repeated ids, one row). Rows without an id have
-    nothing to be told apart by and stay."""
-    found = near_duplicates(docs, text, doc, width, radius)
+    nothing to be told apart by and stay. ``found``: doc_id and component_id of every row."""
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(doc)).distinct()
     kept = docs.where(F.col(doc).isNotNull()).join(gone.hint("shuffle_merge"), doc, "left_anti")
     rows = kept.select(doc, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
