@@ -253,9 +253,9 @@ def _(spark, d):
 
 @query("claims_json_array", "claim_id provider_npi service_date:d billed_amount:r2 units:i", "SELECT * FROM claims")
 def _(spark, d):
-    """Documents that are arrays of claims, one per provider."""
+    """Documents that are arrays of claims of a provider."""
     path = work_dir(spark, "claims-arrays")
-    src.claims(spark, d).groupBy("provider_npi").agg(F.to_json(F.collect_list(F.struct("*"))).alias("value")).select("value").write.text(path)
+    claim_files.documents(src.claims(spark, d), F.col("provider_npi")).select(F.to_json("claims").alias("value")).write.text(path)
     return claim_files.read_claims_json(spark, path)
 
 
@@ -263,8 +263,8 @@ def _(spark, d):
 def _(spark, d):
     """Documents that hold their claims under ``claims``, pretty-printed over many lines."""
     path = work_dir(spark, "claims-objects")
-    held = src.claims(spark, d).groupBy(F.substring("provider_npi", -1, 1).alias("k")).agg(F.collect_list(F.struct("*")).alias("claims"))
-    held.select(F.to_json(F.struct("claims"), {"pretty": "true"}).alias("value")).repartition(16, "value").write.option("maxRecordsPerFile", 1).text(path)
+    held = claim_files.documents(src.claims(spark, d), F.substring("provider_npi", -1, 1))
+    held.select(F.to_json(F.struct("claims"), {"pretty": "true"}).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
     return claim_files.read_claims_json(spark, path, multiline=True)
 
 

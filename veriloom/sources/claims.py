@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from veriloom.functions.parse import parse_date, parse_money, parse_text, parse_units
 from veriloom.operators.skew import latest_per_key
 from veriloom.schema import struct
+from veriloom.session import materialise
 
 # fixed values: public CMS header names -> our columns
 CLAIM_HEADERS = {
@@ -102,6 +103,17 @@ def write_claims(claims: DataFrame, path: str, fmt: str = "csv") -> str:
     return path
 
 
+def documents(claims: DataFrame, key: Column, claim: str = "claim_id", most: int = 1000) -> DataFrame:
+    """Arrays ``claims`` of whole claims that share ``key``, about ``most / 2`` each, so hardly ever over ``most``, however many share it.
+
+    A key's claims are dealt by a hash of ``claim``, their id, into buckets whose number comes from the key's count. A null key is one.
+    """
+    stored = materialise(claims.select(F.coalesce(key.cast("string"), F.lit("")).alias("_key"), key.isNull().alias("_none"), F.struct("*").alias("_claim")), "claims")
+    sizes = stored.groupBy("_key", "_none").agg(F.ceil(F.count("*") * 2 / most).alias("_buckets"))
+    dealt = stored.join(sizes, ["_key", "_none"]).withColumn("_bucket", F.pmod(F.xxhash64(f"_claim.{claim}"), F.col("_buckets")))
+    return dealt.groupBy("_key", "_none", "_bucket").agg(F.collect_list("_claim").alias("claims")).select("claims")
+
+
 def write_alerts(alerts: DataFrame, path: str) -> str:
     """Alert records as JSON lines; the claim list is reduced to its size."""
     alerts.select(
