@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriloom.llm import ann, classifier, mixing, packing, pii, quality_rules, simhash, tokens, urls, warc
+from veriloom.llm import ann, classifier, mixing, packing, periodic, pii, quality_rules, ranked, simhash, tag_paths, tokens, urls, warc
 
 #: The contracts' word, as a DuckDB pattern.
 SQL_WORD = r"[^\x20\x09-\x0D]+"
@@ -137,3 +139,50 @@ def op4_pii_disclosure(spark: SparkSession, folder: str) -> DataFrame:
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
     order = F.array_sort("more", lambda a, b: F.when(a["kind"] != b["kind"], F.when(a["kind"] < b["kind"], -1).otherwise(1)).otherwise(a["start"] - b["start"]))
     return found.select("doc_id", *map(count, pii.KINDS), F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.concat("base", order)).alias("spans"))
+
+
+@query
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+SQL_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+ORACLES["op11_ranked_search"] = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+items AS (SELECT item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM benchmark),
+asked AS (SELECT item_id, term, count(*) AS q FROM (SELECT item_id, unnest(regexp_extract_all(text, '{SQL_TERM}')) AS term FROM items) GROUP BY ALL),
+counted AS (SELECT r, doc_id, term, count(*) AS tf FROM (SELECT r, doc_id, unnest(regexp_extract_all(text, '{SQL_TERM}')) AS term FROM docs) GROUP BY ALL),
+sizes AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM counted GROUP BY r),
+corpus AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM sizes),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(nn) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM counted, corpus GROUP BY term),
+entries AS (SELECT c.r, c.doc_id, c.term, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * nn) // ll))) AS impact
+            FROM counted c JOIN sizes USING (r) JOIN weights USING (term), corpus),
+scores AS (SELECT item_id, r, any_value(doc_id) AS doc_id, CAST(sum(q * impact) AS BIGINT) AS score FROM asked JOIN entries USING (term) GROUP BY item_id, r),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20"""
+
+
+@query
+def op12_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return tag_paths.extract(table(spark, folder, "pages"))
+
+
+def planted_order(doc_id: int | None, n: int) -> np.ndarray | None:
+    """The contract's fixed rule by which one document in ten, told by its id, gets a run: the word read at every place."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    order = np.arange(n)
+    order[a:] = a + np.arange(n - a) % (1 + (n - a) // (3 + g % 8))
+    return order
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.find(table(spark, folder, "documents"), places=planted_order)
+    top = found.withColumn("_top", periodic.strongest(F.col("runs")))
+    return top.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), "_top.start", "_top.length", "_top.period",
+                      F.expr("1000 * _top.length div _top.period").alias("exponent_milli"),
+                      F.sha2(periodic.written(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
