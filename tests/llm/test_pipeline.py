@@ -6,7 +6,8 @@ from collections import Counter
 import odd
 import pytest
 from pyspark.sql import functions as F
-from test_simhash_mixing import brute_components, brute_targets, words
+from test_jaccard import brute_kept
+from test_simhash_mixing import brute_targets, words
 from test_text_rules import brute_spans
 from test_tokens_packing import check_packing
 from tokenizers import Tokenizer
@@ -55,8 +56,7 @@ def test_stages_equal_brute_force(spark, folder):
     assert {d for d in rows if d < 240 and d % 4} | set(range(300, 349)) & rows.keys() == want  # all clean documents, no junk
 
     single = stages[1](spark, good, folder)
-    classes = brute_components([(d, rows[d]) for d in want])
-    assert single.columns == COLUMNS and sorted(r.doc_id for r in single.collect()) == sorted({c for _, _, c in classes})
+    assert single.columns == COLUMNS and sorted(r.doc_id for r in single.collect()) == brute_kept([(d, rows[d]) for d in want])
     assert not {r.doc_id for r in single.collect()} & set(range(300, 309))
 
     clean = stages[2](spark, single, folder)
