@@ -8,6 +8,7 @@ from veriloom.catalog import common  # noqa: F401
 from veriloom.catalog.registry import FRAMES_SQL, frame_sql, query
 from veriloom.functions import normal
 from veriloom.operators import anomaly, consensus, forecast, fraud, marts, quality
+from veriloom.operators import rules as R
 from veriloom.operators import series as ops
 from veriloom.operators.skew import latest_per_key, trailing_count
 from veriloom.session import materialise
@@ -48,6 +49,70 @@ def _(spark, d):
     return ops.volatility(_flat(spark, d))
 
 
+@query("series_trend_flat", "series trend_slope:r trend_r_squared:r trend_strength:r trend_direction:r", """
+SELECT series, regr_slope(value, idx) AS trend_slope, r AS trend_r_squared, r AS trend_strength, CASE WHEN trend_slope > 0 THEN 1 ELSE -1 END AS trend_direction FROM (
+ SELECT *, coalesce(pow(covar_pop(value, idx) OVER k / nullif(stddev_pop(value) OVER k * stddev_pop(idx) OVER k, 0), 2), 0) AS r FROM flat_series WINDOW k AS (PARTITION BY series)) GROUP BY series, r""")
+def _(spark, d):
+    return ops.trend(_flat(spark, d))
+
+
+def _flat_pairs(spark, d):
+    """Every series against every other one, the flat one on either side."""
+    s = materialise(_flat(spark, d), "flat")
+    names = s.select("series").distinct()
+    pairs = names.select(F.col("series").alias("target")).join(names.select(F.col("series").alias("candidate")), F.col("target") != F.col("candidate"))
+    return s, pairs
+
+
+frame_sql("flat_aligned", """
+SELECT a.series AS target, b.series AS candidate, a.date, a.value AS x, b.value AS y FROM flat_series a JOIN flat_series b ON a.date = b.date AND a.series <> b.series""")
+
+
+@query("correlation_flat", "target candidate method n:i correlation:r", """
+WITH ranked AS (SELECT *, rank() OVER (PARTITION BY target, candidate ORDER BY x) + (count(*) OVER (PARTITION BY target, candidate, x) - 1) / 2 AS rx,
+ rank() OVER (PARTITION BY target, candidate ORDER BY y) + (count(*) OVER (PARTITION BY target, candidate, y) - 1) / 2 AS ry FROM flat_aligned)
+SELECT target, candidate, 'pearson' AS method, count(*) AS n, covar_pop(x, y) / nullif(stddev_pop(x) * stddev_pop(y), 0) AS correlation FROM flat_aligned GROUP BY 1, 2
+UNION ALL SELECT target, candidate, 'spearman', count(*), covar_pop(rx, ry) / nullif(stddev_pop(rx) * stddev_pop(ry), 0) FROM ranked GROUP BY 1, 2""")
+def _(spark, d):
+    s, pairs = _flat_pairs(spark, d)
+    aligned = ops.align(s, s, pairs)
+    return ops.correlation(aligned).withColumn("method", F.lit("pearson")).unionByName(ops.correlation(aligned, "spearman").withColumn("method", F.lit("spearman")))
+
+
+frame_sql("flat_lagged", """
+SELECT a.series AS target, b.series AS candidate, l.lag, count(*) AS n, covar_pop(a.value, b.value) / nullif(stddev_pop(a.value) * stddev_pop(b.value), 0) AS correlation
+FROM flat_series a JOIN (SELECT unnest(range(0, 13)) AS lag) l ON TRUE JOIN flat_series b ON b.idx = a.idx - l.lag AND b.series <> a.series GROUP BY 1, 2, 3 HAVING count(*) > 10""")
+
+
+@query("lagged_correlation_flat", "target candidate lag:i n:i correlation:r", "SELECT * FROM flat_lagged")
+def _(spark, d):
+    s, pairs = _flat_pairs(spark, d)
+    return ops.lagged_correlation(ops.lagged_pairs(s, s, pairs))
+
+
+@query("leading_indicators_flat", "target candidate lag:i correlation:r", """
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY target, candidate ORDER BY abs(correlation) DESC NULLS LAST, lag) AS r FROM flat_lagged) WHERE r = 1 AND abs(correlation) >= 0.05""")
+def _(spark, d):
+    s, pairs = _flat_pairs(spark, d)
+    return ops.leading_indicators(ops.lagged_correlation(ops.lagged_pairs(s, s, pairs)), 0.05)
+
+
+frame_sql("shifted_lab", "SELECT * REPLACE (CASE WHEN ResultValueNumeric IS NOT NULL AND TestCode = (SELECT min(Test1) FROM x_pairs) THEN 7.0 ELSE 1e9 + ResultValueNumeric END AS ResultValueNumeric) FROM lab")
+
+
+@query("cross_test_correlation_shifted", "Test1 Test2 Expected n:i correlation:r5", """
+SELECT Test1, Test2, Expected, count(*) AS n, covar_pop(a.ResultValueNumeric - 1e9, b.ResultValueNumeric - 1e9)
+ / nullif(stddev_pop(a.ResultValueNumeric - 1e9) * stddev_pop(b.ResultValueNumeric - 1e9), 0) AS correlation FROM shifted_lab a JOIN x_pairs ON a.TestCode = Test1
+ JOIN shifted_lab b ON b.TestCode = Test2 AND a.PatientId = b.PatientId AND CAST(a.ResultDate AS DATE) = CAST(b.ResultDate AS DATE)
+ WHERE a.ResultValueNumeric IS NOT NULL AND b.ResultValueNumeric IS NOT NULL GROUP BY 1, 2, 3""")
+def _(spark, d):
+    lab = src.lab(spark, d)
+    flat = F.col("TestCode") == R.correlation_sides(spark).agg(F.min("Test1")).scalar()
+    value = F.when(flat, F.when(F.col("ResultValueNumeric").isNotNull(), 7.0)).otherwise(F.col("ResultValueNumeric") + 1e9)
+    found = quality.cross_test_correlation(quality.cross_test_pairs(lab.withColumn("ResultValueNumeric", value)))
+    return found.drop("MeetsExpectation")
+
+
 @query("max_drawdown_zero", "series max_drawdown:r", """
 SELECT series, min((value - top) / nullif(top, 0)) AS max_drawdown FROM (
  SELECT series, least(value, 0.0) AS value, max(least(value, 0.0)) OVER (PARTITION BY series ORDER BY idx ROWS UNBOUNDED PRECEDING) AS top FROM flat_series) GROUP BY 1""")

@@ -53,7 +53,7 @@ def _(spark, d):
 
 @query("series_trend", "series trend_slope:r trend_intercept:r trend_r_squared:r recent_trend_slope:r trend_strength:r trend_direction:r trend_acceleration:r", """
 SELECT *, trend_r_squared AS trend_strength, CASE WHEN trend_slope > 0 THEN 1 ELSE -1 END AS trend_direction, recent_trend_slope - trend_slope AS trend_acceleration FROM (
- SELECT series, regr_slope(value, idx) AS trend_slope, regr_intercept(value, idx) AS trend_intercept, regr_r2(value, idx) AS trend_r_squared,
+ SELECT series, regr_slope(value, idx) AS trend_slope, regr_intercept(value, idx) AS trend_intercept, coalesce(pow(covar_pop(value, idx) / nullif(stddev_pop(value) * stddev_pop(idx), 0), 2), 0) AS trend_r_squared,
   regr_slope(value, idx) FILTER (idx >= floor(n * 0.75)) AS recent_trend_slope FROM (SELECT *, count(*) OVER (PARTITION BY series) AS n FROM series) GROUP BY 1)""")
 def _(spark, d):
     return ops.trend(src.series(spark, d))
@@ -137,7 +137,19 @@ def _(spark, d):
     return ops.seasonality(src.series(spark, d), height=0.1)
 
 
-@query("change_points", "series change_points:j")
+frame_sql("change_points", """
+SELECT s.series, coalesce(p.change_points, []) AS change_points FROM (SELECT DISTINCT series FROM series) s LEFT JOIN (
+ SELECT series, list_reduce(list([idx] ORDER BY idx), lambda acc, x: CASE WHEN x[1] - acc[-1] >= 10 THEN acc || x ELSE acc END) AS change_points FROM (
+  SELECT *, 1 - 2 * exp(lgamma((v + 1) / 2) - lgamma(v / 2)) / sqrt(v * pi()) * t / 6000 * list_sum(list_transform(range(0, 2001),
+   lambda i: (CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * pow(1 + pow(t * i / 2000, 2) / v, -(v + 1) / 2))) AS p FROM (
+   SELECT series, idx, n - 2 AS v, abs(m1 - m2) / sqrt((q1 * idx + q2 * (n - idx)) / (n - 2) * (1 / idx + 1 / (n - idx))) AS t FROM (
+    SELECT c.series, c.idx, c.n, avg(x.value) FILTER (x.idx < c.idx) AS m1, var_pop(x.value) FILTER (x.idx < c.idx) AS q1,
+     avg(x.value) FILTER (x.idx >= c.idx) AS m2, var_pop(x.value) FILTER (x.idx >= c.idx) AS q2
+    FROM (SELECT *, count(*) OVER (PARTITION BY series) AS n FROM series) c JOIN series x ON x.series = c.series WHERE c.n >= 20 AND c.idx >= 10 AND c.idx < c.n - 10 GROUP BY 1, 2, 3)))
+ WHERE p < 0.01 GROUP BY 1) p ON s.series = p.series""")
+
+
+@query("change_points", "series change_points:j", "SELECT * FROM change_points")
 def _(spark, d):
     return ops.change_points(src.series(spark, d))
 

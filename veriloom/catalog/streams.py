@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from veriloom.catalog import common
-from veriloom.catalog.fraud import PARAMS
+from veriloom.catalog.fraud import AS_OF, PARAMS, RANKED
 from veriloom.catalog.ingest import _claims_csv
 from veriloom.catalog.queue import HEALTH
 from veriloom.catalog.registry import query
@@ -44,11 +44,11 @@ def _stream_claims_csv(spark, d):
     return path
 
 
-@query("stream_fraud", "detector_name fraud_type risk_level provider_npi period batch")
+@query("stream_fraud", RANKED, "SELECT * FROM kept_alerts")
 def _(spark, d):
-    sink = work_dir(spark, "alerts")
-    _in_parts(spark, src.claims(spark, d), "provider_npi", "claims", lambda s, ck: jobs.fraud_alerts(s, sink, ck, PARAMS["as_of"], PARAMS), 2)
-    return spark.read.parquet(sink)
+    sink, state = work_dir(spark, "alerts"), work_dir(spark, "measures")
+    _in_parts(spark, src.claims(spark, d), F.xxhash64("claim_id"), "claims", lambda s, ck: jobs.fraud_alerts(s, sink, state, ck, AS_OF, PARAMS, fold=2), 3)
+    return jobs.last_batch(spark, sink)
 
 
 @query("stream_provider_profile", "provider_npi total_claims:i total_amount:r2", "SELECT provider_npi, count(*) AS total_claims, sum(billed_amount) AS total_amount FROM claims GROUP BY 1")

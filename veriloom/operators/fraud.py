@@ -7,6 +7,8 @@ The claims behind alerts are the long frame of ``alert_claims``, which joins bac
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass
+from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -85,12 +87,20 @@ def _fixed(c: Column, places: int) -> Column:
     return F.format_string(f"%.{places}f", F.round(c.cast("double"), places))
 
 
+def wheelchair_counts(claims: DataFrame, tiers=None) -> DataFrame:
+    """Wheelchair claims per provider, and how many are of a high tier."""
+    tier = R.wheelchair_tiers(claims.sparkSession, tiers)
+    return (claims.select("provider_npi", "hcpcs_code").join(tier, "hcpcs_code").groupBy("provider_npi")
+            .agg(F.count("*").alias("n"), F.count_if(F.col("tier") >= 4).alias("high")))
+
+
 def upcoding(claims: DataFrame, z: float = 2.0, min_claims: int = 10, tiers=None) -> DataFrame:
     """Providers whose share of high-tier wheelchair codes lies far above their peers'."""
-    tier = R.wheelchair_tiers(claims.sparkSession, tiers)
-    share = (claims.select("provider_npi", "hcpcs_code").join(tier, "hcpcs_code").groupBy("provider_npi")
-             .agg(F.count("*").alias("n"), F.count_if(F.col("tier") >= 4).alias("high")).where(F.col("n") >= min_claims)
-             .withColumn("ratio", F.col("high") / F.col("n")))
+    return upcoding_of(wheelchair_counts(claims, tiers), z, min_claims)
+
+
+def upcoding_of(counts: DataFrame, z: float = 2.0, min_claims: int = 10) -> DataFrame:
+    share = counts.where(F.col("n") >= min_claims).withColumn("ratio", F.col("high") / F.col("n"))
     peers = share.agg(F.struct(F.avg("ratio").alias("mean"), F.coalesce(F.stddev_samp("ratio"), F.lit(0.1)).alias("std")).alias("p"))
     scored = share.withColumn("p", peers.scalar())
     scored = scored.withColumn("z", zscore(F.col("ratio"), F.col("p.mean"), F.col("p.std"))).where(F.col("z") > z)
@@ -105,12 +115,23 @@ def upcoding(claims: DataFrame, z: float = 2.0, min_claims: int = 10, tiers=None
         std_devs=F.col("z"), action="Review medical necessity documentation for high-tier equipment claims")
 
 
+def day_counts(claims: DataFrame, high_risk=R.HIGH_RISK_CODES) -> DataFrame:
+    """Claims, high-risk codes and billed amount per provider and day; claims without a date are a row of their own. Months, totals and
+    first and last days follow from these."""
+    return claims.groupBy("provider_npi", "service_date").agg(
+        F.count("*").alias("n"), F.count_if(F.col("hcpcs_code").isin(*high_risk)).alias("risky"), F.sum("billed_amount").alias("total"))
+
+
 def phantom(claims: DataFrame, cap: int = 50) -> DataFrame:
     """Provider-days with more claims than can be delivered. Beneficiaries are counted only for the days flagged."""
+    return phantom_of(claims.groupBy("provider_npi", "service_date").agg(F.count("*").alias("n")), claims, cap)
+
+
+def phantom_of(days: DataFrame, seen: DataFrame, cap: int = 50) -> DataFrame:
+    """``seen``: provider_npi, service_date, beneficiary_id of all claims, repeated or not."""
     keys = ["provider_npi", "service_date"]
-    dated = claims.where(F.col("service_date").isNotNull())
-    over = dated.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > cap)
-    people = dated.select(*keys, "beneficiary_id").join(over.select(*keys), keys, "left_semi").groupBy(*keys).agg(
+    over = days.where(F.col("service_date").isNotNull() & (F.col("n") > cap))
+    people = seen.select(*keys, "beneficiary_id").join(over.select(*keys), keys, "left_semi").groupBy(*keys).agg(
         F.countDistinct("beneficiary_id").alias("people"))
     day = over.join(people, keys)
     return _alerts(
@@ -125,8 +146,12 @@ def phantom(claims: DataFrame, cap: int = 50) -> DataFrame:
 
 def provider_months(claims: DataFrame, high_risk=R.HIGH_RISK_CODES) -> DataFrame:
     """Claims per provider and month with claims, and how many carry high-risk codes."""
-    counted = (claims.where(F.col("service_date").isNotNull()).groupBy("provider_npi", F.trunc("service_date", "month").alias("_m"))
-               .agg(F.count("*").alias("n"), F.count_if(F.col("hcpcs_code").isin(*high_risk)).alias("risky")))
+    return months_of(claims.select("provider_npi", "service_date", F.lit(1).alias("n"), F.col("hcpcs_code").isin(*high_risk).cast("int").alias("risky")))
+
+
+def months_of(days: DataFrame) -> DataFrame:
+    counted = (days.where(F.col("service_date").isNotNull()).groupBy("provider_npi", F.trunc("service_date", "month").alias("_m"))
+               .agg(F.sum("n").alias("n"), F.coalesce(F.sum("risky"), F.lit(0)).alias("risky")))
     return counted.select("provider_npi", F.date_format("_m", "yyyy-MM").alias("month"), "n", "risky")
 
 
@@ -141,7 +166,11 @@ def running_baseline(months: DataFrame) -> DataFrame:
 
 def volume_spike(claims: DataFrame, z: float = 3.0, high_risk=R.HIGH_RISK_CODES) -> DataFrame:
     """Months far above the provider's own earlier months, judged from its third month on."""
-    base = running_baseline(provider_months(claims, high_risk)).where("month_index >= 2")
+    return volume_spike_of(provider_months(claims, high_risk), z)
+
+
+def volume_spike_of(months: DataFrame, z: float = 3.0) -> DataFrame:
+    base = running_baseline(months).where("month_index >= 2")
     hit = base.withColumn("z", zscore(F.col("n"), F.col("baseline"), F.col("baseline_std"))).where(F.col("z") > z)
     share = F.col("risky") / F.col("n")
     return _alerts(
@@ -156,8 +185,14 @@ def volume_spike(claims: DataFrame, z: float = 3.0, high_risk=R.HIGH_RISK_CODES)
 
 def kickback(claims: DataFrame, share: float = 0.6, min_claims: int = 20) -> DataFrame:
     """Providers whose referrals come mostly from one physician."""
-    pairs = (claims.where(F.length("ordering_physician_npi") > 0).groupBy("provider_npi", "ordering_physician_npi")
-             .agg(F.count("*").alias("n")))
+    return kickback_of(referral_counts(claims), share, min_claims)
+
+
+def referral_counts(claims: DataFrame) -> DataFrame:
+    return claims.where(F.length("ordering_physician_npi") > 0).groupBy("provider_npi", "ordering_physician_npi").agg(F.count("*").alias("n"))
+
+
+def kickback_of(pairs: DataFrame, share: float = 0.6, min_claims: int = 20) -> DataFrame:
     totals = pairs.groupBy("provider_npi").agg(F.sum("n").alias("total")).where(F.col("total") >= min_claims)
     part = F.col("n") / F.col("total")
     hit = pairs.join(totals, "provider_npi").withColumn("part", part).where(F.col("part") > share)
@@ -175,6 +210,10 @@ def provider_totals(claims: DataFrame) -> DataFrame:
         F.sum("billed_amount").alias("total"), F.min("service_date").alias("first"), F.max("service_date").alias("last"))
 
 
+def totals_of(days: DataFrame) -> DataFrame:
+    return days.groupBy("provider_npi").agg(F.sum("total").alias("total"), F.min("service_date").alias("first"), F.max("service_date").alias("last"))
+
+
 def kth_volume(totals: DataFrame, pct: float = 95.0, value: str = "total") -> DataFrame:
     """One row: the sorted totals' element at int(n * pct / 100), found without a global sort."""
     place = F.floor(F.col("_total") * F.lit(float(pct)) / F.lit(100.0))
@@ -183,7 +222,10 @@ def kth_volume(totals: DataFrame, pct: float = 95.0, value: str = "total") -> Da
 
 def hit_and_run(claims: DataFrame, as_of: str, months: float = 6, pct: float = 95.0) -> DataFrame:
     """Short-lived providers among the largest billers; critical when silent for over 60 days."""
-    totals = provider_totals(claims)
+    return hit_and_run_of(provider_totals(claims), as_of, months, pct)
+
+
+def hit_and_run_of(totals: DataFrame, as_of: str, months: float = 6, pct: float = 95.0) -> DataFrame:
     cut = kth_volume(totals, pct).scalar()
     days = F.datediff("last", "first") + 1
     idle = F.datediff(F.lit(as_of).cast("date"), F.col("last"))
@@ -212,6 +254,42 @@ DETECTORS: dict[str, Detector] = {
 }
 
 
+@dataclass(frozen=True)
+class Measures:
+    """What the built-in detectors need of any number of claims. Each frame adds up over parts of the claims (``seen``: as a set), so
+    parts can be measured one by one and kept."""
+
+    chairs: DataFrame
+    days: DataFrame
+    referrals: DataFrame
+    seen: DataFrame
+
+    #: Per frame its keys and what is summed beside them.
+    SHAPE: ClassVar[dict[str, tuple[tuple[str, ...], tuple[str, ...]]]] = {
+        "chairs": (("provider_npi",), ("n", "high")), "days": (("provider_npi", "service_date"), ("n", "risky", "total")),
+        "referrals": (("provider_npi", "ordering_physician_npi"), ("n",)), "seen": (("provider_npi", "service_date", "beneficiary_id"), ())}
+
+
+def measure(claims: DataFrame) -> Measures:
+    seen = claims.where(F.col("service_date").isNotNull()).select("provider_npi", "service_date", "beneficiary_id").distinct()
+    return Measures(wheelchair_counts(claims), day_counts(claims), referral_counts(claims), seen)
+
+
+JUDGES: dict[str, Callable[[Measures, dict], DataFrame]] = {
+    "upcoding": lambda m, p: upcoding_of(m.chairs, p.get("upcoding_z", 2.0)),
+    "phantom": lambda m, p: phantom_of(m.days, m.seen, p.get("phantom_cap", 50)),
+    "volume": lambda m, p: volume_spike_of(months_of(m.days), p.get("spike_z", 3.0)),
+    "kickback": lambda m, p: kickback_of(m.referrals, p.get("kickback_share", 0.6)),
+    "hit_and_run": lambda m, p: hit_and_run_of(totals_of(m.days), p["as_of"], p.get("new_provider_months", 6), p.get("volume_percentile", 95.0)),
+}
+_BUILT_IN = dict(DETECTORS)
+
+
+def measured(name: str) -> bool:
+    """Whether the detector of that name judges measures; one that was registered anew reads claims."""
+    return name in JUDGES and DETECTORS.get(name) is _BUILT_IN.get(name)
+
+
 def register_detector(name: str, fn: Detector) -> None:
     """Add a detector: any function of claims and parameters giving a frame with ALERT_COLUMNS."""
     DETECTORS[name] = fn

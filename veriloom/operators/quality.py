@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veriloom.functions import moments
 from veriloom.functions.parse import join_issues, safe_ratio
 from veriloom.operators import rules as R
 from veriloom.operators.conform import unpivot
@@ -257,10 +258,10 @@ def threshold_results(score: DataFrame, newest: DataFrame, as_of: Column, table:
 
 
 def cross_test_pairs(lab: DataFrame, pairs=None) -> DataFrame:
-    """Per patient, day and pair of related tests: how many results each side has, their sums and square sums.
+    """Per patient, day and pair of related tests: number, sum, mean and centred squares of each side's results.
 
-    These stand for all same-day pairs of results without forming them: a sum over the pairs of x*y is the
-    product of the two sums. Each (patient, day, pair) is one row after map-side aggregation.
+    These stand for all same-day pairs of results without forming them (``moments.crossed_correlation``). Each (patient, day, pair)
+    is one row after map-side aggregation.
     """
     rule = R.correlation_sides(lab.sparkSession, pairs)
     base = (lab.where(F.col("ResultValueNumeric").isNotNull())
@@ -268,7 +269,7 @@ def cross_test_pairs(lab: DataFrame, pairs=None) -> DataFrame:
 
     def side(k: int) -> list[Column]:
         v = F.when(F.col("Side") == k, F.col("v"))
-        return [F.count(v).alias(f"n{k}"), F.sum(v).alias(f"s{k}"), F.sum(v * v).alias(f"q{k}")]
+        return [F.sum(v).alias(f"s{k}"), *moments.parts(v, str(k))]
 
     return (base.join(rule, "TestCode").groupBy("Test1", "Test2", "Expected", "PatientId", "Day")
             .agg(*side(1), *side(2)).where("n1 > 0 AND n2 > 0"))
@@ -276,12 +277,6 @@ def cross_test_pairs(lab: DataFrame, pairs=None) -> DataFrame:
 
 def cross_test_correlation(pair_days: DataFrame, cut: float = 0.3) -> DataFrame:
     """Pearson correlation per test pair over all same-patient same-day pairs, and whether the sign is right."""
-    sums = pair_days.groupBy("Test1", "Test2", "Expected").agg(
-        F.sum(F.col("n1") * F.col("n2")).alias("n"), F.sum(F.col("s1") * F.col("n2")).alias("sx"),
-        F.sum(F.col("s2") * F.col("n1")).alias("sy"), F.sum(F.col("q1") * F.col("n2")).alias("sxx"),
-        F.sum(F.col("q2") * F.col("n1")).alias("syy"), F.sum(F.col("s1") * F.col("s2")).alias("sxy"))
-    n = F.col("n")
-    spread = F.sqrt((n * F.col("sxx") - F.col("sx") * F.col("sx")) * (n * F.col("syy") - F.col("sy") * F.col("sy")))
-    r = F.try_divide(n * F.col("sxy") - F.col("sx") * F.col("sy"), spread)
     meets = F.when(F.col("Expected") == "positive", F.col("correlation") >= cut).otherwise(F.col("correlation") <= -cut)
-    return sums.select("Test1", "Test2", "Expected", "n", r.alias("correlation")).withColumn("MeetsExpectation", meets)
+    found = moments.crossed_correlation(pair_days, ["Test1", "Test2", "Expected"], "1", "2")
+    return found.withColumn("MeetsExpectation", meets)

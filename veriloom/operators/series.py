@@ -8,7 +8,7 @@ data is the number of raw rows and of series, and both spread over tasks.
 
 from __future__ import annotations
 
-import math
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -17,7 +17,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
+from veriloom.functions.moments import correlation as correlation_of
 from veriloom.functions.parse import safe_ratio
+from veriloom.functions.student import two_sided_p
 
 
 def by_series() -> WindowSpec:
@@ -70,12 +72,12 @@ def stats(series: DataFrame) -> DataFrame:
 
 
 def trend(series: DataFrame) -> DataFrame:
-    """Least-squares line, its fit, and the line over the last quarter."""
+    """Least-squares line, its fit, and the line over the last quarter. A series without spread has no trend: strength 0."""
     df = series.withColumn("_n", F.count("*").over(by_series()))
     late = F.col("idx") >= F.floor(F.col("_n") * 0.75)
     x, y = F.col("idx").cast("double"), F.col("value")
     out = df.groupBy("series").agg(
-        F.regr_slope(y, x).alias("trend_slope"), F.regr_intercept(y, x).alias("trend_intercept"), F.regr_r2(y, x).alias("trend_r_squared"),
+        F.regr_slope(y, x).alias("trend_slope"), F.regr_intercept(y, x).alias("trend_intercept"), F.coalesce(F.pow(correlation_of(x, y), 2), F.lit(0.0)).alias("trend_r_squared"),
         F.regr_slope(F.when(late, y), F.when(late, x)).alias("recent_trend_slope"))
     return out.withColumns({
         "trend_strength": F.col("trend_r_squared"), "trend_direction": F.when(F.col("trend_slope") > 0, 1.0).otherwise(-1.0),
@@ -208,29 +210,9 @@ def seasonality(series: DataFrame, max_lag: int = 50, height: float = 0.3, n: in
             .select("series", "rank", F.col("lag").alias("period"), F.col("acf").alias("strength")))
 
 
-def t_critical(dof: float, alpha: float) -> float:
-    """Two-sided critical value of Student's t, by bisection on the Simpson-integrated density."""
-    c = math.exp(math.lgamma((dof + 1) / 2) - math.lgamma(dof / 2)) / math.sqrt(dof * math.pi)
-
-    def tail(t: float) -> float:
-        x = np.linspace(0.0, t, 2001)
-        y = c * (1 + x * x / dof) ** (-(dof + 1) / 2)
-        area = (t / 2000) / 3 * (y[0] + y[-1] + 4 * y[1:-1:2].sum() + 2 * y[2:-1:2].sum())
-        return 1.0 - 2.0 * area
-
-    lo, hi = 0.0, 1000.0
-    for _ in range(80):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if tail(mid) > alpha else (lo, mid)
-    return (lo + hi) / 2
-
-
 def change_points(series: DataFrame, min_segment: int = 10, alpha: float = 0.01) -> DataFrame:
     """(series, change_points): splits where the means before and after differ by a pooled t-test, thinned from
     the left to at least ``min_segment`` apart. Prefix sums give every split's test in one pass."""
-    def crit(n: pd.Series) -> pd.Series:
-        return n.map({k: t_critical(k - 2, alpha) if k > 2 else math.inf for k in n.unique()})
-
     w = in_order().rowsBetween(W.unboundedPreceding, -1)
     shifted = series.withColumn("_x", F.col("value") - F.avg("value").over(by_series()))  # centring keeps the squares small
     df = shifted.select("series", "idx", F.count("*").over(by_series()).alias("n"), F.sum("_x").over(by_series()).alias("s"),
@@ -243,8 +225,8 @@ def change_points(series: DataFrame, min_segment: int = 10, alpha: float = 0.01)
     pooled = within / (F.col("n") - 2)
     gap, noise = F.abs(s1 / n1 - s2 / n2), F.sqrt(F.greatest(pooled, F.lit(0.0)) * (1 / n1 + 1 / n2))
     t = F.when(noise > 0, F.try_divide(gap, noise)).when(gap > 0, F.lit(float("inf"))).otherwise(F.lit(0.0))  # no spread and equal means: no split
-    lengths = df.select("n").distinct().withColumn("crit", F.pandas_udf(crit, "double")("n"))
-    hits = df.withColumn("t", t).join(lengths, "n").where(F.col("t") > F.col("crit"))
+    hits = df.withColumn("t", t).where(F.col("t") > NormalDist().inv_cdf(1 - alpha / 2))  # Student's tails are the heavier ones
+    hits = hits.where(two_sided_p(F.col("t"), F.col("n") - 2) < alpha)
     found = hits.groupBy("series").agg(F.sort_array(F.collect_list("idx")).alias("_all"))
     thinned = F.aggregate("_all", F.array().cast("array<int>"), lambda acc, i: F.when(
         (F.size(acc) == 0) | (i - F.try_element_at(acc, F.lit(-1)) >= min_segment), F.array_append(acc, i)).otherwise(acc))
@@ -275,10 +257,10 @@ def correlation(aligned: DataFrame, method: str = "pearson") -> DataFrame:
     """(target, candidate, n, correlation) by pearson, spearman or kendall (tau-b)."""
     keys = ["target", "candidate"]
     if method == "pearson":
-        return aligned.groupBy(*keys).agg(F.count("*").alias("n"), F.corr("x", "y").alias("correlation"))
+        return aligned.groupBy(*keys).agg(F.count("*").alias("n"), correlation_of("x", "y").alias("correlation"))
     if method == "spearman":
         ranks = aligned.select(*keys, _average_rank("x").alias("x"), _average_rank("y").alias("y"))
-        return ranks.groupBy(*keys).agg(F.count("*").alias("n"), F.corr("x", "y").alias("correlation"))
+        return ranks.groupBy(*keys).agg(F.count("*").alias("n"), correlation_of("x", "y").alias("correlation"))
     if method == "kendall":
         return _kendall(aligned)
     raise ValueError(f"unknown method {method}")
@@ -323,7 +305,7 @@ def lagged_pairs(targets: DataFrame, candidates: DataFrame, pairs: DataFrame, ma
 
 
 def lagged_correlation(lagged: DataFrame, min_pairs: int = 11) -> DataFrame:
-    return (lagged.groupBy("target", "candidate", "lag").agg(F.count("*").alias("n"), F.corr("x", "y").alias("correlation"))
+    return (lagged.groupBy("target", "candidate", "lag").agg(F.count("*").alias("n"), correlation_of("x", "y").alias("correlation"))
             .where(F.col("n") >= min_pairs))
 
 

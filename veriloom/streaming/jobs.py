@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from veriloom.operators import conform, marts, quality, queue
+from veriloom.operators import conform, fraud, marts, quality, queue
 from veriloom.operators import rules as R
 from veriloom.operators.skew import latest_per_key
 from veriloom.plans import fraud as fraud_plan
+from veriloom.session import materialise
 from veriloom.sources import claims as claim_files
 from veriloom.sources import files, merge
+from veriloom.streaming import sums
 
 
 def claims_source(spark: SparkSession, folder: str, per_trigger: int = 1) -> DataFrame:
@@ -61,13 +63,28 @@ def latest_rows(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataFram
     return latest_per_key(spark.read.parquet(sink), keys, [F.col("batch").desc()]).drop("batch")
 
 
-def fraud_alerts(stream: DataFrame, sink: str, checkpoint: str, as_of: str, params: dict | None = None) -> None:
-    """The batch pipeline on each micro-batch alone, whatever its size."""
+def fraud_alerts(stream: DataFrame, sink: str, state: str, checkpoint: str, as_of: str, params: dict | None = None, fold: int = sums.FOLD,
+                 confidence: float = 0.5, include_low: bool = False) -> None:
+    """The built-in detectors on all claims so far, after every micro-batch.
+
+    What they need of the claims adds up: counts per provider, per day and per physician, and who was seen on which day. These sums are kept in
+    ``state`` from batch to batch, so peers, month baselines and provider-days go on where the last batch ended, and however the input
+    is cut, the newest batch of ``sink`` holds the alerts of the batch pipeline on the whole. Claims are read once. A repeated batch replaces its own sums
+    and alerts.
+    """
     write = to_batches(sink)
 
     def each(df: DataFrame, batch_id: int) -> None:
-        result = fraud_plan.run(df, as_of, params=params, with_summary=False)
-        write(result.alerts, batch_id)
+        spark = df.sparkSession
+        parts = fraud.measure(fraud_plan.stored_claims(df))
+        for name, (keys, added) in fraud.Measures.SHAPE.items():
+            sums.add(getattr(parts, name), f"{state}/{name}", batch_id)
+        whole = {name: sums.total(spark, f"{state}/{name}", batch_id, keys, added) for name, (keys, added) in fraud.Measures.SHAPE.items()}
+        whole["days"] = materialise(whole["days"], "days")  # three detectors read it
+        found = fraud_plan.judged(fraud.Measures(**whole), {"as_of": as_of, **(params or {})}, list(fraud.JUDGES))
+        write(fraud.keep_confident(found, confidence, include_low), batch_id)
+        for name, (keys, added) in fraud.Measures.SHAPE.items():
+            sums.fold(spark, f"{state}/{name}", batch_id, keys, added, fold)
 
     drain(stream, each, checkpoint)
 
