@@ -268,6 +268,12 @@ def _(spark, d):
     return claim_files.read_claims_json(spark, path, multiline=True)
 
 
+@query("claims_json_document", "claim_id provider_npi service_date:d billed_amount:r2 units:i", "SELECT * FROM claims")
+def _(spark, d):
+    """Documents of up to 100 000 claims, each read by many tasks."""
+    return claim_files.read_claims_documents(spark, claim_files.write_documents(src.claims(spark, d), work_dir(spark, "claims-documents")))
+
+
 @query("providers_csv_scan", "npi legal_business_name state", """
 SELECT lpad(CAST(s_suppkey AS VARCHAR), CASE WHEN s_suppkey % 13 = 0 THEN 9 ELSE 10 END, '0') AS npi, s_name AS legal_business_name, 'S' || s_nationkey AS state
 FROM supplier WHERE s_suppkey % 13 <> 0""")

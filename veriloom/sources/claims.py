@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +13,7 @@ from veriloom.functions.parse import parse_date, parse_money, parse_text, parse_
 from veriloom.operators.skew import latest_per_key
 from veriloom.schema import struct
 from veriloom.session import materialise
+from veriloom.sources import json_documents
 
 # fixed values: public CMS header names -> our columns
 CLAIM_HEADERS = {
@@ -38,6 +40,9 @@ CLAIM_SCHEMA = struct(
     "ordering_physician_npi string, prior_authorization boolean, certificate_of_medical_necessity boolean, "
     "status string, denial_reason string, fraud_flags array<string>, risk_score double")
 
+#: As the claims stand in JSON: days are text.
+RECORD_SCHEMA = T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.DateType) else f.dataType) for f in CLAIM_SCHEMA.fields])
+
 
 def _typed(raw: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     def convert(source: str, name: str) -> Column:
@@ -67,8 +72,7 @@ def read_claims_csv(spark: SparkSession, path: str, mapping: Mapping[str, str] =
 def read_claims_json(spark: SparkSession, path: str, limit: int | None = None, multiline: bool = False) -> DataFrame:
     """Claims as records, arrays of records, or objects holding them under ``claims``. By default a line is one of these: such
     files split across tasks. ``multiline=True`` reads a document spread over lines, each file whole by one task."""
-    text = T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.DateType) else f.dataType)
-                         for f in CLAIM_SCHEMA.fields])
+    text = RECORD_SCHEMA
     both = T.StructType([*text.fields, T.StructField("claims", T.ArrayType(text))])
     raw = spark.read.schema(both).option("multiLine", multiline).json(path)
     record = F.struct(*[f.name for f in text.fields])
@@ -77,6 +81,26 @@ def read_claims_json(spark: SparkSession, path: str, limit: int | None = None, m
     return out if limit is None else out.limit(limit)
 
 
+def read_claims_documents(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
+    """Claims of documents of any size and layout: an array of records, or an object holding them under ``claims``. A document is read
+    by as many tasks as its length gives (``json_documents``); a record that isn't JSON is left out."""
+    raw = json_documents.records(spark, path).select(F.from_json("record", RECORD_SCHEMA).alias("r"))
+    out = raw.where(F.col("r").isNotNull()).select([(parse_date(F.col(f"r.{f.name}")) if f.name in DATES else F.col(f"r.{f.name}")).alias(f.name) for f in RECORD_SCHEMA.fields])
+    return out if limit is None else out.limit(limit)
+
+
+def write_documents(claims: DataFrame, path: str, claim: str = "claim_id", most: int = 100_000) -> str:
+    """Objects that hold about ``most / 2`` claims each, hardly ever more than ``most``, under ``claims``, one file each and a claim a line. Their
+    number follows the table; a document is written by one task, line by line."""
+    buckets = max(1, -(-2 * claims.count() // most))
+    dealt = claims.select(F.pmod(F.xxhash64(claim), F.lit(buckets)).alias("document"), F.to_json(F.struct("*")).alias("record"))
+    order = W.partitionBy("document").orderBy("record")
+    lines = dealt.withColumns({"_first": F.row_number().over(order) == 1, "_last": F.lead(F.lit(1)).over(order).isNull()})
+    text = F.concat(F.when(F.col("_first"), '{"format": "claims {1}",\n"claims": [\n').otherwise(","), F.col("record"), F.when(F.col("_last"), "\n]}").otherwise(""))
+    lines.select("document", text.alias("value")).write.partitionBy("document").text(path)
+    return path
+
+
 def read_providers_csv(spark: SparkSession, path: str, mapping: Mapping[str, str] = PROVIDER_HEADERS) -> DataFrame:
     """Providers with a ten-character npi; of several rows the last wins, by the name of the file and the place in it."""
     raw = _text_csv(spark, path)
