@@ -1,3 +1,4 @@
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -176,15 +177,30 @@ def test_rounding_comes_near():
         assert abs(sum(s * (n * b + m - n * rate) for s, n, b, m in zip(sizes, counts, base, more))) <= sizes[-1] + 20
 
 
-def test_dual_with_a_tilt(spark):
-    """Fewer documents but as many words: the tilt has to favour long ones."""
-    import numpy as np
-
-    cells = spark.createDataFrame([("s", float(n), c) for n, c in ((50, 0.2), (30, 1.0), (20, 2.0 + 0.0))], "source string, n double, c double")
-    got = mixing.solve(cells, spark.createDataFrame([("s", 80.0, 75.0)], "source string, docs_wanted double, words_wanted double")).first()
-    n, c = np.array([50, 30, 20]), np.array([0.2, 1.0, 2.0])
-    w = n * np.exp(got.a + got.b * c)
-    assert w.sum() == pytest.approx(80) and (w * c).sum() == pytest.approx(75) and got.b > 0
+def test_dual_equals_bisection(spark):
+    rng = random.Random(4)
+    cells, wanted = [], []
+    for s in range(12):
+        sizes = [rng.choice([0, 1, 5, 40, 300, 9000]) if s % 3 else rng.randint(1, 2000) for _ in range(40)] + [7]
+        own = Counter(sizes)
+        mean = sum(sizes) / len(sizes)
+        cells += [(str(s), float(n), size / mean) for size, n in own.items()]
+        wanted.append((str(s), len(sizes) * [0.001, 0.3, 0.9, 1.0, 1.2, 1.9, 1.999][s % 7]))
+    got = {r.source: r.b for r in mixing.solve(spark.createDataFrame(cells, "source string, n double, c double"), spark.createDataFrame(wanted, "source string, words_wanted double")).collect()}
+    for s, w in wanted:
+        given = lambda b: sum(n * c * (2.0 if b * c > 1 else min(2.0, math.exp(b * c))) for k, n, c in cells if k == s)
+        lo, hi = -1e7, 1e7
+        for _ in range(300):
+            lo, hi = ((lo + hi) / 2, hi) if given((lo + hi) / 2) < w else (lo, (lo + hi) / 2)
+        assert given(got[s]) == pytest.approx(w, rel=1e-9) and got[s] == pytest.approx(lo, rel=1e-9, abs=1e-9)
+
+
+def test_rates_are_tilted(spark):
+    rows = mixing.mix(spark.createDataFrame([(i, "w " * (1 + i % 50), "a" if i % 3 else "b") for i in range(600)], "doc_id bigint, text string, source string")).collect()
+    for source in "ab":
+        rates = [r.rate for r in sorted((r for r in rows if r.source == source), key=lambda r: r["size"])]
+        ratio = next(r.target / r.source_size for r in rows if r.source == source)
+        assert ratio == 2 and set(rates) == {2.0} or rates == sorted(rates, reverse=ratio < 1) and rates[0] != rates[-1]
 
 
 def test_take_repeats_rows(spark):

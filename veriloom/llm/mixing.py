@@ -1,7 +1,7 @@
 """Mixing sources to target weights by entropy balancing.
 
-Every document gets a rate. Among all rates that meet the constraints of its source, the words it shall give and the documents it
-shall give, those closest to 1 in relative entropy are exp(a + b * length): the tilt of a convex dual in (a, b), which Newton
+Every document gets a rate between 0 and ``most``. Among all rates with which the words of its source come to the target, those closest
+to 1 in relative entropy are min(most, exp(b * length)): the tilt of a convex dual in one variable per source, which safeguarded Newton
 iterations solve for all sources at once from sums that Spark aggregates. Rates are rounded into copies so that a source's words
 come within about one short document of its target.
 """
@@ -41,32 +41,33 @@ def targets(sources: DataFrame, weights: Sequence[float] = (5, 2, 1), share: flo
             .drop("_weight", "_cap", "_all", "_level", "_turn", "_final"))
 
 
-def solve(cells: DataFrame, wanted: DataFrame, tolerance: float = 1e-12, rounds: int = 60) -> DataFrame:
-    """(source, a, b) with sum(n * exp(a + b * c)) = documents wanted and sum(n * exp(a + b * c) * c) = words wanted, in units of the
-    source's mean length (c = size / mean).
+def solve(cells: DataFrame, wanted: DataFrame, most: float = 2.0, tolerance: float = 1e-12, rounds: int = 100) -> DataFrame:
+    """(source, b) with sum(n * c * min(most, exp(b * c))) = words_wanted, c being the length in units of the source's mean.
 
-    ``cells``: source, n, c; ``wanted``: source, docs_wanted, words_wanted, both above 0. One aggregate and one small written table a
-    round; a source whose documents are all of one length has no use for b, which stays 0.
+    ``cells``: source, n, c; ``wanted``: source, words_wanted, above 0 and below what ``most`` copies of all give. The sum rises with b, so
+    every round narrows a bracket; a Newton step that would leave it is replaced by its middle, or by a longer step while a side is open. One
+    aggregate and one small written table a round.
     """
-    state = materialise(wanted.select("*", F.lit(0.0).alias("a"), F.lit(0.0).alias("b")), "dual")
+    state = materialise(wanted.select("source", "words_wanted", F.lit(0.0).alias("b"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi")), "dual")
     for _ in range(rounds):
-        w = F.col("n") * F.exp(F.col("a") + F.col("b") * F.col("c"))
-        sums = (join_same(cells, state.select("source", "a", "b"), ["source"])
-                .groupBy("source").agg(F.sum(w).alias("_w"), F.sum(w * F.col("c")).alias("_wc"), F.sum(w * F.col("c") * F.col("c")).alias("_wcc")))
-        det = F.col("_w") * F.col("_wcc") - F.col("_wc") * F.col("_wc")
-        one = det <= 1e-9 * F.col("_w") * F.col("_wcc")
-        ga, gb = F.col("_w") - F.col("docs_wanted"), F.col("_wc") - F.col("words_wanted")
-        da = F.when(one, F.try_divide(ga, F.col("_w"))).otherwise(F.try_divide(F.col("_wcc") * ga - F.col("_wc") * gb, det))
-        db = F.when(one, 0.0).otherwise(F.try_divide(F.col("_w") * gb - F.col("_wc") * ga, det))
-        step = (join_same(state, sums, ["source"])
-                .select("source", "docs_wanted", "words_wanted", (F.col("a") - da).alias("a"), (F.col("b") - db).alias("b"),
-                        F.greatest(F.abs(ga / F.col("docs_wanted")), F.when(one, 0.0).otherwise(F.abs(gb / F.col("words_wanted")))).alias("_off")))
-        stepped = materialise(step, "dual")
-        off = stepped.agg(F.max("_off")).first()[0]
-        state = stepped.drop("_off")
-        if off is None or off <= tolerance:
+        rate = F.exp(F.least(F.col("b") * F.col("c"), F.lit(700.0)))
+        words = F.col("n") * F.col("c")
+        sums = (join_same(cells, state.select("source", "b"), ["source"]).groupBy("source")
+                .agg(F.sum(words * F.least(F.lit(float(most)), rate)).alias("_w"), F.sum(F.when(rate < most, words * F.col("c") * rate).otherwise(0.0)).alias("_slope")))
+        off = F.col("_w") - F.col("words_wanted")
+        ahead = join_same(state, sums, ["source"]).withColumns({
+            "lo": F.when(off <= 0, F.col("b")).otherwise(F.col("lo")), "hi": F.when(off >= 0, F.col("b")).otherwise(F.col("hi")),
+            "_off": F.abs(off / F.col("words_wanted")), "_step": F.col("b") - F.try_divide(off, F.col("_slope"))})
+        inside = F.coalesce(F.col("_step") > F.col("lo"), F.lit(True)) & F.coalesce(F.col("_step") < F.col("hi"), F.lit(True))
+        near = F.abs(F.col("_step") - F.col("b")) <= 1 + 2 * F.abs(F.col("b"))  # a flat place gives no long jump
+        other = F.when(F.col("lo").isNull(), F.col("hi") - 1 - F.abs("hi")).when(F.col("hi").isNull(), F.col("lo") + 1 + F.abs("lo")).otherwise((F.col("lo") + F.col("hi")) / 2)
+        moved = F.when(F.col("_off") <= tolerance, F.col("b")).when(F.col("_step").isNotNull() & inside & near, F.col("_step")).otherwise(other)
+        stepped = materialise(ahead.select("source", "words_wanted", moved.alias("b"), "lo", "hi", "_off", (moved != F.col("b")).alias("_moved")), "dual")
+        off, moving = stepped.agg(F.max("_off"), F.max("_moved")).first()
+        state = stepped.drop("_off", "_moved")
+        if off is None or off <= tolerance or not moving:
             break
-    return state.select("source", "a", "b")
+    return state.select("source", "b")
 
 
 def round_copies(sizes: list[int], counts: list[int], rates: list[float], most: int) -> tuple[list[int], list[int]]:
@@ -113,13 +114,14 @@ def mix(df: DataFrame, text: str = "text", doc: str = "doc_id", source: str = "s
     counted = materialise(stored.groupBy("source", "size").agg(F.count("*").alias("n")), "lengths")
     totals = counted.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"), F.sum("n").alias("docs"))
     aims = materialise(targets(totals, weights, share, most), "targets")
-    ratio = F.col("target") / F.col("source_size")
-    wanted = aims.where("source_size > 0 AND target > 0").select("source", (F.col("docs") * ratio).alias("docs_wanted"), (F.col("docs") * ratio).alias("words_wanted"))
+    wanted = (aims.where("source_size > 0 AND target > 0").where(F.col("target") < F.lit(most * (1 - 1e-12)) * F.col("source_size"))
+              .select("source", (F.col("docs") * F.col("target") / F.col("source_size")).alias("words_wanted")))
+    full = F.when(F.col("source_size") > 0, float(most)).otherwise(0.0)  # no tilt: all of it as often as can be, or nothing to give
     joined = join_same(counted, aims, ["source"])
-    cells = joined.withColumn("c", F.try_divide(F.col("size") * F.col("docs"), F.col("source_size"))).select("source", "size", "n", F.coalesce("c", F.lit(0.0)).alias("c"))
-    tilt = solve(cells, wanted)
+    cells = joined.select("source", "size", "n", F.coalesce(F.try_divide(F.col("size") * F.col("docs"), F.col("source_size")), F.lit(0.0)).alias("c"), full.alias("_full"))
+    tilt = solve(cells.select("source", "n", "c"), wanted, most)
     rated = (join_same(cells, tilt, ["source"], "left")
-             .select("source", "size", "n", F.least(F.lit(float(most)), F.coalesce(F.exp(F.col("a") + F.col("b") * F.col("c")), F.lit(0.0))).alias("rate")))
+             .select("source", "size", "n", F.coalesce(F.least(F.lit(float(most)), F.exp(F.least(F.col("b") * F.col("c"), F.lit(700.0)))), F.col("_full")).alias("rate")))
     kind = stored.schema["source"].dataType.simpleString()
     copies = materialise(rated.groupBy("source").applyInPandas(_round(most), f"source {kind}, size bigint, base int, more bigint"), "copies")
     plan = join_same(join_same(rated, copies, ["source", "size"], hint="shuffle_merge"), aims, ["source"])
