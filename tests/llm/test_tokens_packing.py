@@ -53,7 +53,7 @@ def test_long_texts_are_cut_at_safe_places(library, monkeypatch):
 
 
 def test_memo_starts_anew(library, monkeypatch):
-    monkeypatch.setattr(tokens, "MEMO_ENTRIES", 5)
+    monkeypatch.setattr(tokens, "MEMO_BYTES", 600)
     encoder = tokens.Encoder(PATH)
     for text in ["a b c d", "e f g h i j k", "a b c d"]:
         assert np.frombuffer(b"".join(encoder.encode([text])[0]), "<u4").tolist() == ids(library, text)

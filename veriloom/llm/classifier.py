@@ -21,7 +21,8 @@ BITS = 18
 DIMENSIONS = 1 << BITS
 SAMPLE = 10_000
 SLICE_BYTES = 4 << 20
-MEMO_ENTRIES = 300_000
+#: Of the memo of a worker, some 35 MB; words of over MEMO_WORD characters don't enter it.
+MEMO_ENTRIES, MEMO_WORD = 60_000, 64
 _memo: dict[str, tuple[int, int]] = {}
 
 
@@ -39,7 +40,9 @@ def _word(word: str) -> tuple[int, int]:
         end = 0 if last.isalnum() else 1 if last == "." else 2 if last == "," else 3 if last in "!?" else 4 if last in ";:)\"'" else 5
         digits = any(c.isdigit() for c in word)
         size = min(len(word) // 8, 3)
-        found = _memo[word] = (xxh32_intdigest(word.lower().encode("utf-8", "surrogatepass")), ((case * 6 + end) * 2 + digits) * 4 + size)
+        found = (xxh32_intdigest(word.lower().encode("utf-8", "surrogatepass")), ((case * 6 + end) * 2 + digits) * 4 + size)
+        if len(word) <= MEMO_WORD:
+            _memo[word] = found
     return found
 
 

@@ -16,7 +16,8 @@ from veriloom.llm.common import byte_slices
 
 BATCH_BYTES = 1 << 20
 WINDOW_CHARS = 1 << 18
-MEMO_ENTRIES = 1_000_000
+#: Of the memo of a worker, about; and of an entry besides its piece and ids.
+MEMO_BYTES, ENTRY_BYTES = 32 << 20, 240
 
 # A byte-level BPE cuts a text into words before it merges. Two kinds of places are always such a cut: where white space
 # follows something that isn't, and where a comma or full stop follows a letter. Pieces between them encode on their own.
@@ -56,6 +57,7 @@ class Encoder:
         self.mark_id, self.mark = plain[0] if plain else (None, None)
         self.specials = [c for _, c in plain]
         self.memo: dict[str, bytes] = {}
+        self.held = 0  # bytes of the memo
 
     def windows(self, text: str) -> Iterator[str]:
         """Parts of a long text, cut at safe places; whole if there are none or the tokenizer allows none."""
@@ -73,14 +75,13 @@ class Encoder:
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode new pieces in one call, held apart by a special token, which is cut out before anything else."""
-        if len(self.memo) + len(pieces) > MEMO_ENTRIES:
-            self.memo.clear()
         ids = np.frombuffer(self._whole(self.mark.join(pieces)), dtype="<u4")
         ends = [*np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
         raw, at = ids.tobytes(), 0
         for piece, end in zip(pieces, ends, strict=True):
             self.memo[piece] = raw[4 * at:4 * end]
             at = end + 1
+        self.held += len(raw) + sum(map(len, pieces)) + ENTRY_BYTES * len(pieces)
 
     def encode(self, texts: list[str]) -> list[list[bytes]]:
         """The ids of every text as little-endian unsigned 32-bit parts, to be joined or measured."""
@@ -89,10 +90,10 @@ class Encoder:
         new: dict[str, None] = {}
 
         def settle() -> None:
-            fresh = [p for p in new if p not in self.memo]
-            if len(self.memo) + len(fresh) > MEMO_ENTRIES:  # the memo starts anew and must hold this batch
-                fresh = list(new)
-            if fresh:
+            if self.held > MEMO_BYTES:  # the memo starts anew; it grows by the pieces of one batch at most
+                self.memo.clear()
+                self.held = 0
+            if fresh := [p for p in new if p not in self.memo]:
                 self._learn(fresh)
             get = self.memo.__getitem__
             for parts, pieces in todo:
