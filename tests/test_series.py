@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from veriloom.functions import normal
 from veriloom.operators import consensus, forecast
+from veriloom.functions.moments import correlation
+from veriloom.functions.student import two_sided_p
 from veriloom.operators import series as ops
 
 
@@ -29,7 +31,7 @@ def test_change_points_equal_brute_force(series, data):
     got = {r["series"]: r["change_points"] for r in ops.change_points(series).collect()}
     for k, v in data.items():
         n, hits = len(v), []
-        crit = ops.t_critical(n - 2, 0.01)
+        crit = critical(n - 2, 0.01)
         for i in range(10, n - 10):
             a, b = v[:i], v[i:]
             pooled = (((a - a.mean()) ** 2).sum() + ((b - b.mean()) ** 2).sum()) / (n - 2)
@@ -43,9 +45,36 @@ def test_change_points_equal_brute_force(series, data):
     assert got["step"] and got["short"] == []
 
 
-def test_t_critical_known_values():
-    assert ops.t_critical(78, 0.01) == pytest.approx(2.6403, abs=1e-4)
-    assert ops.t_critical(10, 0.05) == pytest.approx(2.2281, abs=1e-4)
+def tail(t, dof):
+    """Two-sided, by quadrature."""
+    c = math.exp(math.lgamma((dof + 1) / 2) - math.lgamma(dof / 2)) / math.sqrt(dof * math.pi)
+    x, w = np.polynomial.legendre.leggauss(300)
+    x = (x + 1) / 2 * t
+    return 1 - t * float((w * c * (1 + x * x / dof) ** (-(dof + 1) / 2)).sum())
+
+
+def critical(dof, alpha):
+    lo, hi = 0.0, 100.0
+    for _ in range(80):
+        lo, hi = ((lo + hi) / 2, hi) if tail((lo + hi) / 2, dof) > alpha else (lo, (lo + hi) / 2)
+    return lo
+
+
+def test_p_values(spark):
+    rows = [(t, float(dof)) for t in (0.0, 0.3, 1.0, 2.6403, 8.0) for dof in (1, 2, 10, 78, 1000, 36525)]
+    got = spark.createDataFrame(rows, "t double, dof double").withColumn("p", two_sided_p(F.col("t"), F.col("dof"))).collect()
+    assert all(r.p == pytest.approx(tail(r.t, r.dof), abs=1e-10) for r in got)
+    edge = spark.createDataFrame([(float("inf"), 5.0), (1.0, 0.0)], "t double, dof double").select(two_sided_p(F.col("t"), F.col("dof"))).collect()
+    assert [r[0] for r in edge] == [0.0, None]
+
+
+def test_correlation_keeps_digits_and_survives_flat_sides(spark):
+    x, y = [1e9 + i % 3 for i in range(900)], [1e9 - i % 3 + i % 2 for i in range(900)]
+    df = spark.createDataFrame([(a, b, 5.1, None if i % 7 else a) for i, (a, b) in enumerate(zip(x, y))], "x double, y double, flat double, few double").repartition(7)
+    r = df.agg(correlation("x", "y").alias("a"), correlation("x", "flat").alias("b"), correlation("few", "y").alias("c")).first()
+    assert r.a == pytest.approx(np.corrcoef(x, y)[0, 1], abs=1e-8) and r.b is None
+    assert r.c == pytest.approx(np.corrcoef(x[::7], y[::7])[0, 1], abs=1e-8)
+    assert df.where("x < 0").agg(correlation("x", "y")).first()[0] is None
 
 
 @pytest.mark.parametrize("w", [5, 12])
