@@ -309,10 +309,14 @@ def _(spark, d):
     return conform.standardize(src.bronze_lab(spark, d), conform.UPPER_COLUMNS["LabResults"])
 
 
-@query("technical_columns", "event_id _load_date _source_file _row_hash")
-def _(spark, d):
-    df = src.read(spark, d, "events")
-    return conform.with_technical_columns(df, "2024-01-31", F.lit(src.AS_OF).cast("timestamp"))
+@query("technical_columns", "event_id _load_date _load_timestamp:t _source_file _row_hash", f"""
+SELECT event_id, '2024-01-31' AS _load_date, CAST('{src.AS_OF}' AS TIMESTAMP) AS _load_timestamp, 'events.parquet' AS _source_file,
+ md5(event_id || '||' || user_id || '||' || event_type) AS _row_hash FROM events""")
+def _(spark, d):
+    """Of the source file the part that doesn't depend on the run."""
+    df = src.read(spark, d, "events").select("event_id", "user_id", "event_type")
+    loaded = conform.with_technical_columns(df, "2024-01-31", F.lit(src.AS_OF).cast("timestamp"))
+    return loaded.withColumn("_source_file", F.regexp_extract("_source_file", r"/(events\.parquet)", 1))
 
 
 HASHED = ["ResultId", "PatientId", "TestCode", "ResultUnit", "ResultStatus", "SpecimenType"]
