@@ -242,7 +242,14 @@ def _(spark, d):
     return ops.polynomial_trend(src.series(spark, d))
 
 
-@query("analyze_series", "series mean:r trend_slope:r volatility:r roc_1_period:r change_points:j has_seasonality")
+@query("analyze_series", "series mean:r median:r std:r min:r max:r trend_slope:r trend_intercept:r trend_r_squared:r volatility:r roc_1_period:r roc_3_period:r "
+       "roc_12_period:r change_points:j has_seasonality", """
+SELECT * FROM (SELECT series, avg(value) AS mean, median(value) AS median, stddev_pop(value) AS std, min(value) AS min, max(value) AS max, regr_slope(value, idx) AS trend_slope,
+  regr_intercept(value, idx) AS trend_intercept, coalesce(pow(covar_pop(value, idx) / nullif(stddev_pop(value) * stddev_pop(idx), 0), 2), 0) AS trend_r_squared, stddev_pop(r) AS volatility,
+  arg_max(r, idx) AS roc_1_period, arg_max(r3, idx) AS roc_3_period, arg_max(r12, idx) AS roc_12_period FROM (
+  SELECT *, value / lag(value, 1) OVER w - 1 AS r, value / lag(value, 3) OVER w - 1 AS r3, value / lag(value, 12) OVER w - 1 AS r12 FROM series WINDOW w AS (PARTITION BY series ORDER BY idx)) GROUP BY 1)
+JOIN change_points USING (series) JOIN (SELECT series, coalesce(bool_or(lag >= 2 AND acf > p AND acf > q AND acf >= 0.3), FALSE) AS has_seasonality FROM (
+ SELECT *, lag(acf) OVER w AS p, lead(acf) OVER w AS q FROM acf WHERE lag >= 1 WINDOW w AS (PARTITION BY series ORDER BY lag)) GROUP BY 1) USING (series)""")
 def _(spark, d):
     s, c = materialise(src.series(spark, d), "series"), materialise(src.segment_series(spark, d), "segments")
     return ops.analyze(s, c, _pairs(s, c, TARGET))
