@@ -93,6 +93,26 @@ def test_few_vectors_are_searched_exactly(spark):
     assert ann.search(df.where("vec_id IN (1, 2)"), F.lit(True)).count() == 2
 
 
+@pytest.mark.parametrize("cell_rows", [10, 200])
+def test_every_length_is_searched_and_no_near_tie_is_lost(spark, monkeypatch, cell_rows):
+    """Three lengths, the rarest with one row; 100 vectors all but equally near to a query. Indexed and, in cells of more rows, whole."""
+    monkeypatch.setattr(ann, "CELL_ROWS", cell_rows)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(60)] + [(1000 + i, rng.normal(size=3).tolist()) for i in range(30)] + [(2000, [1.0] * 9)]
+    near = [1.0, 0.0, 0.0, 0.0, 0.0, 0.0]
+    rows += [(3000, near)] + [(3100 - i, [1.0, 1e-3, i * 1e-12, 0.0, 0.0, 0.0]) for i in range(100)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in ann.search(df, F.col("vec_id") % 10 == 0, recall=1.0).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    asked = [(v, e) for v, e in rows if v % 10 == 0 and v != 2000]
+    assert set(got) == {v for v, _ in asked}  # the only row of its length has no candidates
+    for v, e in asked:
+        want = brute_neighbours([(w, f) for w, f in rows if len(f) == len(e)], [(v, e)], 5)[v]
+        assert [n for n, _, _ in sorted(got[v])] == [1, 2, 3, 4, 5]
+        assert [s for _, _, s in sorted(got[v])] == pytest.approx([s for _, s in want], abs=1e-12)
+
+
 def test_blocks_give_the_same(spark, sf, monkeypatch):
     df = queries.table(spark, sf, "embeddings")
     whole = odd.plain(ann.search(df, F.col("vec_id") % 20 == 0, recall=1.0))

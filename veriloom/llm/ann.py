@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -75,12 +76,10 @@ def _matrix(column: pa.Array, size: int) -> np.ndarray:
 
 
 def usable(df: DataFrame, vec: str, embedding: str) -> DataFrame:
-    """vec_id, embedding of rows that take part: vectors without null or non-finite components, not zero, of the most frequent length."""
+    """vec_id, embedding of rows that take part: vectors without null or non-finite components, not zero."""
     e = F.col(embedding).cast("array<double>")
     fine = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(e, lambda x: x != 0)
-    rows = df.where(F.coalesce(fine, F.lit(False))).select(F.col(vec).alias("vec_id"), F.col(embedding).alias("embedding")).where("vec_id IS NOT NULL")
-    top = rows.groupBy(F.size("embedding").alias("n")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), "n").first()
-    return rows.where(F.size("embedding") == (top["n"] if top else 0))
+    return df.where(F.coalesce(fine, F.lit(False))).select(F.col(vec).alias("vec_id"), F.col(embedding).alias("embedding")).where("vec_id IS NOT NULL")
 
 
 def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
@@ -104,8 +103,6 @@ def _top(queries: np.ndarray, entries: np.ndarray, reps: np.ndarray, k: int) ->
         cut = np.partition(scores, len(e) - few, axis=1)[:, len(e) - few] - 1e-9
         for i in range(len(part)):
             near = np.flatnonzero(scores[i] >= cut[i])
-            if len(near) > 4 * few:  # many ties: the order of reps decides among equals
-                near = near[np.lexsort((reps[near], -np.round(scores[i][near], 9)))[:4 * few]]
             exact = _exact(part[i], entries[near])
             best = np.lexsort((reps[near], -exact))[:few]
             yield start + i, near[best], exact[best]
@@ -151,17 +148,66 @@ def search(df: DataFrame, is_query, k: int = 5, vec: str = "vec_id", embedding:
     """query_id, rank, vec_id, score: the ``k`` nearest found of every row for which ``is_query`` holds, its own row aside.
 
     Runs jobs when called. Every vector is indexed; equal ones are one entry with their smallest ids, and equal queries are searched once.
-    Cells and the queries that visit them are cut into blocks, so no task holds more than a block of each. Ties go to the smaller
-    id. Rows without an id or a usable vector take no part; ids stand for rows, so repeated rows count once. No rows give none.
+    Vectors of different lengths have no cosine: each length is searched by itself. Those with too few vectors to fill a cell are ranked
+    whole, all such lengths in one job. Cells and the queries that visit them are cut into blocks, so no task holds more than a block of
+    each. Ties go to the smaller id. Rows without an id or a usable vector take no part; ids stand for rows, so repeated rows count once.
+    No rows give none.
     """
     spark = df.sparkSession
     rows = materialise(usable(df, vec, embedding), "vectors")
     kind = rows.schema["vec_id"].dataType.simpleString()
-    result = f"query_id {kind}, rank int, vec_id {kind}, score double"
     vectors = materialise(distinct_vectors(rows, k), "distinct")
-    total = vectors.count()
-    if not total:
-        return spark.createDataFrame([], result)
+    asked = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "embedding").distinct()
+    totals = {r["n"]: r["c"] for r in vectors.groupBy(F.size("embedding").alias("n")).agg(F.count("*").alias("c")).collect()}  # a row per length
+    large = sorted(n for n, c in totals.items() if c > CELL_ROWS)
+    parts = [_indexed(vectors.where(F.size("embedding") == n), asked.where(F.size("embedding") == n), totals[n], k, recall) for n in large]
+    if len(large) < len(totals):
+        rest = ~F.size("embedding").isin(large)
+        parts.append(_blockwise(vectors.where(rest), asked.where(rest), k))
+    if not parts:
+        return spark.createDataFrame([], f"query_id {kind}, rank int, vec_id {kind}, score double")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _ranker(k: int):
+    """A function for cogrouped blocks of entries and queries of one length: each query's k + 1 best entries."""
+    def rank_block(found: pa.Table, wanted: pa.Table) -> pa.Table:
+        at, hits, scores = [], [], []
+        if found.num_rows and wanted.num_rows:
+            size = len(found.column("embedding")[0])
+            reps = np.array(found.column("rep").to_pylist())
+            for q, near, s in _top(_matrix(wanted.column("embedding"), size), _matrix(found.column("embedding"), size), reps, k + 1):
+                at += [q] * len(near)
+                hits += near.tolist()
+                scores += s.tolist()
+        at, hits = pa.array(at, pa.int64()), pa.array(hits, pa.int64())
+        return pa.table({"embedding": wanted.column("embedding").take(at), "rep": found.column("rep").take(hits), "ids": found.column("ids").take(hits), "score": pa.array(scores, pa.float64())})
+
+    return rank_block
+
+
+def _answers(ranked: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """The k nearest ids of every query from the best entries of its blocks."""
+    best = F.row_number().over(W.partitionBy("embedding").orderBy(F.desc("score"), "rep"))
+    lists = ranked.withColumn("_n", best).where(F.col("_n") <= k + 1).groupBy("embedding").agg(F.collect_list(F.struct("score", "ids")).alias("near"))
+    each = asked.join(lists.hint("shuffle_merge"), "embedding").select("query_id", F.explode("near").alias("_e")).select("query_id", "_e.score", F.explode("_e.ids").alias("vec_id"))
+    order = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return each.where("vec_id <> query_id").withColumn("rank", order).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _blockwise(vectors: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """Every query of a length against all of its at most CELL_ROWS entries: what a single cell of the index would do."""
+    kind, shape = (vectors.schema[c].dataType.simpleString() for c in ("rep", "embedding"))
+    left = vectors.withColumn("n", F.size("embedding"))
+    right = asked.select("embedding").distinct().withColumn("n", F.size("embedding"))
+    ranked = left.groupBy("n").cogroup(right.groupBy("n")).applyInArrow(_ranker(k), f"embedding {shape}, rep {kind}, ids array<{kind}>, score double")
+    return _answers(ranked, asked, k)
+
+
+def _indexed(vectors: DataFrame, asked: DataFrame, total: int, k: int, recall: float) -> DataFrame:
+    """The index over the vectors of one length."""
+    spark = vectors.sparkSession
+    kind = vectors.schema["rep"].dataType.simpleString()
     index = fit(vectors, total)
     size = index.halves[0].shape[1] + index.halves[1].shape[1]
     shape = vectors.schema["embedding"].dataType.simpleString()
@@ -178,7 +224,6 @@ def search(df: DataFrame, is_query, k: int = 5, vec: str = "vec_id", embedding:
     index = index._replace(counts=counts)
     limit = max(enough(entries, index, k, recall), k + 1)
 
-    asked = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "embedding").distinct()
     queries = asked.select("embedding").distinct()
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,21 +253,6 @@ def search(df: DataFrame, is_query, k: int = 5, vec: str = "vec_id", embedding:
     right = (visits.join(blocks, "cell").withColumn("ask", F.pmod(F.xxhash64("embedding"), "asks").cast("int"))
              .select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("_p")).withColumn("part", F.col("_p").cast("bigint")).drop("parts", "asks", "_p"))
 
-    def rank_block(found: pa.Table, wanted: pa.Table) -> pa.Table:
-        at, hits, scores = [], [], []
-        if found.num_rows and wanted.num_rows:
-            reps = np.array(found.column("rep").to_pylist())
-            for q, near, s in _top(_matrix(wanted.column("embedding"), size), _matrix(found.column("embedding"), size), reps, k + 1):
-                at += [q] * len(near)
-                hits += near.tolist()
-                scores += s.tolist()
-        at, hits = pa.array(at, pa.int64()), pa.array(hits, pa.int64())
-        return pa.table({"embedding": wanted.column("embedding").take(at), "rep": found.column("rep").take(hits), "ids": found.column("ids").take(hits), "score": pa.array(scores, pa.float64())})
-
     keys = ("cell", "part", "ask")
-    ranked = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(rank_block, f"embedding {shape}, rep {kind}, ids array<{kind}>, score double")
-    best = F.row_number().over(W.partitionBy("embedding").orderBy(F.desc("score"), "rep"))
-    lists = ranked.withColumn("_n", best).where(F.col("_n") <= k + 1).groupBy("embedding").agg(F.collect_list(F.struct("score", "ids")).alias("near"))
-    each = asked.join(lists.hint("shuffle_merge"), "embedding").select("query_id", F.explode("near").alias("_e")).select("query_id", "_e.score", F.explode("_e.ids").alias("vec_id"))
-    order = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return each.where("vec_id <> query_id").withColumn("rank", order).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    ranked = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_ranker(k), f"embedding {shape}, rep {kind}, ids array<{kind}>, score double")
+    return _answers(ranked, asked, k)
