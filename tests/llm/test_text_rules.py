@@ -229,3 +229,12 @@ def test_labels_of_the_held_out_fold_are_not_used(spark):
 @pytest.mark.parametrize("text", [None, "", "  ", "a", "a a a"])
 def test_features_of_short_texts(text):
     assert (np.diff(classifier.features(text)) > 0).all()
+
+
+def test_a_repeated_id_does_not_crowd_out_the_sample(spark):
+    """One labelled id holds 20 000 rows of many texts: a row per id and label reaches the driver."""
+    docs = [(i, f"good fine text {i}" if i % 2 else f"bad poor words {i}") for i in range(60)] + [(1, f"text {i}") for i in range(20_000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, quality int")
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    model = classifier.train(frame, labels, sample=50)
+    assert model.score(classifier.features("good fine text")) > model.score(classifier.features("bad poor words"))

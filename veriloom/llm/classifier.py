@@ -162,7 +162,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
     """Fit on at most ``sample`` labelled rows outside the held-out fold, those with the smallest hashes of their ids.
 
     The bound is a parameter; at about 700 indicators a document the default is some 30 MB on the driver. Labels that are null or of null
-    ids are left out; texts of repeated ids all count.
+    ids are left out. Of several texts of one id and label that with the smallest features is taken, so no id crowds out others.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(doc).isNotNull() & ~held_out(doc, parts)).select(F.col(doc).alias("_id"), (F.col(label) > 0).alias("_y"))
     chosen = bounded_sample(known, sample, "_id", "_y")
@@ -174,8 +174,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str
                 found = [features(t).tobytes() for t in part.column("_text").to_pylist()]
                 yield pa.RecordBatch.from_pydict({"id": part.column("_id").cast(pa.string()), "y": part.column("_y"), "f": pa.array(found, pa.binary())})
 
-    got = rows.mapInArrow(extract, "id string, y boolean, f binary").toArrow()
-    got = got.take(pc.sort_indices(got, [("id", "ascending"), ("y", "ascending"), ("f", "ascending")])).slice(0, sample)
+    each = rows.mapInArrow(extract, "id string, y boolean, f binary").groupBy("id", "y").agg(F.min("f").alias("f"))
+    got = each.toArrow()  # a row per (id, label) chosen: at most ``sample``
+    got = got.take(pc.sort_indices(got, [("id", "ascending"), ("y", "ascending")]))
     return fit([np.frombuffer(b.as_py(), np.int32) for b in got.column("f")], np.where(np.array(got.column("y").to_pylist(), bool), 1, -1))
 
 
