@@ -66,6 +66,35 @@ def test_chains_and_unlike_rows_of_a_bucket(spark):
     assert got == brute_kept(rows) and set(range(100, 160)) <= set(got)
 
 
+def test_mixed_buckets_are_finished(spark, monkeypatch):
+    """Small classes among many unlike texts of one template: with no peers looked at, the rarest shingles alone must find them."""
+    monkeypatch.setattr(jaccard, "PEERS", 0)
+    monkeypatch.setattr(jaccard, "CHUNK", 7)
+    rng = random.Random(8)
+    base, rows = [f"b{i}" for i in range(300)], []
+    for i in range(50):
+        words = base[:250] + [f"own{i}-{k}" for k in range(70)]
+        for _ in range(3 if i % 5 == 0 else 1):
+            rows.append((len(rows), edited(rng, words, 3)))
+    for n in (14, 15, 16, 20):  # pairs at exactly the least similarity, and just below
+        words = [f"e{n}-{k}" for k in range(n + 4)]
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(words[:4 + int(n * 0.8 + 1e-9)]))]
+    df = odd.documents(spark, [(d, t, "s") for d, t in rows])
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, "").collect()) == brute_kept(rows)
+
+
+def test_rarest_shingles_of_alike_sets_meet(spark):
+    rng = random.Random(2)
+    sets = [frozenset(rng.sample(range(40), rng.randint(1, 12))) for _ in range(300)]
+    rows = [(i, len(s), i, list(s)) for i, s in enumerate(dict.fromkeys(sets))]
+    held = defaultdict(set)
+    for r in jaccard.rarest(spark.createDataFrame(rows, "set_id bigint, n int, root bigint, grams array<bigint>"), 0.8).collect():
+        held[r.set_id].add(r.gram)
+    own = [frozenset(r[3]) for r in rows]
+    alike = [(i, j) for i in range(len(own)) for j in range(i) if len(own[i] & own[j]) >= 0.8 * len(own[i] | own[j])]
+    assert all(held[i] & held[j] for i, j in alike) and all(len(held[i]) <= len(s) for i, s in enumerate(own))
+
+
 def test_on_the_table_and_odd_rows(spark, sf):
     docs = queries.table(spark, sf, "documents")
     assert sorted(r.doc_id for r in jaccard.deduplicate(docs).collect()) == brute_kept([(r.doc_id, r.text) for r in docs.collect()])
