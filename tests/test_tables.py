@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -221,3 +222,35 @@ def test_work_tables_are_removed(spark):
         folder = os.path.dirname(path.removeprefix("file://").removeprefix("file:"))
         assert os.path.isdir(folder)
     assert not os.path.exists(folder)
+
+
+def test_differing_rows_are_exactly_the_planted_ones(spark):
+    """Repeated and NULL keys, NULL values, another type on the other side, rows whose columns only pair differently."""
+    rows = [(i, f"k{i % 3}", float(i), "x") for i in range(300)] + [(None, "k", 1.0, None), (7, "k1", 7.5, "y"), (400, "p", 1.0, "a"), (400, "p", 2.0, "b")]
+    other = [r for r in rows if r[0] != 5]
+    other = [(r[0], r[1], 99.0 if r[0] == 9 else r[2], None if r[0] == 11 else r[3]) for r in other]
+    other = [r for r in other if r[0] != 400] + [(400, "p", 1.0, "b"), (400, "p", 2.0, "a"), (500, "new", 0.0, "x"), (20, "k2", 20.0, "x")]
+    source = spark.createDataFrame(rows, "id int, k string, v double, f string")
+    target = spark.createDataFrame(other, "id bigint, k string, v double, f string").repartition(5).withColumn("extra", F.lit(1))
+    want = {(5, "source_only", 1, 0, ()), (500, "target_only", 0, 1, ()), (9, "changed", 1, 1, ("v",)), (11, "changed", 1, 1, ("f",)),
+            (20, "changed", 1, 2, ()), (400, "changed", 2, 2, ())}
+    for leaves in (1, 16, 1 << 16):
+        got = rc.differing_rows(source, target, ["id", "k"], leaves=leaves).collect()
+        assert {(r["id"], r["kind"], r["source_rows"], r["target_rows"], tuple(r["differing_columns"])) for r in got} == want and len(got) == len(want)
+    assert rc.differing_rows(source, source.repartition(3), ["id", "k"]).count() == 0
+    assert rc.differing_rows(source, source.limit(0), ["id", "k"]).count() == source.select("id", "k").distinct().count()
+    assert rc.differing_rows(source.limit(0), source.limit(0), ["id", "k"]).count() == 0
+
+
+def test_only_folders_of_differences_are_read_again(spark):
+    rows = spark.range(2000).select("id", (F.col("id") * 3).alias("v"), F.pmod(F.xxhash64("id"), F.lit(64)).alias("part"))
+    changed = rows.withColumn("v", F.when(F.col("id") == 77, 0).otherwise(F.col("v")))
+    paths = [work_dir(spark, n) for n in ("left", "right")]
+    for df, path in zip((rows, changed), paths):
+        df.write.mode("overwrite").partitionBy("part").parquet(path)
+    got = rc.differing_rows(*[spark.read.parquet(p) for p in paths], ["id"], folder="part")
+    assert [(r["id"], r["kind"], r["differing_columns"]) for r in got.collect()] == [(77, "changed", ["v"])]
+    part = rows.where("id = 77").first()["part"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    scans = [f for f in re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan) if f]
+    assert len(scans) >= 2 and all(f"= {part})" in f for f in scans)

@@ -101,6 +101,25 @@ def _(spark, d):
     return rc.reconcile(source, shuffled, ["l_extendedprice"])
 
 
+OWN = ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_returnflag"]
+
+
+def _lists(table: str, line: str) -> str:
+    lists = ", ".join(f"list({c} ORDER BY {c}) AS {c}" for c in OWN)
+    return f"SELECT l_orderkey, {line} AS l_linenumber, count(*) AS n, {lists} FROM {table} GROUP BY 1, 2"
+
+
+@query("recon_differing_rows", "l_orderkey:i l_linenumber:i kind source_rows:i target_rows:i differing_columns:j", f"""
+SELECT l_orderkey, l_linenumber, CASE WHEN t = 0 THEN 'source_only' WHEN s = 0 THEN 'target_only' ELSE 'changed' END AS kind, s AS source_rows, t AS target_rows,
+ CASE WHEN s = t THEN list_filter(cols, lambda x: x IS NOT NULL) ELSE [] END AS differing_columns FROM (
+ SELECT l_orderkey, l_linenumber, coalesce(a.n, 0) AS s, coalesce(b.n, 0) AS t, [{", ".join(f"CASE WHEN a.{c} IS DISTINCT FROM b.{c} THEN '{c}' END" for c in OWN)}] AS cols
+ FROM ({_lists("recon_source", "l_linenumber")}) AS a FULL JOIN ({_lists("recon_target", "line_no")}) AS b USING (l_orderkey, l_linenumber))
+WHERE s <> t OR len(list_filter(cols, lambda x: x IS NOT NULL)) > 0""")
+def _(spark, d):
+    source, target = _sides(spark, d)
+    return rc.differing_rows(source, target.withColumnRenamed("line_no", "l_linenumber"), ["l_orderkey", "l_linenumber"])
+
+
 @query("recon_report_append", "reconciliation_id status discrepancies_json", """
 SELECT 'recon_1' AS reconciliation_id, status, '["' || array_to_string(discrepancies, '","') || '"]' AS discrepancies_json FROM recon_verdict""")
 def _(spark, d):

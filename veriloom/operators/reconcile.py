@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veriloom.session import materialise
+
 ALL_CHECKS = ("column_checksums", "key_sums", "null_counts")
 
 
@@ -156,3 +158,69 @@ def failed_results(results: DataFrame) -> DataFrame:
 
 def recent_results(results: DataFrame, n: int = 20) -> DataFrame:
     return results.orderBy(F.col("validated_at").desc(), "task_id").limit(n)
+
+
+#: Leaves of the digest; a differing leaf brings all its rows into the comparison. Ids of leaves are broadcast, 8 MB at most.
+LEAVES, MOST_LEAVES = 1 << 16, 1 << 20
+
+
+def digest(df: DataFrame, keys: Sequence[str], columns: Sequence[str], leaves: int = LEAVES, folder: str | None = None) -> DataFrame:
+    """leaf, n and total: rows and sum of row hashes of each leaf, the rows whose keys' hash falls there.
+
+    Sums take no order and add up, so digests of parts of a table (days, loads) can be stored and summed instead of read again. With
+    ``folder``, a column the table is laid out by and that follows from the keys, a leaf lies in one folder.
+    """
+    if not 1 <= leaves <= MOST_LEAVES:
+        raise ValueError(f"between 1 and {MOST_LEAVES} leaves")
+    place = [F.col(folder)] if folder else []
+    return _hashed(df, keys, columns, leaves).groupBy(*place, "_leaf").agg(F.count("*").alias("n"), F.sum("_row").alias("total"))
+
+
+def _hashed(df: DataFrame, keys: Sequence[str], columns: Sequence[str], leaves: int) -> DataFrame:
+    wide = F.xxhash64(*keys, *columns).cast("decimal(38,0)")
+    return df.withColumns({"_leaf": F.pmod(F.xxhash64(*keys), F.lit(leaves)).cast("int"), "_row": wide})
+
+
+def differing_leaves(source: DataFrame, target: DataFrame, folder: str | None = None) -> DataFrame:
+    """Leaves (with their folder, if any) of two digests that don't agree."""
+    sign = lambda df, k: df.withColumns({"n": F.col("n") * k, "total": F.col("total") * k})
+    by = [folder, "_leaf"] if folder else ["_leaf"]
+    both = sign(source, 1).unionByName(sign(target, -1))
+    return both.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("total").alias("total")).where("n <> 0 OR total <> 0").select(*by)
+
+
+def differing_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None, leaves: int = LEAVES,
+                   folder: str | None = None) -> DataFrame:
+    """Which rows differ: keys, kind (source_only, target_only, changed), source_rows, target_rows and differing_columns.
+
+    Each side is digested in one pass that shuffles a row per leaf and task; then only rows of differing leaves are compared, so what is
+    shuffled follows the differences. With ``folder`` (see ``digest``) only the folders of such leaves are read again. Runs the jobs of the
+    digests when called.
+
+    Rows of a key are compared as multisets, so repeated keys are fine; NULL keys are keys and NULL equals NULL. Columns are named
+    where both sides have equally many rows of the key; none are if only their combination differs. ``columns`` are by default all that both sides have
+    besides the keys; the target's values are read as the source's types.
+    """
+    own = [c for c in _common(source, target, columns) if c not in keys and c != folder]
+    kinds = {f.name: f.dataType for f in source.schema.fields}
+    like = lambda c: F.col(c) if target.schema[c].dataType == kinds[c] else F.col(c).try_cast(kinds[c])
+    extra = [folder] if folder else []
+    sides = [source.select(*extra, *keys, *own), target.select(*extra, *[like(c).alias(c) for c in (*keys, *own)])]
+    found = materialise(differing_leaves(*[digest(x, keys, own, leaves, folder) for x in sides], folder), "leaves")
+    if folder:  # the folders are few: the scan prunes by their names
+        names = [r[0] for r in found.select(folder).distinct().collect()]
+        sides = [x.where(F.col(folder).isin(names)) for x in sides]
+    few = F.broadcast(found.select("_leaf").distinct())  # at most ``leaves`` integers
+    sums = {f"_d{i}": F.xxhash64(c).cast("decimal(38,0)") for i, c in enumerate(own)}
+
+    def signed(df: DataFrame, sign: int) -> DataFrame:
+        rows = _hashed(df, keys, own, leaves).join(few, "_leaf", "left_semi")
+        return rows.select(*keys, F.lit(sign).alias("_sign"), (F.col("_row") * sign).alias("_row"), *[(c * sign).alias(n) for n, c in sums.items()])
+
+    both = signed(sides[0], 1).unionByName(signed(sides[1], -1)).groupBy(*keys).agg(
+        F.count_if(F.col("_sign") > 0).alias("source_rows"), F.count_if(F.col("_sign") < 0).alias("target_rows"), *[F.sum(n).alias(n) for n in ("_row", *sums)])
+    differ = both.where("source_rows <> target_rows OR _row <> 0")
+    named = F.array_compact(F.array(*[F.when(F.col(n) != 0, F.lit(c)) for n, c in zip(sums, own)])) if own else F.array().cast("array<string>")
+    kind = F.when(F.col("target_rows") == 0, "source_only").when(F.col("source_rows") == 0, "target_only").otherwise("changed")
+    return differ.select(*keys, kind.alias("kind"), "source_rows", "target_rows",
+                         F.when(F.col("source_rows") == F.col("target_rows"), named).otherwise(F.array().cast("array<string>")).alias("differing_columns"))
