@@ -80,3 +80,21 @@ def test_closed_days_equal_batch_in_append_mode(spark):
     jobs.daily_quality(stream, sink, work_dir(spark, "ck"), "1 hour", "append")
     got = {r["MetricDate"].day: r["TotalTests"] for r in spark.read.parquet(sink).collect()}
     assert got and all(n == 24 for n in got.values()) and set(got) == {1, 2, 3, 4}
+
+
+def test_trailing_hour_of_a_stream_is_exact_in_any_order(spark):
+    """Accesses over span borders, on the minute, of a user without a name, weeks late, and repeated batches."""
+    t0 = dt.datetime(2024, 1, 1, 9, 0)
+    times = [(u, t0 + dt.timedelta(minutes=m)) for u in ("a", "b", None) for m in (0, 1, 59, 60, 61, 119, 120, 121, 180, 60 * 24 * 20)]
+    rows = [(i, u, t, i % 7 != 6) for i, (u, t) in enumerate(times)]
+    schema = "AuditId int, UserId string, AccessTimestamp timestamp_ntz, PHIAccessed boolean"
+    for span, order in ((1, 7), (5, 11), (1, 1)):
+        arriving = sorted(rows, key=lambda r: (r[0] * order) % 31)
+        path, sink, state, checkpoint = (work_dir(spark, n) for n in ("log", "hits", "state", "ck"))
+        for k in range(0, len(arriving), 9):
+            spark.createDataFrame(arriving[k:k + 9], schema).write.mode("append").parquet(path)
+            stream = jobs.table_source(spark, path, spark.createDataFrame([], schema).schema, 100)
+            jobs.phi_excessive_access(stream, sink, state, checkpoint, 1, span)
+        got = sorted((r["AuditId"], r["access_count"]) for r in jobs.latest_rows(spark, sink, ["AuditId"]).collect())
+        want = sorted((r["AuditId"], r["access_count"]) for r in audit.excessive_access(spark.createDataFrame(rows, schema), 1).collect())
+        assert got == want and len(want) > 10

@@ -47,9 +47,12 @@ def _(spark, d):
     return audit.lineage_rollup(src.lineage_log(spark, d))
 
 
-@query("phi_excessive_access", "AuditId UserId AccessTimestamp:t access_count:i event_type description severity", """
+EXCESSIVE = """
 SELECT *, 'PHI_EXCESSIVE_ACCESS' AS event_type, 'User accessed PHI ' || access_count || ' times in the last hour' AS description, 'Warning' AS severity FROM (
- SELECT *, count(*) OVER (PARTITION BY UserId ORDER BY AccessTimestamp RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS access_count FROM access_log WHERE PHIAccessed) WHERE access_count > 1""")
+ SELECT *, count(*) OVER (PARTITION BY UserId ORDER BY AccessTimestamp RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS access_count FROM access_log WHERE PHIAccessed) WHERE access_count > 1"""
+
+
+@query("phi_excessive_access", "AuditId UserId AccessTimestamp:t access_count:i event_type description severity", EXCESSIVE)
 def _(spark, d):
     return audit.excessive_access(src.access_log(spark, d), 1)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from veriloom.catalog import common
+from veriloom.catalog.audit import EXCESSIVE
 from veriloom.catalog.fraud import AS_OF, PARAMS, RANKED
 from veriloom.catalog.ingest import _claims_csv
 from veriloom.catalog.queue import HEALTH
@@ -85,6 +86,13 @@ def _(spark, d):
     return jobs.latest_rows(spark, sink, ["UserId", "window_start"])
 
 
+@query("stream_phi_excessive_access", "AuditId UserId AccessTimestamp:t access_count:i event_type description severity", EXCESSIVE)
+def _(spark, d):
+    sink, state = work_dir(spark, "excess"), work_dir(spark, "accesses")
+    _in_parts(spark, src.access_log(spark, d), F.xxhash64("AuditId"), "access", lambda s, ck: jobs.phi_excessive_access(s, sink, state, ck, 1, 24 * 7))
+    return jobs.latest_rows(spark, sink, ["AuditId"])
+
+
 @query("stream_daily_quality", "MetricDate:d PerformingLabId:i TestCode TotalTests:i CriticalValues:i AnomalousResults:i ValidationFailures:i "
        "AvgTurnaroundTimeMinutes:r MissingResults:i CriticalValueRate:r AnomalyRate:r ValidationFailureRate:r CompletenessRate:r", """
 SELECT *, CriticalValues / TotalTests * 100 AS CriticalValueRate, AnomalousResults / TotalTests * 100 AS AnomalyRate,

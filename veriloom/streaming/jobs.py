@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from veriloom.operators import conform, fraud, marts, quality, queue
+from veriloom.operators import audit, conform, fraud, marts, quality, queue
 from veriloom.operators import rules as R
-from veriloom.operators.skew import latest_per_key
+from veriloom.operators.skew import latest_per_key, same_keys
 from veriloom.plans import fraud as fraud_plan
 from veriloom.session import materialise
 from veriloom.sources import claims as claim_files
@@ -141,6 +141,36 @@ def phi_access(stream: DataFrame, sink: str, checkpoint: str, limit: int = 100,
     drain(phi_access_windows(stream, limit, delay), to_batches(sink), checkpoint, "update")
 
 
+def phi_excessive_access(stream: DataFrame, sink: str, state: str, checkpoint: str, limit: int = 100, span_hours: int = 1) -> None:
+    """Accesses that bring a user above ``limit`` within the trailing hour, as ``audit.excessive_access`` finds them, however they arrive.
+
+    Accesses are kept in folders by span of time and batch. A batch can change counts in its own spans and the hour after them, so those
+    spans and the one before are read and counted for the batch's users; no late row is dropped, and a repeated batch replaces its own
+    folders. The newest row per AuditId in ``sink`` is the count as of now. Spans should be short on a busy log, long on a sparse one.
+    """
+    span = F.floor(F.unix_micros(F.col("AccessTimestamp").cast("timestamp")) / F.lit(span_hours * 3_600_000_000)).cast("bigint")
+
+    def each(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        new = df.where("PHIAccessed").select("AuditId", "UserId", "AccessTimestamp", "PHIAccessed", span.alias("span"))
+        (new.withColumn("batch", F.lit(batch_id)).hint("rebalance", "span").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("span", "batch").parquet(state))
+        touched = sorted(r[0] for r in new.select("span").distinct().where("span IS NOT NULL").collect())  # bounded by the calendar
+        ours, after = set(touched), {k + 1 for k in touched}
+        names = [f"{state}/span={k}" for k in sorted(ours | after | {k - 1 for k in touched})]
+        names = [p for p in names if files.exists(spark, p)]
+        if not names:
+            return
+        schema = new.drop("span").schema
+        kept = spark.read.schema(schema.add("span", "long").add("batch", "long")).option("basePath", state).parquet(*names).where(F.col("batch") <= batch_id)
+        users = new.select("UserId").distinct()
+        rows = same_keys(kept.select("AuditId", "UserId", "AccessTimestamp", "PHIAccessed"), users, ["UserId"], "left_semi")
+        counted = audit.excessive_access(rows, limit)
+        counted.where(span.isin(sorted(ours | after))).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+
+    drain(stream, each, checkpoint)
+
+
 def daily_quality(stream: DataFrame, sink: str, checkpoint: str, delay: str = "1 day", mode: str = "update") -> None:
     """Daily metrics per laboratory and test of a stream of validated results, all that the batch table has. ``append`` writes a day
     once, when the watermark has passed it."""
