@@ -40,10 +40,36 @@ def test_small_inputs_reach_every_tree(feats):
 def test_importance_sums_to_one(feats):
     few = feats.where("ResultId < 400 OR ResultId >= 3000").withColumn(anomaly.FEATURES[0], F.lit(1.0))
     model = anomaly.forest_fit(few, trees=10).cache()
-    got = {r["feature"]: r["importance"] for r in anomaly.permutation_importance(few, model, part_rows=100).collect()}
+    got = {r["feature"]: r["importance"] for r in anomaly.permutation_importance(few, model).collect()}
     assert sum(got.values()) == pytest.approx(1.0) and got[anomaly.FEATURES[0]] == 0.0
 
 
+@pytest.mark.parametrize("n,bucket_rows", [(0, 16), (1, 16), (5, 16), (16, 16), (67, 16), (500, 32), (500, 1 << 16)])
+def test_repairing_is_one_turn_of_a_seeded_order(spark, n, bucket_rows):
+    names = anomaly.FEATURES
+    rows = spark.range(n).select(F.col("id").alias("ResultId"), *[(F.col("id") * 100 + k).cast("double").alias(c) for k, c in enumerate(names)])
+    order = [r[0] for r in rows.orderBy(F.shiftrightunsigned(F.xxhash64("ResultId", F.lit(42)), 2), "ResultId").select("ResultId").collect()]
+    got = {r["ResultId"]: r for r in anomaly.repaired(rows, bucket_rows=bucket_rows).collect()}
+    assert sorted(got) == list(range(n))
+    for at, i in enumerate(order):
+        for k, c in enumerate(names):
+            assert got[i][c] == i * 100 + k and got[i][f"_other_{c}"] == order[(at + k + 1) % n] * 100 + k
+
+
+def test_importance_equals_one_feature_at_a_time(spark, feats):
+    few = feats.where("ResultId < 300 OR ResultId >= 3000")
+    model = anomaly.forest_fit(few, trees=10).cache()
+    pairs = anomaly.repaired(few).cache()
+    base = {r["ResultId"]: r["AnomalyScore"] for r in anomaly.forest_scores(few, model).collect()}
+    change = {}
+    for c in anomaly.FEATURES[:2]:
+        swapped = pairs.withColumn(c, F.col(f"_other_{c}"))
+        change[c] = sum(abs(r["AnomalyScore"] - base[r["ResultId"]]) for r in anomaly.forest_scores(swapped, model).collect()) / len(base)
+    got = {r["feature"]: r["importance"] for r in anomaly.permutation_importance(few, model).collect()}
+    a, b = anomaly.FEATURES[:2]
+    assert got[a] * change[b] == pytest.approx(got[b] * change[a]) and got[a] > 0
+
+
 def test_excessive_access_counts_the_trailing_hour(spark):
     t0 = dt.datetime(2024, 1, 1, 9, 59)
     times = [t0 + dt.timedelta(minutes=m) for m in (0, 1, 30, 60, 61, 200)]

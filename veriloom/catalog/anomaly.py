@@ -95,3 +95,12 @@ def _(spark, d):
 def _(spark, d):
     feats = _features(spark, d)
     return anomaly.permutation_importance(feats, materialise(anomaly.forest_fit(feats), "forest"))
+
+
+@query("permutation_pairing", "feature n:i total:r3 own_total:r3", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, count(*) AS n, sum({c}) AS total, sum({c}) AS own_total FROM lab_features" for c in anomaly.FEATURES))
+def _(spark, d):
+    pairs = anomaly.repaired(_features(spark, d))
+    sums = pairs.agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in anomaly.FEATURES], *[F.sum(f"_other_{c}").alias(f"_other_{c}") for c in anomaly.FEATURES])
+    return sums.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), "n", F.col(f"_other_{c}").alias("total"), F.col(c).alias("own_total"))
+                                          for c in anomaly.FEATURES])))

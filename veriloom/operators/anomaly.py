@@ -187,8 +187,8 @@ def forest_fit(feats: DataFrame, trees: int = 100, sample: int = 256, seed: int
     return sampled.groupBy("tree").applyInPandas(fit, NODES)
 
 
-def forest_scores(feats: DataFrame, model: DataFrame, columns=FEATURES) -> DataFrame:
-    """``AnomalyScore`` in [-1, 0): the lower, the more anomalous. The model's size is checked, then shipped."""
+def _scorer(model: DataFrame):
+    """A column function of the features. The model's size is checked, then shipped."""
     rows = model.limit(MAX_MODEL_ROWS + 1).toPandas()
     if len(rows) > MAX_MODEL_ROWS:
         raise ValueError("model too large to ship to the tasks")
@@ -200,7 +200,7 @@ def forest_scores(feats: DataFrame, model: DataFrame, columns=FEATURES) -> DataF
         feature[i, g["node"]], threshold[i, g["node"]], size[i, g["node"]] = g["feature"], g["threshold"], g["size"]
     norm = average_path(float(np.mean([s[0] for s in size])))
     extra = np.vectorize(average_path)(np.arange(int(size.max()) + 1))
-    packed = feats.sparkSession.sparkContext.broadcast((feature, threshold, extra[size], norm))
+    packed = model.sparkSession.sparkContext.broadcast((feature, threshold, extra[size], norm))
 
     @F.pandas_udf("double")
     def score(*cols: pd.Series) -> pd.Series:
@@ -222,7 +222,12 @@ def forest_scores(feats: DataFrame, model: DataFrame, columns=FEATURES) -> DataF
             total += depth + tail[t, at]
         return pd.Series(-np.power(2.0, -(total / feat.shape[0]) / c))
 
-    return feats.withColumn("AnomalyScore", score(*[F.col(c) for c in columns]))
+    return score
+
+
+def forest_scores(feats: DataFrame, model: DataFrame, columns=FEATURES) -> DataFrame:
+    """``AnomalyScore`` in [-1, 0): the lower, the more anomalous."""
+    return feats.withColumn("AnomalyScore", _scorer(model)(*[F.col(c) for c in columns]))
 
 
 def forest_flag(scored: DataFrame, contamination: float = 0.05) -> DataFrame:
@@ -231,24 +236,51 @@ def forest_flag(scored: DataFrame, contamination: float = 0.05) -> DataFrame:
     return scored.withColumn("IsAnomaly", F.col("AnomalyScore") < cut)
 
 
-def permutation_importance(feats: DataFrame, model: DataFrame, columns=FEATURES, part_rows: int = 200_000) -> DataFrame:
-    """(feature, importance): mean absolute score change when a feature's values are re-paired, normalised.
+HASH_BITS = 62
+
+
+def dense_numbers(df: DataFrame, key: str, seed: int, name: str, bucket_rows: int = 1 << 16) -> DataFrame:
+    """Number the rows from 0 without gaps along a seeded hash of ``key``; ties by the other columns. Runs a job: rows are counted.
+
+    Buckets are ranges of the hash, so the numbers don't depend on how many there are; each is one window, shifted by the
+    rows of the buckets before it.
+    """
+    bits = max(0, math.ceil(math.log2(max(1, df.count() / bucket_rows))))
+    cut = df.withColumn("_h", F.shiftrightunsigned(F.xxhash64(key, F.lit(seed)), 64 - HASH_BITS)).withColumn("_b", F.shiftright("_h", HASH_BITS - bits))
+    before = W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)  # one row per bucket
+    offsets = cut.groupBy("_b").count().select("_b", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
+    inside = W.partitionBy("_b").orderBy("_h", key, *[c for c in df.columns if c != key])
+    numbered = cut.withColumn("_i", F.row_number().over(inside) - 1).join(offsets, "_b")
+    return numbered.withColumn(name, F.col("_i") + F.col("_offset")).drop("_h", "_b", "_i", "_offset")
+
+
+def repaired(feats: DataFrame, columns=FEATURES, key: str = "ResultId", seed: int = 42, bucket_rows: int = 1 << 16) -> DataFrame:
+    """Rows with ``columns`` and, as ``_other_<column>``, the value of another row: feature k takes that of the row k places ahead in a
+    seeded random order, the last rows those of the first. Every value is used once per feature, whatever the number of rows.
 
-    Rows fall by hash into parts of about ``part_rows``; inside a part a feature's values move one place along
-    a seeded hash order, so the re-pairing is distributed and repeatable.
+    All features move by small steps along one order, so a row's values lie in its own stretch of that order or in the first rows of
+    the next, which are copied to it: one shuffle for all features, windows of bounded size and no join.
     """
-    scored = materialise(forest_scores(feats, model, columns), "scored")
-    parts = max(1, scored.count() // part_rows)
-    base = scored.withColumn("_p", F.pmod(F.xxhash64("ResultId", F.lit("part")), F.lit(parts)))
-    changes = None
-    for name in columns:
-        order = W.partitionBy("_p").orderBy(F.xxhash64("ResultId", F.lit(name)), "ResultId")
-        last = F.last(name).over(order.rowsBetween(0, W.unboundedFollowing))
-        moved = (base.withColumn("_n", F.coalesce(F.lag(name).over(order), last))
-                 .withColumn(name, F.col("_n")).withColumnRenamed("AnomalyScore", "_base"))
-        row = forest_scores(moved, model, columns).agg(
-            F.lit(name).alias("feature"), F.avg(F.abs(F.col("AnomalyScore") - F.col("_base"))).alias("change"))
-        changes = row if changes is None else changes.unionByName(row)
-    changes = materialise(changes, "importance")
-    total = changes.agg(F.sum("change")).scalar()
-    return changes.select("feature", F.try_divide(F.col("change"), total).alias("importance"))
+    reach = len(columns)
+    rows = materialise(dense_numbers(feats.select(key, *columns), key, seed, "_p", bucket_rows), "numbered")
+    n = rows.count()
+    turns = math.ceil(reach / n) if n else 0
+    again = rows.where(F.col("_p") < reach).select("*", F.explode(F.sequence(F.lit(1), F.lit(turns))).alias("_turn")) if n else rows.withColumn("_turn", F.lit(1))
+    line = rows.withColumn("_own", F.lit(True)).unionByName(
+        again.withColumn("_p", F.col("_p") + F.col("_turn") * F.lit(n)).drop("_turn").withColumn("_own", F.lit(False)))
+    stretch = line.withColumn("_s", F.floor(F.col("_p") / F.lit(bucket_rows)))
+    copies = stretch.where((F.col("_p") % bucket_rows < reach) & (F.col("_s") > 0)).withColumn("_s", F.col("_s") - 1).withColumn("_own", F.lit(False))
+    ahead = W.partitionBy("_s").orderBy("_p")
+    moved = stretch.unionByName(copies).withColumns({f"_other_{c}": F.lead(c, k).over(ahead) for k, c in enumerate(columns, 1)})
+    return moved.where("_own").drop("_own", "_s", "_p")
+
+
+def permutation_importance(feats: DataFrame, model: DataFrame, columns=FEATURES) -> DataFrame:
+    """(feature, importance): mean absolute score change when a feature's values are re-paired (see :func:`repaired`), normalised. One
+    pass scores the rows as they are and with each feature replaced."""
+    score, own = _scorer(model), [F.col(c) for c in columns]
+    scored = repaired(feats, columns).select(score(*own).alias("_base"), *[
+        score(*[F.col(f"_other_{c}") if c == name else F.col(c) for c in columns]).alias(f"_with_{name}") for name in columns])
+    change = scored.agg(*[F.avg(F.abs(F.col(f"_with_{c}") - F.col("_base"))).alias(c) for c in columns])
+    total = sum((F.col(c) for c in columns), F.lit(0.0))
+    return change.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.try_divide(F.col(c), total).alias("importance")) for c in columns])))

@@ -95,7 +95,7 @@ def trailing_count(df: DataFrame, keys: Sequence[str], ts: str, steps: int, step
 def exact_positions(df: DataFrame, by: Sequence[str], value: str, wanted: dict[str, tuple[float, Column]],
                     accuracy: int = 20_000) -> DataFrame:
     """Order statistics per group without sorting a group in one task. Runs jobs when called: stores one row per group, and the few
-    rows near the positions.
+    rows near the positions. The input is read twice, by the sketch and by the counts around its brackets.
 
     ``wanted`` maps an output name to (fraction near the position, 0-based position as a function of
     column ``_total``); fractional positions interpolate linearly. A mergeable sketch brackets each position. Rows
@@ -112,18 +112,19 @@ def exact_positions(df: DataFrame, by: Sequence[str], value: str, wanted: dict[s
     else:  # one row for all: a scalar, as a join without keys would be a cross join
         marked = present.withColumn("_s", sketch.agg(F.first(F.struct("_cuts", "_total"))).scalar()).select("_v", "_s.*")
     v, cuts = F.col("_v"), F.col("_cuts")
-    lo, hi = ({n: cuts[2 * i + k] for i, n in enumerate(names)} for k in (0, 1))
+    side = F.array(*[F.when(v < cuts[2 * i], -1).when(v > cuts[2 * i + 1], 1).otherwise(0) for i in range(len(names))])
+    # one pass: a row outside all brackets only counts for its place among them, one inside any is kept with its value
+    placed = marked.select(*group, "_v", side.alias("_side"))
+    reduced = materialise(placed.groupBy(*group, "_side", F.when(F.array_contains("_side", 0), v).alias("_in")).agg(
+        F.count("*").alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most")), "brackets")
+    each = reduced.select(*group, "_in", "_n", "_least", "_most", F.posexplode("_side").alias("_i", "_at")).withColumn("_name", F.array(*map(F.lit, names))[F.col("_i")])
     # a fractional position may need the neighbour just outside the bracket
-    sides = marked.groupBy(*group).agg(
-        F.first("_total").alias("_total"),
-        *[F.count_if(v < lo[n]).alias(f"_below{i}") for i, n in enumerate(names)],
-        *[F.max(F.when(v < lo[n], v)).alias(f"_under{i}") for i, n in enumerate(names)],
-        *[F.min(F.when(v > hi[n], v)).alias(f"_over{i}") for i, n in enumerate(names)])
-    each = F.array(*[F.struct(F.lit(n).alias("_name"), wanted[n][1].cast("double").alias("_pos"), F.col(f"_below{i}").alias("_below"),
-                              F.col(f"_under{i}").alias("_under"), F.col(f"_over{i}").alias("_over")) for i, n in enumerate(names)])
-    sides = sides.select(*group, F.explode(each).alias("_e")).select(*group, "_e.*")
-    held = F.array_compact(F.array(*[F.when((v >= lo[n]) & (v <= hi[n]), F.lit(n)) for n in names]))
-    inside = marked.select(*group, "_v", F.explode(held).alias("_name")).groupBy(*group, "_name", "_v").agg(F.count("*").alias("_n"))
+    sides = each.groupBy(*group, "_name").agg(
+        F.sum("_n").alias("_total"), F.sum(F.when(F.col("_at") < 0, F.col("_n")).otherwise(0)).alias("_below"),
+        F.max(F.when(F.col("_at") < 0, F.col("_most"))).alias("_under"), F.min(F.when(F.col("_at") > 0, F.col("_least"))).alias("_over"))
+    where = F.coalesce(*[F.when(F.col("_name") == n, wanted[n][1].cast("double")) for n in names])
+    sides = sides.withColumn("_pos", where).drop("_total")
+    inside = each.where("_at = 0").groupBy(*group, "_name", F.col("_in").alias("_v")).agg(F.sum("_n").alias("_n"))
     ranked = running_weight(inside, [*group, "_name"], "_v", "_n")
     placed = same_keys(ranked, sides, [*group, "_name"])
 
