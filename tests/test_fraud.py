@@ -1,4 +1,5 @@
 import datetime as dt
+import itertools
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,6 +50,26 @@ def test_volume_spike(spark):
     assert fraud.alert_claims(df, fraud.volume_spike(df, 2.0)).count() == 300
 
 
+def test_volume_spike_exactly_at_the_limit_is_none(spark):
+    # whole numbers whose z is exactly 3; a running deviation gives 3.0000000000000004 for some of them
+    cases = []
+    for k in range(3, 10):
+        for past in itertools.product(range(1, 6), repeat=min(k, 4)):
+            past = list(past) + [3] * (k - len(past))
+            square = k * sum(x * x for x in past) - sum(past) ** 2
+            for n in range(4, 14):
+                if square and (k * n - sum(past)) ** 2 * (k - 1) == 9 * k * square:
+                    cases.append((past, n))
+    rows = [(f"p{i}", f"2024-{m + 1:02d}", x, 0) for i, (past, n) in enumerate(cases) for m, x in enumerate([*past, n])]
+    months = spark.createDataFrame(rows, "provider_npi string, month string, n bigint, risky bigint")
+    assert len(cases) > 50
+    base = fraud.running_baseline(months)
+    at = {(f"p{i}", f"2024-{len(past) + 1:02d}") for i, (past, _) in enumerate(cases)}
+    found = {(r["provider_npi"], r["period"]) for r in fraud.volume_spike_of(months).collect()}
+    assert not found & at
+    assert {r["z"] for r in base.collect() if (r["provider_npi"], r["month"]) in at} == {3.0}
+
+
 def test_kickback_share(spark):
     rows = [{"npi": "SUPPLIER01", "doc": "DOCTOR0001"}] * 80 + [{"npi": "SUPPLIER01", "doc": f"DOCTOR{i + 2:04d}"} for i in range(20)]
     got = fraud.kickback(claims(spark, rows), 0.5).collect()
