@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from veriloom.functions.parse import safe_ratio
+from veriloom.functions.parse import fixed_text, safe_ratio
 from veriloom.operators.dates import date_key, time_key
 from veriloom.operators.skew import exact_percentiles, latest_per_key
 
@@ -259,7 +259,7 @@ def kpi_turnaround(fact: DataFrame, by: Sequence[str] = (), sla: int = 240) -> D
     df = fact.groupBy(*by).agg(
         F.coalesce(F.avg(m) / 60, F.lit(0.0)).alias("avg_hours"),
         F.coalesce(F.percentile(m, 0.5) / 60, F.lit(0.0)).alias("median_hours"), _share(m <= sla).alias("sla_share"))
-    return df.withColumn("tat_display", F.format_string("%.1f hrs", F.round("avg_hours", 1)))
+    return df.withColumn("tat_display", F.concat(fixed_text(F.col("avg_hours"), 1), F.lit(" hrs")))
 
 
 def kpi_to_date(fact: DataFrame, date_col: str) -> DataFrame:
@@ -289,7 +289,7 @@ def _against(fact: DataFrame, date_col: str, months_back: int, label: str) -> Da
 
 def kpi_month_over_month(fact: DataFrame, date_col: str) -> DataFrame:
     df = _against(fact, date_col, 1, "previous_month")
-    return df.withColumns({"growth_text": F.format_string("%.1f%%", F.round(F.col("growth") * 100, 1)),
+    return df.withColumns({"growth_text": F.concat(fixed_text(F.col("growth") * 100, 1), F.lit("%")),
                            "trend": trend_indicator(F.col("growth"))})
 
 
