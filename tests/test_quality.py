@@ -1,7 +1,10 @@
 import datetime as dt
+import random
 
+import duckdb
 from pyspark.sql import functions as F
 
+from veriloom.functions import parse
 from veriloom.operators import conform, marts, quality, rules
 
 
@@ -60,6 +63,39 @@ def test_delta_check_counts_calendar_days(spark):
     assert got[4] == (False, 100.0) and got[5] == (True, None)
 
 
+def test_doubles_round_as_the_sql_does(spark):
+    con = duckdb.connect()
+    rng = random.Random(3)
+    values = [1.005, 2.675, 0.285, -1.005, -0.04, 0.5, -0.5, 1e300, 123456.0, None, 0.0] + [rng.randrange(1, 10**7) / 10 ** 5 * (1 + 2.0 ** -52 * rng.randrange(-3, 4)) for _ in range(3000)]
+    con.execute("CREATE TABLE t (i BIGINT, v DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(values)))
+    df = spark.createDataFrame(list(enumerate(values)), "i long, v double")
+    got = df.select("i", *[parse.round_half_away(F.col("v"), k).alias(f"r{k}") for k in (1, 2, 4)]).orderBy("i").collect()
+    assert [tuple(r) for r in got] == con.execute("SELECT i, round(v, 1), round(v, 2), round(v, 4) FROM t ORDER BY i").fetchall()
+
+
+def test_delta_check_text_rounds_as_the_sql_does(spark):
+    # many changes lie near a tie of the first decimal
+    con = duckdb.connect()
+    day = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(1, 4000):
+        a, b = round(0.5 + i * 0.0125, 4), round((0.5 + i * 0.0125) * (1.6005 + (i % 97) * 0.001), 4)
+        rows += [(2 * i, i, "GLUCOSE", a, day), (2 * i + 1, i, "GLUCOSE", b, day + dt.timedelta(hours=1))]
+    lab = spark.createDataFrame(rows, "ResultId long, PatientId long, TestCode string, ResultValueNumeric double, ResultDate timestamp_ntz")
+    got = {r["ResultId"]: r["DeltaCheckIssues"].split()[2] for r in quality.delta_check(lab).where("NOT DeltaCheckPass").collect()}
+    con.execute("CREATE TABLE t (i BIGINT, a DOUBLE, b DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?, ?)", [(rows[k + 1][0], rows[k][3], rows[k + 1][3]) for k in range(0, len(rows), 2)])
+    want = dict(con.execute("SELECT i, CAST(CAST(round(abs((b - a) / a * 100), 1) AS DECIMAL(18,1)) AS VARCHAR) || '%' FROM t").fetchall())
+    assert len(got) > 3000 and got == {k: want[k] for k in got}
+
+
+def test_growth_just_below_zero_keeps_its_sign(spark):
+    days = [(dt.datetime(2024, 1, 5),)] * 4000 + [(dt.datetime(2024, 2, 5),)] * 3999 + [(dt.datetime(2024, 3, 5),)] * 4000
+    got = marts.kpi_month_over_month(spark.createDataFrame(days, "d timestamp_ntz"), "d").orderBy("month").collect()
+    assert [r["growth_text"] for r in got] == ["0.0%", "-0.0%", "0.0%"]
+
+
 def test_dedupe_is_idempotent(spark):
     df = spark.createDataFrame([(1, 1), (1, 2), (2, 5)], "k int, m int")
     once = conform.dedupe_latest(df, ["k"], [F.col("m").desc()])

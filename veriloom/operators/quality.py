@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veriloom.functions import moments
-from veriloom.functions.parse import join_issues, safe_ratio
+from veriloom.functions.parse import join_issues, round_half_away, safe_ratio
 from veriloom.operators import rules as R
 from veriloom.operators.conform import unpivot
 from veriloom.operators.skew import previous_row
@@ -88,7 +88,7 @@ def _delta(df: DataFrame) -> dict[str, Column]:
     hours = F.col("DaysSincePrevious") * 24
     ok = ~F.coalesce((hours <= F.col("DeltaHours")) & (F.col("PercentChange") > F.col("MaxDelta")), F.lit(False))
     issue = F.when(~ok, F.concat(
-        F.lit("Change of "), F.round("PercentChange", 1).cast("decimal(18,1)").cast("string"), F.lit("% exceeds "),
+        F.lit("Change of "), round_half_away(F.col("PercentChange"), 1).cast("decimal(18,1)").cast("string"), F.lit("% exceeds "),
         F.col("DeltaText"), F.lit("% threshold within "), F.col("DeltaHours").cast("string"), F.lit("h")))
     return {"HoursSincePrevious": hours, "DeltaCheckPass": ok, "DeltaCheckIssues": join_issues(issue)}
 
