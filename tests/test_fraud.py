@@ -130,3 +130,9 @@ def test_custom_detector_is_used_and_errors_surface(spark):
 def test_percentile_rank_counts_strictly_below(spark):
     df = spark.createDataFrame([(v,) for v in (1.0, 2.0, 2.0, 4.0)], "v double")
     assert sorted(r["percentile_rank"] for r in fraud.percentile_rank(df, "v").collect()) == [0.0, 25.0, 25.0, 75.0]
+
+
+def test_percentile_rank_numbers_ties_apart(spark):
+    df = spark.createDataFrame([("c", 2.0), ("a", 2.0), ("b", 1.0), ("d", None), ("e", 5.0)], "k string, v double")
+    got = {r["k"]: r["percentile_rank"] for r in fraud.percentile_rank(df, "v", ties=["k"]).collect()}
+    assert got == {"b": 0.0, "a": 25.0, "c": 50.0, "e": 75.0, "d": None}
