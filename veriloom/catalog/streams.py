@@ -17,10 +17,14 @@ from veriloom.sources import merge
 from veriloom.streaming import jobs
 
 
+TASKS_A_PART = 32
+
+
 def _in_parts(spark, df, order, name, job, parts=3):
     """Let the frame arrive in ranges of ``order``: after each range has landed, the job runs over what is new and
-    stops, its checkpoint carrying progress and state to the next run."""
-    cut = materialise(df.repartitionByRange(parts, order).withColumn("_part", F.spark_partition_id()), name)
+    stops, its checkpoint carrying progress and state to the next run. A range is cut, sorted out and read by many tasks."""
+    ranged = df.repartitionByRange(parts * TASKS_A_PART, order)
+    cut = materialise(ranged.withColumn("_part", F.floor(F.spark_partition_id() / TASKS_A_PART).cast("int")), name)
     path, checkpoint = work_dir(spark, name), work_dir(spark, "ck")
     for k in range(parts):
         cut.where(F.col("_part") == k).drop("_part").write.mode("append").parquet(path)
