@@ -3,8 +3,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from veriloom.operators import anomaly, audit
+from veriloom.operators import anomaly, audit, quality
 from veriloom.session import work_dir
+from veriloom.sources import files
 from veriloom.streaming import jobs
 
 
@@ -98,6 +99,20 @@ def test_late_results_are_marked_not_applied(spark):
     assert got == {1: (False, None, True), 2: (True, None, True), 3: (False, 100.0, False)}
 
 
+def test_previous_results_need_no_python_per_patient(spark):
+    """Many patients over many batches, with folds, missing values, ties in time and a patient without a number."""
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i, None if i % 13 == 0 else i % 5, "GLUCOSE" if i % 3 else "WBC", t0 + dt.timedelta(hours=i // 2), None if i % 17 == 0 else float(i % 23)) for i in range(200)]
+    path, sink, checkpoint = (work_dir(spark, n) for n in ("in", "out", "ck"))
+    for k in range(0, 200, 50):
+        spark.createDataFrame(rows[k:k + 50], LAB).coalesce(1).write.mode("append").parquet(path)
+        jobs.delta_check(jobs.table_source(spark, path, spark.createDataFrame([], LAB).schema), sink, checkpoint, fold=2)
+    got = {r["ResultId"]: (r["PreviousResult"], r["PercentChange"], r["DeltaCheckIssues"], r["IsLate"]) for r in spark.read.parquet(sink).collect()}
+    want = {r["ResultId"]: (r["PreviousResult"], r["PercentChange"], r["DeltaCheckIssues"], False) for r in quality.delta_check(spark.createDataFrame(rows, LAB)).collect()}
+    assert got == want
+    assert files.exists(spark, f"{checkpoint}-newest/base")
+
+
 def test_closed_days_equal_batch_in_append_mode(spark):
     rows = [(i, 1, "GLUCOSE", dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), float(i)) for i in range(120)]
     full = [[r for r in rows if r[0] < 60], [r for r in rows if r[0] >= 60]]

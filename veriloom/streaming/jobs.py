@@ -14,7 +14,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from veriloom.operators import audit, conform, fraud, marts, quality, queue
 from veriloom.operators import rules as R
-from veriloom.operators.skew import latest_per_key, same_keys
+from veriloom.operators.skew import latest_per_key, previous_row, same_keys
 from veriloom.plans import fraud as fraud_plan
 from veriloom.session import materialise
 from veriloom.sources import claims as claim_files
@@ -246,14 +246,46 @@ def with_previous_state(stream: DataFrame, ttl: str | None = None, delay: str =
         lambda key, frames, state: _remember(key, frames, state, ttl_ms), DELTA_OUT, DELTA_STATE, "append", timeout)
 
 
-def delta_check(stream: DataFrame, sink: str, checkpoint: str, rules=None, ttl: str | None = None) -> None:
-    """The delta check on a live stream: state gives the previous result, the rules are applied as in batch."""
-    prev = F.col("PreviousResult")
-    df = with_previous_state(stream, ttl).withColumns({
-        "DaysSincePrevious": F.datediff("ResultDate", "PreviousResultDate"),
-        "PercentChange": F.when(prev != 0, F.abs((F.col("ResultValueNumeric") - prev) / prev * 100))})
-    checked = quality._apply(df, quality._delta, rules=rules)
-    drain(checked, to_batches(sink), checkpoint)
+RESULT_KEYS = ["PatientId", "TestCode"]
+
+
+def with_previous_stored(df: DataFrame, state: str, batch_id: int, fold: int = sums.FOLD) -> DataFrame:
+    """What ``with_previous_state`` without ``ttl`` gives for one micro-batch, with the newest result per patient and test kept as tables in
+    ``state`` and the pairs formed by windows over spans of time. A repeated batch replaces its own table."""
+    spark = df.sparkSession
+    rows = df.select("ResultId", *RESULT_KEYS, F.col("ResultDate").cast("timestamp").alias("ResultDate"), F.col("ResultValueNumeric").cast("double").alias("ResultValueNumeric"))
+    place = F.struct("ResultDate", "ResultId", "ResultValueNumeric")
+    rows = materialise(rows, "results")
+    if batch_id > 0 and files.exists(spark, f"{state}/parts"):
+        rows = same_keys(rows, sums.total(spark, state, batch_id - 1, RESULT_KEYS, most=["last"]), RESULT_KEYS, "left")
+    else:
+        rows = rows.withColumn("last", F.lit(None).cast(rows.select(place.alias("last")).schema["last"].dataType))
+    late = F.coalesce(F.struct("ResultDate", "ResultId") < F.struct("last.ResultDate", "last.ResultId"), F.lit(False)) & F.col("last").isNotNull()
+    marked = materialise(rows.withColumn("IsLate", late), "marked")
+    paired = previous_row(marked.where("NOT IsLate"), RESULT_KEYS, ["ResultDate", "ResultId"], ["ResultValueNumeric", "ResultDate"])
+    before = lambda c: F.when(F.col("_prev").isNotNull(), F.col(f"_prev.{c}")).otherwise(F.col(f"last.{c}"))
+    on_time = paired.withColumns({"PreviousResult": before("ResultValueNumeric"), "PreviousResultDate": before("ResultDate")}).drop("_prev")
+    out = on_time.unionByName(marked.where("IsLate").withColumns({"PreviousResult": F.lit(None).cast("double"), "PreviousResultDate": F.lit(None).cast("timestamp")}))
+    sums.add(marked.where("NOT IsLate").groupBy(*RESULT_KEYS).agg(F.max(place).alias("last")), state, batch_id)
+    sums.fold(spark, state, batch_id, RESULT_KEYS, every=fold, most=["last"])
+    return out.drop("last")
+
+
+def delta_check(stream: DataFrame, sink: str, checkpoint: str, rules=None, ttl: str | None = None, fold: int = sums.FOLD) -> None:
+    """The delta check on a live stream: the previous result comes from what is kept beside the checkpoint, or with ``ttl`` from Spark's state;
+    the rules are applied as in batch."""
+    prev, write = F.col("PreviousResult"), to_batches(sink)
+
+    def checked(df: DataFrame) -> DataFrame:
+        df = df.withColumns({"DaysSincePrevious": F.datediff("ResultDate", "PreviousResultDate"),
+                             "PercentChange": F.when(prev != 0, F.abs((F.col("ResultValueNumeric") - prev) / prev * 100))})
+        return quality._apply(df, quality._delta, rules=rules)
+
+    if ttl is not None:
+        drain(checked(with_previous_state(stream, ttl)), write, checkpoint)
+    else:
+        newest = f"{checkpoint.rstrip('/')}-newest"
+        drain(stream, lambda df, batch_id: write(checked(with_previous_stored(df, newest, batch_id, fold)), batch_id), checkpoint)
 
 
 def health_snapshot(tasks: DataFrame, as_of: str, sink: str, limits: queue.AlertLimits = queue.AlertLimits()) -> tuple[DataFrame, DataFrame]:

@@ -21,8 +21,8 @@ def add(part: DataFrame, root: str, batch_id: int) -> None:
     part.write.mode("overwrite").parquet(f"{root}/parts/batch={batch_id}")
 
 
-def total(spark: SparkSession, root: str, batch_id: int, keys: Sequence[str], sums: Sequence[str] = ()) -> DataFrame:
-    """Sums per key over all batches up to ``batch_id``; without ``sums`` the distinct keys."""
+def total(spark: SparkSession, root: str, batch_id: int, keys: Sequence[str], sums: Sequence[str] = (), most: Sequence[str] = ()) -> DataFrame:
+    """Sums, and largest values of ``most``, per key over all batches up to ``batch_id``; without either the distinct keys."""
     parts = spark.read.parquet(f"{root}/parts")
     since, rows = -1, None
     if files.exists(spark, f"{root}/base"):
@@ -32,10 +32,12 @@ def total(spark: SparkSession, root: str, batch_id: int, keys: Sequence[str], su
             since, rows = newest, bases.where(F.col("upto") == newest).drop("upto")
     later = parts.where((F.col("batch") > since) & (F.col("batch") <= batch_id)).drop("batch")
     both = later if rows is None else rows.unionByName(later)
-    return both.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums]) if sums else both.select(*keys).distinct()
+    kept = [F.sum(c).alias(c) for c in sums] + [F.max(c).alias(c) for c in most]
+    return both.groupBy(*keys).agg(*kept) if kept else both.select(*keys).distinct()
 
 
-def fold(spark: SparkSession, root: str, batch_id: int, keys: Sequence[str], sums: Sequence[str] = (), every: int = FOLD) -> None:
+def fold(spark: SparkSession, root: str, batch_id: int, keys: Sequence[str], sums: Sequence[str] = (), every: int = FOLD,
+         most: Sequence[str] = ()) -> None:
     """Write a base at every ``every``-th batch."""
     if batch_id % every == every - 1:
-        total(spark, root, batch_id, keys, sums).write.mode("overwrite").parquet(f"{root}/base/upto={batch_id}")
+        total(spark, root, batch_id, keys, sums, most).write.mode("overwrite").parquet(f"{root}/base/upto={batch_id}")
