@@ -136,3 +136,13 @@ def test_percentile_rank_numbers_ties_apart(spark):
     df = spark.createDataFrame([("c", 2.0), ("a", 2.0), ("b", 1.0), ("d", None), ("e", 5.0)], "k string, v double")
     got = {r["k"]: r["percentile_rank"] for r in fraud.percentile_rank(df, "v", ties=["k"]).collect()}
     assert got == {"b": 0.0, "a": 25.0, "c": 50.0, "e": 75.0, "d": None}
+
+
+def test_beneficiary_profiles_hold_one_row_per_pair(spark):
+    codes = ["E0601", "K0001", "E0601", "Z9999", "K0001", None]
+    rows = [{"bene": b, "npi": n, "code": c} for b, n in (("x", "1"), ("x", "2"), ("y", None), (None, "1")) for c in codes]
+    df = claims(spark, rows)
+    found = fraud.beneficiary_profiles(df)
+    assert "Expand" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["beneficiary_id"]: (r["total_claims"], r["unique_providers"], r["distinct_equipment_types"]) for r in found.collect()}
+    assert got == {"x": (12, 2, 2), "y": (6, 0, 2), None: (6, 1, 2)}
