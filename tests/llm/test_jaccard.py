@@ -108,3 +108,11 @@ def test_shingles_of_long_texts(monkeypatch):
     monkeypatch.setattr(jaccard, "WINDOW_BYTES", 50)
     assert (jaccard.shingles(text) == whole).all() and len(jaccard.shingles(b"")) == 0
     assert len(jaccard.shingles(b"A b")) == 1 and (jaccard.shingles(b"A b") == jaccard.shingles(b"a  B\n")).all()
+
+
+def test_one_row_of_each_component_stays(spark):
+    """Rows without an id are deduplicated too, and rows that share an id but not a text are judged by their own components."""
+    same, other, third = "alpha beta gamma delta epsilon zeta " * 4, "one two three four five six seven", "un deux trois quatre cinq six"
+    rows = [(2, same), (5, same), (5, other), (5, other), (None, same), (None, third), (None, third), (None, None), (9, " "), (None, "")]
+    got = jaccard.deduplicate(odd.documents(spark, [(d, t, "s") for d, t in rows])).collect()
+    assert sorted([(r.doc_id or 0, r.text) for r in got]) == [(0, third), (2, same), (5, other), (9, " ")]

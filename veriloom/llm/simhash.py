@@ -12,7 +12,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -84,32 +84,50 @@ def links(prints: DataFrame, radius: int = 2) -> DataFrame:
     return met.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("low"))) <= radius).select(F.col("fp").alias("a"), F.col("low").alias("b"))
 
 
-def near_duplicates(df: DataFrame, text: str = "text", doc: str = "doc_id", width: int = 3, radius: int = 2) -> DataFrame:
-    """One row per row of ``df``: doc_id, fp and component_id, the smallest id reachable over links.
+def text_key(text: str = "text") -> Column:
+    """A number of the text; null and empty ones have the same."""
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
 
-    Runs jobs when called and stores (id, fingerprint), never texts. Equal fingerprints, those of empty texts too, are
-    linked. Repeated rows share a component; a component without any id has a null one. No rows give no rows.
-    """
-    stored = materialise(fingerprints(df.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")), "text", ("doc_id",), width), "fingerprints")
+
+def _classes(df: DataFrame, text: str, doc: str, width: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """The stored rows (doc_id, key, fp), and fp, root (never null) and component_id of every fingerprint."""
+    rows = df.select(F.col(doc).alias("doc_id"), text_key(text).alias("key"), F.col(text).alias("text"))
+    stored = materialise(fingerprints(rows, "text", ("doc_id", "key"), width), "fingerprints")
     roots = components(links(stored, radius), "simhash")
     prints = stored.groupBy("fp").agg(F.min("doc_id").alias("low"))
     rooted = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    classes = materialise(rooted.join(ids.hint("shuffle_merge"), "root").select("fp", "component_id"), "classes")
+    return stored, materialise(rooted.join(ids.hint("shuffle_merge"), "root").select("fp", "root", "component_id"), "classes")
+
+
+def near_duplicates(df: DataFrame, text: str = "text", doc: str = "doc_id", width: int = 3, radius: int = 2) -> DataFrame:
+    """One row per row of ``df``: doc_id, fp and component_id, the smallest id reachable over links.
+
+    Runs jobs when called and stores (id, text's hash, fingerprint), never texts. Equal fingerprints, those of empty texts too, are
+    linked. Repeated rows share a component; a component without any id has a null one. No rows give no rows.
+    """
+    stored, classes = _classes(df, text, doc, width, radius)
     return stored.join(classes.hint("shuffle_merge"), "fp").select("doc_id", "fp", "component_id")
 
 
 def deduplicate(docs: DataFrame, text: str = "text", doc: str = "doc_id", width: int = 3, radius: int = 2) -> DataFrame:
-    """``docs`` with one row of each component left, as ``keep_first`` says."""
-    return keep_first(docs, near_duplicates(docs, text, doc, width, radius), doc)
-
-
-def keep_first(docs: DataFrame, found: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """``docs`` with one row of each component left, that with the smallest id (of repeated ids, one row). Rows without an id have
-    nothing to be told apart by and stay. ``found``: doc_id and component_id of every row."""
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(doc)).distinct()
-    kept = docs.where(F.col(doc).isNotNull()).join(gone.hint("shuffle_merge"), doc, "left_anti")
-    rows = kept.select(doc, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
-    n = F.row_number().over(W.partitionBy(doc).orderBy(F.xxhash64("_doc")))
-    one = rows.withColumn("_n", n).where("_n = 1").select("_doc.*")
-    return one.unionByName(docs.where(F.col(doc).isNull()))
+    """``docs`` with one row of each component left, as ``keep_first`` says; rows without an id stay besides."""
+    stored, classes = _classes(docs, text, doc, width, radius)
+    named = stored.where("doc_id IS NOT NULL").join(classes.hint("shuffle_merge"), "fp")
+    return keep_first(docs.where(F.col(doc).isNotNull()), named, text, doc).unionByName(docs.where(F.col(doc).isNull()))
+
+
+def keep_first(docs: DataFrame, members: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
+    """``docs`` with exactly one row of each component left: that with the smallest id, or any if none has one.
+
+    ``members``: doc_id, key (``text_key``) and root, the component, of every row. A row is known by id and text, so rows that share an
+    id but not a text are each judged by their own component. Of rows equal in both one stays.
+    """
+    none = lambda c: c.isNull().alias("_none")
+    name = lambda c: F.coalesce(c.cast("string"), F.lit("")).alias("_name")
+    first = members.groupBy("root").agg(F.min(F.struct(none(F.col("doc_id")), "doc_id", "key")).alias("_first")).select("_first.*")
+    kept = first.select("_none", name(F.col("doc_id")), F.col("key").alias("_key"))
+    rows = docs.select(none(F.col(doc)), name(F.col(doc)), text_key(text).alias("_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    by = ["_none", "_name", "_key"]
+    n = F.row_number().over(W.partitionBy(*by).orderBy(F.xxhash64("_doc")))
+    return rows.join(kept.hint("shuffle_merge"), by, "left_semi").withColumn("_n", n).where("_n = 1").select("_doc.*")
