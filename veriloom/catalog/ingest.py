@@ -255,7 +255,8 @@ def _(spark, d):
 def _(spark, d):
     """Documents that are arrays of claims of a provider."""
     path = work_dir(spark, "claims-arrays")
-    claim_files.documents(src.claims(spark, d), F.col("provider_npi")).select(F.to_json("claims").alias("value")).write.text(path)
+    held = claim_files.documents(src.claims(spark, d), F.col("provider_npi"))
+    claim_files.write_texts(held.select(F.to_json("claims").alias("value")), path, src.read(spark, d, "lineitem").count())
     return claim_files.read_claims_json(spark, path)
 
 
@@ -264,7 +265,7 @@ def _(spark, d):
     """Documents that hold their claims under ``claims``, pretty-printed over many lines."""
     path = work_dir(spark, "claims-objects")
     held = claim_files.documents(src.claims(spark, d), F.substring("provider_npi", -1, 1))
-    held.select(F.to_json(F.struct("claims"), {"pretty": "true"}).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    claim_files.write_texts(held.select(F.to_json(F.struct("claims"), {"pretty": "true"}).alias("value")), path, src.read(spark, d, "lineitem").count(), 1)
     return claim_files.read_claims_json(spark, path, multiline=True)
 
 
