@@ -17,3 +17,15 @@ def test_parts_of_the_sorted_copy_are_bounded(spark, monkeypatch):
     assert [r.status for r in catalog.QUERIES["recon_status_equal"](spark, SF).collect()] == ["SUCCESS"]
     held = [r["count"] for r in sides[0][1].groupBy(F.spark_partition_id()).count().collect()]
     assert sum(held) == sides[0][0].count() and max(held) < 2500
+
+
+def test_spread_differences_bring_few_rows(spark, monkeypatch):
+    """One row in 200 differs, so all leaves do; before, all rows were compared with a hash per column."""
+    rc, kept = queries.rc, []
+    small = rc.small_side
+    monkeypatch.setattr(rc, "small_side", lambda df, name: kept.append(small(df, name)) or kept[-1])
+    source = spark.range(20_000).select("id", (F.col("id") % 7).alias("v"))
+    target = source.where("id % 400 <> 0").withColumn("v", F.when(F.col("id") % 400 == 200, -1).otherwise(F.col("v")))
+    got = {(r["id"], r["kind"]) for r in rc.differing_rows(source, target, ["id"], leaves=16).collect()}
+    assert got == {(i, "changed" if i % 400 else "source_only") for i in range(0, 20_000, 200)}
+    assert kept[0].count() <= 100  # of some 5000 fine leaves

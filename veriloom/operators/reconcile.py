@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veriloom.operators.skew import small_side
 from veriloom.session import materialise
 
 ALL_CHECKS = ("column_checksums", "key_sums", "null_counts")
@@ -160,8 +161,9 @@ def recent_results(results: DataFrame, n: int = 20) -> DataFrame:
     return results.orderBy(F.col("validated_at").desc(), "task_id").limit(n)
 
 
-#: Leaves of the digest; a differing leaf brings all its rows into the comparison. Ids of leaves are broadcast, 8 MB at most.
-LEAVES, MOST_LEAVES = 1 << 16, 1 << 20
+#: Leaves of the digest; a differing leaf brings all its rows into the comparison. Where the rows it brings are more than so many a
+#: leaf, they are digested again into leaves of about FINE rows.
+LEAVES, MOST_LEAVES, MOST_ROWS, FINE = 1 << 16, 1 << 20, 16, 8
 
 
 def digest(df: DataFrame, keys: Sequence[str], columns: Sequence[str], leaves: int = LEAVES, folder: str | None = None) -> DataFrame:
@@ -172,21 +174,31 @@ def digest(df: DataFrame, keys: Sequence[str], columns: Sequence[str], leaves: i
     """
     if not 1 <= leaves <= MOST_LEAVES:
         raise ValueError(f"between 1 and {MOST_LEAVES} leaves")
+    return _digest(_hashed(df, keys, columns, leaves), folder)
+
+
+def _digest(hashed: DataFrame, folder: str | None = None) -> DataFrame:
     place = [F.col(folder)] if folder else []
-    return _hashed(df, keys, columns, leaves).groupBy(*place, "_leaf").agg(F.count("*").alias("n"), F.sum("_row").alias("total"))
+    return hashed.groupBy(*place, "_leaf").agg(F.count("*").alias("n"), F.sum("_row").alias("total"))
 
 
 def _hashed(df: DataFrame, keys: Sequence[str], columns: Sequence[str], leaves: int) -> DataFrame:
     wide = F.xxhash64(*keys, *columns).cast("decimal(38,0)")
-    return df.withColumns({"_leaf": F.pmod(F.xxhash64(*keys), F.lit(leaves)).cast("int"), "_row": wide})
+    return df.withColumns({"_leaf": F.pmod(F.xxhash64(*keys), F.lit(leaves)), "_row": wide})
 
 
 def differing_leaves(source: DataFrame, target: DataFrame, folder: str | None = None) -> DataFrame:
     """Leaves (with their folder, if any) of two digests that don't agree."""
-    sign = lambda df, k: df.withColumns({"n": F.col("n") * k, "total": F.col("total") * k})
+    return _differing(source, target, folder).drop("rows")
+
+
+def _differing(source: DataFrame, target: DataFrame, folder: str | None = None) -> DataFrame:
+    """Differing leaves, and the rows that both sides have there."""
+    sign = lambda df, k: df.withColumns({"rows": F.col("n"), "n": F.col("n") * k, "total": F.col("total") * k})
     by = [folder, "_leaf"] if folder else ["_leaf"]
     both = sign(source, 1).unionByName(sign(target, -1))
-    return both.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("total").alias("total")).where("n <> 0 OR total <> 0").select(*by)
+    sums = [F.sum(c).alias(c) for c in ("n", "total", "rows")]
+    return both.groupBy(*by).agg(*sums).where("n <> 0 OR total <> 0").select(*by, "rows")
 
 
 def differing_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None, leaves: int = LEAVES,
@@ -194,7 +206,8 @@ def differing_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], co
     """Which rows differ: keys, kind (source_only, target_only, changed), source_rows, target_rows and differing_columns.
 
     Each side is digested in one pass that shuffles a row per leaf and task; then only rows of differing leaves are compared, so what is
-    shuffled follows the differences. With ``folder`` (see ``digest``) only the folders of such leaves are read again. Runs the jobs of the
+    shuffled follows the differences. Where differences spread over so many leaves that these hold more than ``MOST_ROWS`` times ``leaves`` rows, those rows are
+    digested once more into small leaves, which shuffles three numbers a row instead of a hash per column. With ``folder`` (see ``digest``) only the folders of such leaves are read again. Runs the jobs of the
     digests when called.
 
     Rows of a key are compared as multisets, so repeated keys are fine; NULL keys are keys and NULL equals NULL. Columns are named
@@ -206,18 +219,24 @@ def differing_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], co
     like = lambda c: F.col(c) if target.schema[c].dataType == kinds[c] else F.col(c).try_cast(kinds[c])
     extra = [folder] if folder else []
     sides = [source.select(*extra, *keys, *own), target.select(*extra, *[like(c).alias(c) for c in (*keys, *own)])]
-    found = materialise(differing_leaves(*[digest(x, keys, own, leaves, folder) for x in sides], folder), "leaves")
+    found = materialise(_differing(*[digest(x, keys, own, leaves, folder) for x in sides], folder), "leaves")
     if folder:  # the folders are few: the scan prunes by their names
         names = [r[0] for r in found.select(folder).distinct().collect()]
         sides = [x.where(F.col(folder).isin(names)) for x in sides]
     few = F.broadcast(found.select("_leaf").distinct())  # at most ``leaves`` integers
+    hashed = [_hashed(x, keys, own, leaves).join(few, "_leaf", "left_semi") for x in sides]
+    rows = found.agg(F.sum("rows")).first()[0] or 0
+    if rows > MOST_ROWS * leaves:
+        fine = F.pmod(F.xxhash64(*keys), F.lit(-(-rows // FINE)))
+        hashed = [x.withColumn("_leaf", fine) for x in hashed]
+        again = small_side(_differing(*map(_digest, hashed)).select("_leaf"), "fine_leaves")
+        hashed = [x.join(again, "_leaf", "left_semi") for x in hashed]
     sums = {f"_d{i}": F.xxhash64(c).cast("decimal(38,0)") for i, c in enumerate(own)}
 
-    def signed(df: DataFrame, sign: int) -> DataFrame:
-        rows = _hashed(df, keys, own, leaves).join(few, "_leaf", "left_semi")
+    def signed(rows: DataFrame, sign: int) -> DataFrame:
         return rows.select(*keys, F.lit(sign).alias("_sign"), (F.col("_row") * sign).alias("_row"), *[(c * sign).alias(n) for n, c in sums.items()])
 
-    both = signed(sides[0], 1).unionByName(signed(sides[1], -1)).groupBy(*keys).agg(
+    both = signed(hashed[0], 1).unionByName(signed(hashed[1], -1)).groupBy(*keys).agg(
         F.count_if(F.col("_sign") > 0).alias("source_rows"), F.count_if(F.col("_sign") < 0).alias("target_rows"), *[F.sum(n).alias(n) for n in ("_row", *sums)])
     differ = both.where("source_rows <> target_rows OR _row <> 0")
     named = F.array_compact(F.array(*[F.when(F.col(n) != 0, F.lit(c)) for n, c in zip(sums, own)])) if own else F.array().cast("array<string>")
