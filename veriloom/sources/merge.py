@@ -60,8 +60,9 @@ def add_processed_rows(watermarks: DataFrame, runs: DataFrame) -> DataFrame:
             .withColumn("ProcessedRowCount", F.col("ProcessedRowCount") + F.coalesce("_rows", F.lit(0))).drop("_rows"))
 
 
-def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str], hash_col: str = "_row_hash") -> DataFrame:
-    """Target after merging: a matched row is replaced only if its hash differs, new rows are added.
+def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str], hash_col: str = "_row_hash", since: str | None = None) -> DataFrame:
+    """Target after merging: a matched row is replaced only if its hash differs, new rows are added. With ``since``, a column of both, a matched
+    row that has it is replaced only by one that isn't older.
 
     One full outer join on the key. The source must hold one row per key, and a row with a NULL in its key is an error: it has nothing
     to be matched by. No target: the source itself.
@@ -76,6 +77,8 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str], has
     s = source.select(*keys, F.struct(*cols).alias("_s"))
     j = t.join(s, list(keys), "full_outer")
     replace = F.col("_t").isNull() | (F.col("_s").isNotNull() & ~F.col(f"_s.{hash_col}").eqNullSafe(F.col(f"_t.{hash_col}")))
+    if since is not None:
+        replace = replace & (F.col(f"_t.{since}").isNull() | F.coalesce(F.col(f"_s.{since}") >= F.col(f"_t.{since}"), F.lit(False)))
     return j.select(F.when(replace, F.col("_s")).otherwise(F.col("_t")).alias("_r")).select("_r.*")
 
 

@@ -108,9 +108,7 @@ def silver_upsert(stream: DataFrame, path: str, table: str, load_date: str, chec
     keys = conform.PRIMARY_KEYS[table]
 
     def newer(old: DataFrame, new: DataFrame) -> DataFrame:
-        newest = old.select(*keys, F.col("ModifiedDate").alias("_m"))
-        kept = new.join(newest, keys, "left").where(F.col("_m").isNull() | (F.col("ModifiedDate") >= F.col("_m"))).drop("_m")
-        return merge.upsert(old, kept, keys)
+        return merge.upsert(old, new, keys, since="ModifiedDate")
 
     def each(df: DataFrame, batch_id: int) -> None:
         new = conform.bronze_to_silver(df, table, load_date, as_of)
