@@ -59,6 +59,31 @@ def test_memo_starts_anew(library, monkeypatch):
         assert np.frombuffer(b"".join(encoder.encode([text])[0]), "<u4").tolist() == ids(library, text)
 
 
+def test_recurring_pieces_outlast_those_met_once(library, monkeypatch):
+    """A hundred recurring words among thousands met once, with a memo for a few hundred: the words are encoded a few times in all."""
+    monkeypatch.setattr(tokens, "MEMO_BYTES", 60_000)
+    encoder, asked = tokens.Encoder(PATH), Counter()
+    whole = encoder._whole
+    monkeypatch.setattr(encoder, "_whole", lambda text: (asked.update(text.replace(encoder.mark, " ").split()), whole(text))[1])
+    usual = [f"usual{i}" for i in range(100)]
+    for k in range(30):
+        text = " ".join(["", *usual, *(f"once{k}x{i}" for i in range(400))])
+        assert np.frombuffer(b"".join(encoder.encode([text])[0]), "<u4").tolist() == ids(library, text)
+    assert max(asked[w] for w in usual) <= 5
+
+
+def test_batches_of_odd_pieces_encode_as_the_whole(library):
+    """Texts of one batch share pieces; the mark itself, white space in runs and at the ends, letters of several bytes, special strings."""
+    rng = random.Random(7)
+    parts = [" ", " ", " ", "a", "été", "日", "B.", ",c", "3.1", "\n", "\n\n", "\t", "\v", "  ", "\x01", "<|endoftext|>", "'s", "😀", "\x00", "..."]
+    encoder = tokens.Encoder(PATH)
+    for _ in range(60):
+        texts = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(40)] + ["", " ", "\n"]
+        texts += [" ".join(rng.choices(["é", "ab.", "c,d", "x\ny", "日本"], k=9)) for _ in range(20)]
+        for text, found in zip(texts, encoder.encode(texts), strict=True):
+            assert np.frombuffer(b"".join(found), "<u4").tolist() == ids(library, text), repr(text)
+
+
 def test_best_fit_equals_item_by_item():
     rng = random.Random(5)
     for _ in range(200):
