@@ -212,3 +212,15 @@ def test_take_repeats_rows(spark):
     taken = mixing.take(df, mixed)
     assert taken.columns == df.columns
     assert Counter(r.doc_id for r in taken.collect()) == +want
+
+
+def test_solving_takes_no_jobs_a_round(spark):
+    """Tilts that need many Newton steps: the plan and its result take a bounded number of jobs."""
+    docs = [(i, "w " * (1 + i % 40 if i % 3 else 400), f"s{i % 7}") for i in range(700)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, source string")
+    spark.sparkContext.setJobGroup("mix-jobs", "mix")
+    try:
+        rows = mixing.mix(df).collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(rows) == 700 and len(spark.sparkContext.statusTracker().getJobIdsForGroup("mix-jobs")) <= 30

@@ -2,14 +2,16 @@
 
 Every document gets a rate between 0 and ``most``. Among all rates with which the words of its source come to the target, those closest
 to 1 in relative entropy are min(most, exp(b * length)): the tilt of a convex dual in one variable per source, which safeguarded Newton
-iterations solve for all sources at once from sums that Spark aggregates. Rates are rounded into copies so that a source's words
+iterations solve for each source from the counts per length that Spark aggregates. Rates are rounded into copies so that a source's words
 come within about one short document of its target.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -41,33 +43,43 @@ def targets(sources: DataFrame, weights: Sequence[float] = (5, 2, 1), share: flo
             .drop("_weight", "_cap", "_all", "_level", "_turn", "_final"))
 
 
+def tilt(n: np.ndarray, c: np.ndarray, wanted: float, most: float, tolerance: float, rounds: int) -> float:
+    """b of one source: see :func:`solve`. The sum rises with b, so every round narrows a bracket; a Newton step that would leave it is
+    replaced by its middle, or by a longer step while a side is open."""
+    b, lo, hi = 0.0, -math.inf, math.inf
+    words = n * c
+    for _ in range(rounds):
+        rate = np.exp(np.minimum(b * c, 700.0))
+        off = float(np.sum(words * np.minimum(most, rate))) - wanted
+        slope = float(np.sum(np.where(rate < most, words * c * rate, 0.0)))
+        lo, hi = b if off <= 0 else lo, b if off >= 0 else hi
+        if abs(off) <= tolerance * wanted:
+            break
+        step = b - off / slope if slope else math.nan
+        if lo < step < hi and abs(step - b) <= 1 + 2 * abs(b):  # a flat place gives no long jump
+            moved = step
+        else:
+            moved = hi - 1 - abs(hi) if lo == -math.inf else lo + 1 + abs(lo) if hi == math.inf else (lo + hi) / 2
+        if moved == b:
+            break
+        b = moved
+    return b
+
+
 def solve(cells: DataFrame, wanted: DataFrame, most: float = 2.0, tolerance: float = 1e-12, rounds: int = 100) -> DataFrame:
     """(source, b) with sum(n * c * min(most, exp(b * c))) = words_wanted, c being the length in units of the source's mean.
 
-    ``cells``: source, n, c; ``wanted``: source, words_wanted, above 0 and below what ``most`` copies of all give. The sum rises with b, so
-    every round narrows a bracket; a Newton step that would leave it is replaced by its middle, or by a longer step while a side is open. One
-    aggregate and one small written table a round.
+    ``cells``: source, n, c; ``wanted``: source, words_wanted, above 0 and below what ``most`` copies of all give. A group holds a row for
+    each length of a source, not for each document; sources are solved side by side, without a job a round.
     """
-    state = materialise(wanted.select("source", "words_wanted", F.lit(0.0).alias("b"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi")), "dual")
-    for _ in range(rounds):
-        rate = F.exp(F.least(F.col("b") * F.col("c"), F.lit(700.0)))
-        words = F.col("n") * F.col("c")
-        sums = (join_same(cells, state.select("source", "b"), ["source"]).groupBy("source")
-                .agg(F.sum(words * F.least(F.lit(float(most)), rate)).alias("_w"), F.sum(F.when(rate < most, words * F.col("c") * rate).otherwise(0.0)).alias("_slope")))
-        off = F.col("_w") - F.col("words_wanted")
-        ahead = join_same(state, sums, ["source"]).withColumns({
-            "lo": F.when(off <= 0, F.col("b")).otherwise(F.col("lo")), "hi": F.when(off >= 0, F.col("b")).otherwise(F.col("hi")),
-            "_off": F.abs(off / F.col("words_wanted")), "_step": F.col("b") - F.try_divide(off, F.col("_slope"))})
-        inside = F.coalesce(F.col("_step") > F.col("lo"), F.lit(True)) & F.coalesce(F.col("_step") < F.col("hi"), F.lit(True))
-        near = F.abs(F.col("_step") - F.col("b")) <= 1 + 2 * F.abs(F.col("b"))  # a flat place gives no long jump
-        other = F.when(F.col("lo").isNull(), F.col("hi") - 1 - F.abs("hi")).when(F.col("hi").isNull(), F.col("lo") + 1 + F.abs("lo")).otherwise((F.col("lo") + F.col("hi")) / 2)
-        moved = F.when(F.col("_off") <= tolerance, F.col("b")).when(F.col("_step").isNotNull() & inside & near, F.col("_step")).otherwise(other)
-        stepped = materialise(ahead.select("source", "words_wanted", moved.alias("b"), "lo", "hi", "_off", (moved != F.col("b")).alias("_moved")), "dual")
-        off, moving = stepped.agg(F.max("_off"), F.max("_moved")).first()
-        state = stepped.drop("_off", "_moved")
-        if off is None or off <= tolerance or not moving:
-            break
-    return state.select("source", "b")
+    kind = cells.schema["source"].dataType.simpleString()
+
+    def per_source(frame: pd.DataFrame) -> pd.DataFrame:
+        rows = frame.sort_values("c")
+        b = tilt(rows["n"].to_numpy(float), rows["c"].to_numpy(float), float(rows["words_wanted"].iloc[0]), most, tolerance, rounds)
+        return rows.iloc[:1].assign(b=b)[["source", "b"]]
+
+    return join_same(cells, wanted, ["source"]).groupBy("source").applyInPandas(per_source, f"source {kind}, b double")
 
 
 def round_copies(sizes: list[int], counts: list[int], rates: list[float], most: int) -> tuple[list[int], list[int]]:
@@ -95,7 +107,7 @@ def _round(most: int):
     def per_source(frame: pd.DataFrame) -> pd.DataFrame:
         rows = frame.sort_values("size", ascending=False)
         base, more = round_copies(rows["size"].tolist(), rows["n"].tolist(), rows["rate"].tolist(), most)
-        return rows.assign(base=base, more=more)[["source", "size", "base", "more"]]
+        return rows.assign(base=base, more=more)[["source", "size", "rate", "base", "more"]]
 
     return per_source
 
@@ -123,8 +135,8 @@ def mix(df: DataFrame, text: str = "text", doc: str = "doc_id", source: str = "s
     rated = (join_same(cells, tilt, ["source"], "left")
              .select("source", "size", "n", F.coalesce(F.least(F.lit(float(most)), F.exp(F.least(F.col("b") * F.col("c"), F.lit(700.0)))), F.col("_full")).alias("rate")))
     kind = stored.schema["source"].dataType.simpleString()
-    copies = materialise(rated.groupBy("source").applyInPandas(_round(most), f"source {kind}, size bigint, base int, more bigint"), "copies")
-    plan = join_same(join_same(rated, copies, ["source", "size"], hint="shuffle_merge"), aims, ["source"])
+    copies = rated.groupBy("source").applyInPandas(_round(most), f"source {kind}, size bigint, rate double, base int, more bigint")
+    plan = join_same(copies, aims, ["source"])
     plan = materialise(plan.select("source", "size", "rate", "base", "more", "source_size", "target"), "mix")
     ranked = rank_within(stored, ["source", "size"], row=("doc_id",))
     taken = join_same(ranked, plan, ["source", "size"], hint="shuffle_merge")
