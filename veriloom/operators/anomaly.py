@@ -187,47 +187,100 @@ def forest_fit(feats: DataFrame, trees: int = 100, sample: int = 256, seed: int
     return sampled.groupBy("tree").applyInPandas(fit, NODES)
 
 
-def _scorer(model: DataFrame):
-    """A column function of the features. The model's size is checked, then shipped."""
+class Walker:
+    """The trees as flat arrays. A leaf has no threshold, so a row that reached it stays; rows walk in blocks that fit a cache."""
+
+    BLOCK = 1 << 13
+
+    def __init__(self, rows: pd.DataFrame):
+        trees = [g for _, g in rows.groupby("tree", sort=True)]
+        self.trees, self.width = len(trees), int(rows["node"].max()) + 1
+        at = np.concatenate([i * self.width + g["node"].to_numpy() for i, g in enumerate(trees)])
+        model = pd.concat(trees)
+        node, inner = model["node"].to_numpy(), model["feature"].to_numpy() >= 0
+        tail = np.vectorize(average_path)(np.arange(int(model["size"].max()) + 1))
+        self.feature = np.zeros(self.trees * self.width, np.intp)
+        self.threshold, self.value = np.full(self.feature.shape, np.nan), np.zeros(self.feature.shape)
+        self.left = np.arange(len(self.feature), dtype=np.intp)
+        depth = np.floor(np.log2(node + 1.0))
+        self.feature[at[inner]], self.threshold[at[inner]] = model["feature"].to_numpy()[inner], model["threshold"].to_numpy()[inner]
+        self.left[at[inner]] = at[inner] + node[inner] + 1
+        self.value[at] = depth + tail[model["size"].to_numpy()]
+        self.levels = [int(np.log2(g["node"].max() + 1)) for g in trees]
+        self.norm = average_path(float(np.mean([g.loc[g["node"] == 0, "size"].iloc[0] for g in trees])))
+
+    def _score(self, total: np.ndarray) -> np.ndarray:
+        return -np.power(2.0, -(total / self.trees) / self.norm)
+
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        return np.concatenate([self._score(self._paths(x[i:i + self.BLOCK], None)) for i in range(0, len(x), self.BLOCK)] or [np.zeros(0)])
+
+    def changed_scores(self, x: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """Per row its score, then that with each feature in turn taken from ``other``."""
+        blocks = [self._score(self._paths(x[i:i + self.BLOCK], other[i:i + self.BLOCK])) for i in range(0, len(x), self.BLOCK)]
+        return np.concatenate(blocks, axis=1).T if blocks else np.zeros((0, x.shape[1] + 1))
+
+    def _paths(self, x: np.ndarray, other: np.ndarray | None) -> np.ndarray:
+        """Sums of path lengths over the trees. With ``other`` a row walks a tree once: a replaced feature only matters from the first node
+        that tests it and decides otherwise, and walks on from there by itself."""
+        (n, k), feature, threshold, left = x.shape, self.feature, self.threshold, self.left
+        values = np.ascontiguousarray(x if other is None else np.hstack([x, other])).ravel()
+        wide = k if other is None else 2 * k
+        rows = np.arange(n, dtype=np.intp)
+        start = rows * wide
+        total = np.zeros(n if other is None else (k + 1, n))
+        for t, levels in enumerate(self.levels):
+            at = np.full(n, t * self.width, np.intp)
+            parted, off = [], np.zeros((n, k), bool)
+            for _ in range(levels):
+                f, cut, child = feature.take(at), threshold.take(at), left.take(at)
+                place = start + f
+                right = values.take(place) >= cut
+                if other is not None:
+                    r = np.flatnonzero((values.take(place + k) >= cut) != right)
+                    r = r[~off[r, f[r]]]
+                    off[r, f[r]] = True
+                    parted.append((r, f[r], child[r] + ~right[r]))
+                at = child + right
+            if other is None:
+                total += self.value.take(at)
+                continue
+            own = np.tile(self.value.take(at), (k + 1, 1))
+            if parted:
+                r, which, away = map(np.concatenate, zip(*parted))
+                self._walk_on(values, r * wide, which, away, k)
+                own[which + 1, r] = self.value.take(away)
+            total += own
+        return total
+
+    def _walk_on(self, values: np.ndarray, start: np.ndarray, which: np.ndarray, at: np.ndarray, k: int) -> None:
+        """Move ``at`` to the leaves, feature ``which`` read from the other values."""
+        open_ = np.flatnonzero(self.left.take(at) != at)
+        while len(open_):
+            here = at[open_]
+            f = self.feature.take(here)
+            v = values.take(start[open_] + f + k * (f == which[open_]))
+            at[open_] = here = self.left.take(here) + (v >= self.threshold.take(here))
+            open_ = open_[self.left.take(here) != here]
+
+
+def _walker(model: DataFrame):
+    """The model, its size checked, to be shipped to the tasks."""
     rows = model.limit(MAX_MODEL_ROWS + 1).toPandas()
     if len(rows) > MAX_MODEL_ROWS:
         raise ValueError("model too large to ship to the tasks")
-    trees = [g for _, g in rows.groupby("tree", sort=True)]
-    width = int(rows["node"].max()) + 1
-    shape = (len(trees), width)
-    feature, threshold, size = np.full(shape, -1, np.int32), np.zeros(shape), np.zeros(shape, np.int32)
-    for i, g in enumerate(trees):
-        feature[i, g["node"]], threshold[i, g["node"]], size[i, g["node"]] = g["feature"], g["threshold"], g["size"]
-    norm = average_path(float(np.mean([s[0] for s in size])))
-    extra = np.vectorize(average_path)(np.arange(int(size.max()) + 1))
-    packed = model.sparkSession.sparkContext.broadcast((feature, threshold, extra[size], norm))
-
-    @F.pandas_udf("double")
-    def score(*cols: pd.Series) -> pd.Series:
-        feat, thr, tail, c = packed.value
-        x = np.column_stack([s.to_numpy(dtype=float) for s in cols])
-        total = np.zeros(len(x))
-        rows_ix = np.arange(len(x))
-        for t in range(feat.shape[0]):
-            at = np.zeros(len(x), dtype=np.int64)
-            depth = np.zeros(len(x))
-            while True:
-                f = feat[t, at]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                right = x[rows_ix, np.maximum(f, 0)] >= thr[t, at]
-                at = np.where(inner, 2 * at + 1 + right, at)
-                depth += inner
-            total += depth + tail[t, at]
-        return pd.Series(-np.power(2.0, -(total / feat.shape[0]) / c))
-
-    return score
+    return model.sparkSession.sparkContext.broadcast(Walker(rows))
 
 
 def forest_scores(feats: DataFrame, model: DataFrame, columns=FEATURES) -> DataFrame:
     """``AnomalyScore`` in [-1, 0): the lower, the more anomalous."""
-    return feats.withColumn("AnomalyScore", _scorer(model)(*[F.col(c) for c in columns]))
+    walker = _walker(model)
+
+    @F.pandas_udf("double")
+    def score(*cols: pd.Series) -> pd.Series:
+        return pd.Series(walker.value.scores(np.column_stack([s.to_numpy(dtype=float) for s in cols])))
+
+    return feats.withColumn("AnomalyScore", score(*[F.col(c) for c in columns]))
 
 
 def forest_flag(scored: DataFrame, contamination: float = 0.05) -> DataFrame:
@@ -278,9 +331,15 @@ def repaired(feats: DataFrame, columns=FEATURES, key: str = "ResultId", seed: in
 def permutation_importance(feats: DataFrame, model: DataFrame, columns=FEATURES) -> DataFrame:
     """(feature, importance): mean absolute score change when a feature's values are re-paired (see :func:`repaired`), normalised. One
     pass scores the rows as they are and with each feature replaced."""
-    score, own = _scorer(model), [F.col(c) for c in columns]
-    scored = repaired(feats, columns).select(score(*own).alias("_base"), *[
-        score(*[F.col(f"_other_{c}") if c == name else F.col(c) for c in columns]).alias(f"_with_{name}") for name in columns])
-    change = scored.agg(*[F.avg(F.abs(F.col(f"_with_{c}") - F.col("_base"))).alias(c) for c in columns])
+    walker, k = _walker(model), len(columns)
+
+    @F.pandas_udf(", ".join(f"`{c}` double" for c in columns))
+    def changes(*cols: pd.Series) -> pd.DataFrame:
+        x = np.column_stack([s.to_numpy(dtype=float) for s in cols])
+        scores = walker.value.changed_scores(x[:, :k], x[:, k:])
+        return pd.DataFrame(np.abs(scores[:, 1:] - scores[:, :1]), columns=list(columns))
+
+    scored = repaired(feats, columns).select(changes(*[F.col(c) for c in columns], *[F.col(f"_other_{c}") for c in columns]).alias("_change"))
+    change = scored.agg(*[F.avg(F.col(f"_change.{c}")).alias(c) for c in columns])
     total = sum((F.col(c) for c in columns), F.lit(0.0))
     return change.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.try_divide(F.col(c), total).alias("importance")) for c in columns])))
