@@ -83,6 +83,23 @@ def test_mixed_buckets_are_finished(spark, monkeypatch):
     assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, "").collect()) == brute_kept(rows)
 
 
+def test_rows_to_compare_stay_in_proportion_to_a_group(spark, monkeypatch):
+    """Each step makes at most one pair of a row of a bucket or of a shingle, however many near copies a group holds."""
+    rng, store, stored = random.Random(11), jaccard.materialise, []
+
+    def counted(df, name):
+        stored.append((name, store(df, name)))
+        return stored[-1][1]
+
+    monkeypatch.setattr(jaccard, "materialise", counted)
+    base = [f"b{i}" for i in range(120)]
+    rows = [(i, edited(rng, base, 8)) for i in range(250)]
+    df = odd.documents(spark, [(d, t, "s") for d, t in rows])
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, "").collect()) == brute_kept(rows)
+    most = {name: max(f.count() for n, f in stored if n == name) for name, _ in stored}
+    assert 0 < most["across"] <= most["met"] and most["unsettled"] <= most["met"]
+
+
 def test_rarest_shingles_of_alike_sets_meet(spark):
     rng = random.Random(2)
     sets = [frozenset(rng.sample(range(40), rng.randint(1, 12))) for _ in range(300)]
