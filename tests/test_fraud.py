@@ -4,8 +4,10 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from veriloom.operators import fraud
 from veriloom.plans import fraud as plan
+from veriloom.sources import claims as claim_files
 
 COLUMNS = ("claim_id string, provider_npi string, beneficiary_id string, service_date date, hcpcs_code string, billed_amount double, "
            "units int, ordering_physician_npi string")
@@ -146,3 +148,32 @@ def test_beneficiary_profiles_hold_one_row_per_pair(spark):
     assert "Expand" not in found._jdf.queryExecution().optimizedPlan().toString()
     got = {r["beneficiary_id"]: (r["total_claims"], r["unique_providers"], r["distinct_equipment_types"]) for r in found.collect()}
     assert got == {"x": (12, 2, 2), "y": (6, 0, 2), None: (6, 1, 2)}
+
+
+@pytest.mark.parametrize("n", [25, 0])
+def test_alerts_sink_holds_the_summary_too(spark, tmp_path, n):
+    """One supplier with five claims on a day and one on each other day; then no claims at all, where the summary says so."""
+    lines = [(i, 1, i, 7, 2.0, 100.0 + i, dt.date(2001, 12, max(5, i))) for i in range(1, n + 1)]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double, l_shipdate date").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(i, i) for i in range(30)], "o_orderkey bigint, o_custkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+    got = entry.queries()["alerts_sink"](spark, str(tmp_path)).collect()
+    alerts = [r for r in got if r["section"] == "alerts"]
+    told = {(r["section"], r["item"]): r["value"] for r in got if r["section"] != "alerts"}
+    assert {r["fraud_type"] for r in alerts} >= ({"phantom_billing"} if n else set()) and {r["provider_npi"] for r in alerts} == ({"0000000007"} if n else set())
+    assert told[("total_alerts", None)] == len(alerts) and told[("claims_analyzed", None)] == n and told[("providers_analyzed", None)] == min(n, 1)
+    assert told[("flagged_claims_count", None)] == (5 if n else 0)
+    assert told == {(r["section"], r["item"]): r["value"] for r in entry.queries()["alert_summary"](spark, str(tmp_path)).collect()}
+
+
+def test_a_run_is_read_as_it_was_written(spark, tmp_path):
+    rows = [{"id": str(i), "day": dt.date(2024, 1, 1)} for i in range(60)]
+    for few, n in ((rows, 1), (rows[:3], 0)):
+        result = plan.run(claims(spark, few), "2024-07-01", detectors=["phantom"], min_claims=100)
+        path = claim_files.write_run(result.alerts.withColumn("created_at", F.lit("2024-07-01")), result.summary, result.notes, f"{tmp_path}/{n}")
+        got = claim_files.read_run(spark, path)
+        notes = [r["item"] for r in got.where("section = 'notes'").collect()]
+        assert notes == [f"TOO_FEW_CLAIMS {len(few)} of 100"] and got.where("section = 'alerts'").count() == n
+        names = list(claim_files.ALERT_SCHEMA.names)[:-1]
+        assert got.where("section = 'alerts'").select(names).collect() == result.alerts.select(names).collect()
+        own = lambda df: {tuple(r) for r in df.select("section", "item", "value").collect()}
+        assert own(got.where("section not in ('alerts', 'notes')")) == own(result.summary)
